@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodeweave.llm import cuckoo, mixing, packing
+from lodeweave.llm import cuckoo, imatch, mixing, packing, ppm, quality, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mixture_pack": packing.op1_mixture_pack,
+        "op2_gam_quality": quality.op2_gam_quality,
+        "op4_weak_toxicity": toxicity.op4_weak_toxicity,
+        "op5_imatch": imatch.op5_imatch,
         "op7_cuckoo_dedup": cuckoo.op7_cuckoo_dedup,
+        "op9_ppm_language": ppm.op9_ppm_language,
         "op10_systematic_mix": mixing.op10_systematic_mix,
     }
 
