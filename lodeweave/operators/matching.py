@@ -17,7 +17,7 @@ class Embedder(Protocol):
     def __call__(self, text: Column) -> Column: ...
 
 
-def hashed_vector(text: Column, dims: int = 64) -> Column:
+def hashed_vector(text: Column, dims: int = 256) -> Column:
     """Deterministic bag-of-words vector by hashing, as built-in expressions."""
     words = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
     slots = F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(dims)))

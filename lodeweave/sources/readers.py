@@ -51,7 +51,9 @@ def cells_json(spark: SparkSession, path: str, key: str = "schema.org:name") ->
     A cell's data is a text or a list; both become rows.  Read as VARIANT, so columns may differ between records.
     """
     raw = spark.read.option("multiLine", True).option("singleVariantColumn", "v").json(path)
-    fields = raw.select(F.col("v").alias("row"), F.expr(f"CAST(variant_get(v, '$[\"{key}\"][0].data') AS STRING)").alias("entity"))
+    raw.createOrReplaceTempView("lodeweave_raw")  # a file that holds an array comes as one value
+    each = spark.sql("SELECT e.value AS v FROM lodeweave_raw, LATERAL variant_explode(v) e WHERE schema_of_variant(v) LIKE 'ARRAY%' UNION ALL SELECT v FROM lodeweave_raw WHERE schema_of_variant(v) NOT LIKE 'ARRAY%'")
+    fields = each.select(F.col("v").alias("row"), F.expr(f"CAST(variant_get(v, '$[\"{key}\"][0].data') AS STRING)").alias("entity"))
     fields.createOrReplaceTempView("lodeweave_cells")
     return spark.sql(
         """
