@@ -1,15 +1,17 @@
 """Exact set-similarity join of token sets by prefix, positional and length filters.
 
 Equal sets are one set from the start.  Tokens are ordered by rarity (then by hash), and two sets of Jaccard similarity
-``t`` must share one of their first ``n - ceil(t n) + 1`` tokens.  Rarity comes from a table of bounded size that counts the tokens of all
+``t`` must share one of their first ``p(n) = n - ceil(t n) + 1`` tokens.  Rarity comes from a table of bounded size that counts the tokens of all
 rows by hash; any order that depends on the token alone keeps the join exact, so the table's collisions cost time, never links.
 
-Sets with a common prefix token are not paired all with all.  First each is compared with the group's pivot, which is linear in the
-group.  What is then connected needs no more comparisons; only sets left outside their pivot's component are paired with the others of
-their group, unless their distances to the pivot (Jaccard distance is a metric) or the filters rule a link out.
+Two sets that share a prefix token meet in the cluster of that token's pivot (the least set that has it), so a set is sent
+once per pivot, not once per token, and no pairs are ever listed.  Before anything is sent, sets that cannot have a partner leave: of the first
+``p + l - 1`` tokens a similar pair shares at least ``l``, so a set with fewer tokens that some other set has there is alone.
 
-Whole sets are fetched again from the texts of candidates alone, sent to the pivot's partition once, and compared while they stream by;
-pivots with many candidates are salted.
+A cluster is joined in memory under its own exact token frequencies: tokens that no other member has go first in the order, so a
+member that differs from all others in too many tokens finds no candidate.  Candidates share prefix tokens under this order and under further ones
+(the candidate sets are intersected), pass the length filter, and are not connected yet; only then whole sets are compared, and only links that
+connect something new leave the task.  Clusters beyond ``block_tokens`` are cut into blocks, and blocks are joined two by two.
 """
 
 from __future__ import annotations
@@ -19,26 +21,31 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodeweave.llm.common import materialize
 from lodeweave.llm.components import components
-from lodeweave.llm.tokensets import TOKEN_MASK, Lines, Sets, Shingles, batches, mix, squeeze, unsqueeze
+from lodeweave.llm.tokensets import TOKEN_MASK, Lines, Sets, Shingles, batches, squeeze, unsqueeze
 
 SKETCH_BITS = 20
 CHUNK = 1 << 12
 RANK_BITS = 6
 #: Odd multipliers of the further token orders.
 ORDERS = (0x9E3779B97F4B, 0xC2B2AE3D27D5)
-_TABLE = "doc_id long, line long, n long, set_id long, other binary, chunk int"
-_TABLE_ARROW = pa.schema([("doc_id", pa.int64()), ("line", pa.int64()), ("n", pa.int64()), ("set_id", pa.int64()), ("other", pa.binary()), ("chunk", pa.int32())])
+_TABLE = "doc_id long, line long, n long, set_id long, counts binary, chunk int"
+_TABLE_ARROW = pa.schema([("doc_id", pa.int64()), ("line", pa.int64()), ("n", pa.int64()), ("set_id", pa.int64()), ("counts", pa.binary()), ("chunk", pa.int32())])
 
 
 def prefix_length(n: np.ndarray, num: int, den: int) -> np.ndarray:
     return np.where(n > 0, n - -(-num * n // den) + 1, 0)
 
 
+def extra_length(n: np.ndarray, num: int, den: int) -> np.ndarray:
+    """``l`` by set size; never falls with the size."""
+    return np.maximum(1, prefix_length(n, num, den) // 2)
+
+
 def _starts(sets: Sets, key: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First ``size`` keys of each item in ascending order, with their items and positions."""
     both = np.sort((sets.item.astype(np.uint64) << np.uint64(48)) | key)
@@ -48,12 +55,72 @@ def _starts(sets: Sets, key: np.ndarray, size: np.ndarray) -> tuple[np.ndarray,
     return both[keep] & TOKEN_MASK, item[keep], pos[keep]
 
 
+def join_members(ids: list[int], sets: list[np.ndarray], num: int, den: int, orders: int) -> list[tuple[int, int]]:
+    """Links that connect all similar sets of a cluster: exact, by local token frequencies and intersected prefix filters."""
+    if len(ids) == 2:
+        a, b = sets
+        both = len(np.intersect1d(a, b, assume_unique=True))
+        return [(ids[0], ids[1])] if both * den >= num * (len(a) + len(b) - both) else []
+    rank = sorted(range(len(ids)), key=lambda i: (len(sets[i]), ids[i]))
+    ids, sets = [ids[i] for i in rank], [sets[i] for i in rank]
+    size = np.array([len(x) for x in sets], np.int64)
+    first = np.cumsum(size) - size
+    owner = np.repeat(np.arange(len(ids)), size)
+    words, token, df = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    keys = [df.astype(np.uint64) << np.uint64(32), *((words * np.uint64(m)) & TOKEN_MASK for m in ORDERS[:orders])]
+    prefix = prefix_length(size, num, den)
+    index = []
+    for key in keys:
+        place = np.empty(len(words), np.int64)
+        place[np.lexsort((words, key))] = np.arange(len(words))
+        both = np.sort(owner * len(words) + place[token])
+        who, what = both // len(words), both % len(words)
+        early = np.arange(len(both)) - first[who] < prefix[who]
+        who, what = who[early], what[early]
+        by = np.argsort(what, kind="stable")
+        posts = who[by]
+        begin = np.searchsorted(what[by], what)
+        end = np.searchsorted(what[by], what, side="right")
+        index.append((posts, begin, end, np.cumsum(prefix) - prefix))
+    label = np.arange(len(ids))
+    has = np.zeros(len(words), bool)
+    out = []
+    for u in range(1, len(ids)):
+        low = int(np.searchsorted(size[:u], -(-num * size[u] // den)))
+        able = label[low:u] != label[u]
+        for posts, begin, end, at in index:
+            mark = np.zeros(u, bool)
+            for k in range(at[u], at[u] + prefix[u]):
+                if end[k] - begin[k] > 1:
+                    run = posts[begin[k] : end[k]]
+                    mark[run[: np.searchsorted(run, u)]] = True
+            able &= mark[low:]
+            if not able.any():
+                break
+        some = low + np.flatnonzero(able)
+        if not len(some):
+            continue
+        mine = token[first[u] : first[u] + size[u]]
+        has[mine] = True
+        span = size[some]
+        at = np.repeat(first[some] - (np.cumsum(span) - span), span) + np.arange(int(span.sum()))
+        both = np.add.reduceat(has[token[at]].astype(np.int64), np.cumsum(span) - span)
+        has[mine] = False
+        for v in some[both * den >= num * (size[u] + span - both)].tolist():
+            if label[v] != label[u]:
+                out.append((ids[u], ids[v]))
+                label[label == label[v]] = label[u]
+    return out
+
+
 @dataclass
 class SetJoin:
     """Join of the token sets of ``docs`` (doc_id, text) at Jaccard similarity ``num / den``.
 
     ``least``: sets with fewer tokens match equal sets only (where the threshold implies that anyway, it saves work).
     ``orders``: further global token orders under which a pair must share prefix tokens too, before whole sets are compared.
+    ``block_tokens``: tokens that a task joins at once.
+    ``most_sent``: entries up to which the list of wanted sets is broadcast (some 50 MB); beyond it is joined by a shuffle.
     """
 
     docs: DataFrame
@@ -62,16 +129,18 @@ class SetJoin:
     den: int
     orders: int = 0
     least: int = 1
+    block_tokens: int = 2_000_000
+    most_sent: int = 400_000
     table: DataFrame = field(init=False)
 
     def __post_init__(self) -> None:
         self.docs = self.docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
         written = materialize(self.docs.mapInArrow(self._signer(), _TABLE), "sets")
-        self.table = written.filter("chunk is null").drop("chunk")
-        self._counters = written.filter("chunk is not null").select("chunk", "other")
+        self.table = written.filter("chunk is null").drop("chunk", "counts")
+        self._counters = written.filter("chunk is not null").select("chunk", "counts")
 
     def _signer(self):
-        kind, num, den, orders = self.kind, self.num, self.den, self.orders
+        kind = self.kind
 
         def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             counts, some = np.zeros(1 << SKETCH_BITS, np.int64), 0
@@ -80,14 +149,9 @@ class SetJoin:
                 for sets in batches(part.column(1), kind):
                     some += len(sets.tokens)
                     counts += np.bincount((sets.tokens & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64), minlength=1 << SKETCH_BITS)
-                    other: list[bytes | None] = [None] * len(sets.owner)
-                    if orders:
-                        size = prefix_length(sets.count, num, den)
-                        at = np.cumsum(size) - size
-                        cols = [(_starts(sets, (sets.tokens * np.uint64(m)) & TOKEN_MASK, size)[0] >> np.uint64(16)).astype("<u4") for m in ORDERS[:orders]]
-                        other = [b"".join(c[a : a + s].tobytes() for c in cols) for a, s in zip(at.tolist(), size.tolist())]
+                    k = len(sets.owner)
                     yield pa.RecordBatch.from_arrays(
-                        [ids.take(pa.array(sets.owner)), pa.array(sets.line, pa.int64()), pa.array(sets.count, pa.int64()), pa.array(sets.ids()), pa.array(other, pa.binary()), pa.nulls(len(sets.owner), pa.int32())],
+                        [ids.take(pa.array(sets.owner)), pa.array(sets.line, pa.int64()), pa.array(sets.count, pa.int64()), pa.array(sets.ids()), pa.nulls(k, pa.binary()), pa.nulls(k, pa.int32())],
                         schema=_TABLE_ARROW,
                     )
             if some:
@@ -107,24 +171,24 @@ class SetJoin:
                     values = np.frombuffer(raw, "<u4" if len(raw) == 4 * CHUNK else "<i8").astype(np.int64)
                     held[c] = held[c] + values if c in held else values
             if held:
-                yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32()), pa.array([v.tobytes() for v in held.values()], pa.binary())], names=["chunk", "other"])
+                yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32()), pa.array([v.tobytes() for v in held.values()], pa.binary())], names=["chunk", "counts"])
 
-        schema = "chunk int, other binary"
+        schema = "chunk int, counts binary"
         counts = np.zeros(1 << SKETCH_BITS, np.int64)
         for r in self._counters.mapInArrow(total, schema).repartition("chunk").mapInArrow(total, schema).collect():
-            counts[r["chunk"] * CHUNK : (r["chunk"] + 1) * CHUNK] = np.frombuffer(r["other"], "<i8")
+            counts[r["chunk"] * CHUNK : (r["chunk"] + 1) * CHUNK] = np.frombuffer(r["counts"], "<i8")
         # the bulk of the cells holds only the noise of rare tokens: ranks start at the median
         base = max(1.0, float(np.median(counts)))
         return np.clip(np.rint(4 * np.log2(np.maximum(counts, 1) / base)), 0, (1 << RANK_BITS) - 1).astype(np.uint8)
 
     def _prefixes(self) -> DataFrame:
-        """token, set_id, n, pos of every distinct set's prefix tokens (repeats across tasks remain)."""
+        """token, set_id, n, pos of every distinct set's first p + l - 1 tokens (repeats across tasks remain)."""
         kind, num, den, least, ranks = self.kind, self.num, self.den, self.least, self._ranks()
 
         def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             seen: set[int] = set()
             for part in parts:
-                for sets in batches(part.column(1), kind):
+                for sets in batches(part.column(0), kind):
                     ids = sets.ids()
                     fresh = np.zeros(len(ids), bool)
                     for i, s in enumerate(ids.tolist()):
@@ -134,140 +198,105 @@ class SetJoin:
                     if len(seen) > 500_000:
                         seen.clear()
                     rank = ranks[(sets.tokens & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64)].astype(np.uint64)
-                    size = np.where(fresh, prefix_length(sets.count, num, den), 0)
+                    size = np.where(fresh & (sets.count > 0), prefix_length(sets.count, num, den) + extra_length(sets.count, num, den) - 1, 0)
                     token, item, pos = _starts(sets, (rank << np.uint64(48 - RANK_BITS)) | (sets.tokens >> np.uint64(RANK_BITS)), size)
                     yield pa.RecordBatch.from_arrays([pa.array(token.astype(np.int64)), pa.array(ids[item]), pa.array(sets.count[item].astype(np.int32)), pa.array(pos.astype(np.int32))], names=["token", "set_id", "n", "pos"])
 
-        return self.docs.mapInArrow(run, "token long, set_id long, n int, pos int")
+        return self.docs.select("text").mapInArrow(run, "token long, set_id long, n int, pos int")
 
-    def groups(self) -> DataFrame:
-        """Members of every token's group but its pivot, each with the pivot; groups of one set are gone."""
+    def _groups(self) -> DataFrame:
+        """set_id, n, pos, pivot of each set that shares a token, by token; the pivot is the group's least set."""
 
         def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            last, pivot = (None, None), None
+            last: tuple | None = None  # token, set, pivot (set, n, pos), whether the pivot has left
             for part in parts:
                 token, set_id, n, pos = (part.column(i).to_numpy() for i in range(4))
                 if not len(token):
                     continue
-                first = np.concatenate([[token[0] != last[0]], token[1:] != token[:-1]])
-                again = ~first & np.concatenate([[set_id[0] == last[1]], set_id[1:] == set_id[:-1]])
-                if pivot is None:
-                    pivot = (0, 0, 0)
-                at = np.cumsum(first)
-                heads = [np.concatenate([[p], c[first]]) for p, c in zip(pivot, (set_id, n, pos))]
-                keep = ~first & ~again & (set_id != heads[0][at])
-                cols = [token[keep], set_id[keep], n[keep], pos[keep], *(h[at][keep] for h in heads)]
-                last, pivot = (token[-1], set_id[-1]), tuple(h[-1] for h in heads)
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32()))], names=["token", "set_id", "n", "pos", "pivot", "pivot_n", "pivot_pos"])
+                again = np.concatenate([[last is not None and (token[0], set_id[0]) == last[:2]], (token[1:] == token[:-1]) & (set_id[1:] == set_id[:-1])])
+                tail = token[-1], set_id[-1]
+                token, set_id, n, pos = token[~again], set_id[~again], n[~again], pos[~again]
+                if not len(token):
+                    continue
+                if last is not None and token[0] == last[0] and not last[3]:  # its pivot waits for a second set
+                    token, set_id, n, pos = (np.concatenate([[v], c]) for v, c in zip((last[0], *last[2]), (token, set_id, n, pos)))
+                first = np.concatenate([[True], token[1:] != token[:-1]])
+                begin = np.flatnonzero(first)
+                group = np.cumsum(first) - 1
+                pivot = set_id[begin]
+                shared = np.diff(np.append(begin, len(token))) > 1
+                if last is not None and token[0] == last[0] and last[3]:
+                    pivot = np.concatenate([[last[2][0]], pivot[1:]])
+                    shared[0] = True
+                at = begin[-1]
+                head = last[2] if last is not None and len(begin) == 1 and last[3] and token[0] == last[0] else (set_id[at], n[at], pos[at])
+                last = (*tail, head, bool(shared[-1]))
+                keep = shared[group]
+                yield pa.RecordBatch.from_arrays([pa.array(set_id[keep], pa.int64()), pa.array(n[keep], pa.int32()), pa.array(pos[keep], pa.int32()), pa.array(pivot[group][keep], pa.int64())], names=["set_id", "n", "pos", "pivot"])
 
         rows = self._prefixes().repartition("token").sortWithinPartitions("token", "set_id")
-        return rows.mapInArrow(run, "token long, set_id long, n int, pos int, pivot long, pivot_n int, pivot_pos int")
-
-    def _possible(self, n: str, pos: str, m: str, at: str) -> Column:
-        """Length and positional filter for sets of n and m tokens that share the prefix token at these positions."""
-        n_, m_, pos_, at_ = F.col(n), F.col(m), F.col(pos), F.col(at)
-        length = (F.least(n_, m_) * self.den >= F.greatest(n_, m_) * self.num)
-        most = F.least(pos_, at_) + 1 + F.least(n_ - pos_ - 1, m_ - at_ - 1)
-        return length & (most * (self.num + self.den) >= (n_ + m_) * self.num)
-
-    def _share_orders(self, pairs: DataFrame) -> DataFrame:
-        """Pairs that share prefix tokens under the further orders too."""
-        if not self.orders:
-            return pairs
-        orders = self.orders
-        records = self.table.filter("n > 0").groupBy("set_id").agg(F.first("other").alias("other"))
-        a = records.select(F.col("set_id").alias("a"), F.col("other").alias("other_a"))
-        b = records.select(F.col("set_id").alias("b"), F.col("other").alias("other_b"))
+        return rows.mapInArrow(run, "set_id long, n int, pos int, pivot long")
+
+    def clusters(self) -> DataFrame:
+        """(pivot, set_id, n): the sets that may have a partner, by the pivots they may meet it at."""
+        num, den = self.num, self.den
+        groups = materialize(self._groups(), "groups")
+        smaller = F.ceil(F.col("n") * num / den).cast("int")
+        # l of the smallest partner: floor((1 - t) m) + 1 tokens, halved
+        need = F.greatest(F.lit(1), F.floor((smaller - F.ceil(smaller * num / den) + 1) / 2))
+        able = groups.groupBy("set_id", "n").agg(F.count(F.lit(1)).alias("shared")).filter(F.col("shared") >= need).select("set_id")
+        early = F.col("pos") < F.col("n") - F.ceil(F.col("n") * num / den) + 1
+        return groups.filter(early).select("pivot", "set_id", "n").distinct().join(able, "set_id", "left_semi")
 
-        def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for part in parts:
-                keep = []
-                for x, y in zip(part.column(2).to_pylist(), part.column(3).to_pylist()):
-                    u, v = np.frombuffer(x, "<u4").reshape(orders, -1), np.frombuffer(y, "<u4").reshape(orders, -1)
-                    keep.append(all(not set(p.tolist()).isdisjoint(q.tolist()) for p, q in zip(u, v)))
-                yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep, pa.bool_())) for c in part.columns[:2]], names=["a", "b"])
-
-        return pairs.join(a, "a").join(b, "b").select("a", "b", "other_a", "other_b").mapInArrow(run, "a long, b long")
-
-    def verify(self, pairs: DataFrame, per_salt: int = 4096) -> DataFrame:
-        """Exact similarity of pairs (a, b): a, b, inter, total (size of the union)."""
-        pairs = materialize(self._share_orders(pairs), "candidates")
-        salts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / per_salt).cast("int").alias("salts"))
-        salted = pairs.join(salts, "a")
-        wanted = salted.select(F.col("b").alias("set_id"), F.struct(F.col("a").alias("key"), F.pmod(F.xxhash64("b"), F.col("salts")).cast("int").alias("salt"), F.lit(1).alias("role")).alias("to"))
-        heads = salts.select(F.col("a").alias("set_id"), F.explode(F.transform(F.sequence(F.lit(0), F.col("salts") - 1), lambda s: F.struct(F.col("a").alias("key"), s.alias("salt"), F.lit(0).alias("role")))).alias("to"))
+    def links(self) -> tuple[DataFrame, DataFrame]:
+        """Links (a, b) that connect all similar sets, and their components (id, component); links inside a component may be left out."""
+        clusters = materialize(self.clusters(), "clusters")
+        sizes = clusters.groupBy("pivot").agg(F.count(F.lit(1)).alias("members"), F.ceil(F.sum("n") / self.block_tokens).cast("int").alias("blocks")).filter("members > 1")
+        own = F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int")
+        others = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: j != F.col("own"))
+        to = lambda i, j: F.struct(F.col("pivot").alias("key"), i.cast("int").alias("i"), j.cast("int").alias("j"))
+        places = F.when(F.col("blocks") == 1, F.array(to(F.lit(0), F.lit(0)))).otherwise(F.transform(others, lambda j: to(F.least(F.col("own"), j), F.greatest(F.col("own"), j))))
+        wanted = clusters.join(sizes, "pivot").withColumn("own", own).groupBy("set_id").agg(F.flatten(F.collect_list(places)).alias("to"))
         # where a set can be read again: one text that holds it
         home = self.table.filter("n > 0").groupBy("set_id").agg(F.min("doc_id").alias("doc_id"))
-        sends = wanted.unionByName(heads).groupBy("set_id").agg(F.collect_list("to").alias("to")).join(home, "set_id")
-        sends = materialize(sends.groupBy("doc_id").agg(F.collect_list(F.struct("set_id", "to")).alias("sends")), "sends")
-        kind = self.kind
+        sends = materialize(wanted.join(home, "set_id").groupBy("doc_id").agg(F.collect_list(F.struct("set_id", "to")).alias("sends")), "sends")
+        # a table of known size goes to the texts; beyond the bound the texts go to it
+        size = sends.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.aggregate("sends", F.lit(0), lambda n, s: n + F.size(s["to"]))), F.lit(0))).first()
+        if size[0] + size[1] <= self.most_sent:
+            sends = F.broadcast(sends)
+        kind, num, den, orders = self.kind, self.num, self.den, self.orders
 
         def send(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for part in parts:
                 asked = [{s["set_id"]: s["to"] for s in row} for row in part.column(1).to_pylist()]
                 for sets in batches(part.column(0), kind):
                     ids, first = sets.ids().tolist(), sets.first
-                    keys, salts_, roles, members, raws = [], [], [], [], []
-                    for i, (owner, s) in enumerate(zip(sets.owner.tolist(), ids)):
+                    cols: list[list] = [[] for _ in range(5)]
+                    for k, (owner, s) in enumerate(zip(sets.owner.tolist(), ids)):
                         if (to := asked[owner].pop(s, None)) is not None:
-                            raw = squeeze(sets.tokens[first[i] : first[i] + sets.count[i]])
+                            raw = squeeze(sets.tokens[first[k] : first[k] + sets.count[k]])
                             for t in to:
-                                keys.append(t["key"])
-                                salts_.append(t["salt"])
-                                roles.append(t["role"])
-                                members.append(s)
-                                raws.append(raw)
-                    yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(salts_, pa.int32()), pa.array(roles, pa.int32()), pa.array(members, pa.int64()), pa.array(raws, pa.binary())], names=["key", "salt", "role", "member", "tokens"])
+                                for column, value in zip(cols, (t["key"], t["i"], t["j"], s, raw)):
+                                    column.append(value)
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary()))], names=["key", "i", "j", "member", "tokens"])
 
         def compare(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            held, head = None, np.empty(0, np.uint64)
-            for part in parts:
-                a, b, inter, total = [], [], [], []
-                for key, salt, role, member, raw in zip(*(part.column(i).to_pylist() for i in range(5))):
-                    tokens = unsqueeze(raw)
-                    if role == 0:
-                        if held != (key, salt):
-                            held, head = (key, salt), tokens
-                    elif held == (key, salt):
-                        at = np.minimum(np.searchsorted(head, tokens), len(head) - 1)
-                        both = int((head[at] == tokens).sum())
-                        a.append(key)
-                        b.append(member)
-                        inter.append(both)
-                        total.append(len(head) + len(tokens) - both)
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (a, b, inter, total)], names=["a", "b", "inter", "total"])
-
-        sent = self.docs.join(sends, "doc_id").select("text", "sends").mapInArrow(send, "key long, salt int, role int, member long, tokens binary")
-        streams = sent.repartition("key", "salt").sortWithinPartitions("key", "salt", "role", "member")
-        return materialize(streams.mapInArrow(compare, "a long, b long, inter long, total long").distinct(), "compared")
+            held: tuple | None = None
+            members: dict[int, np.ndarray] = {}
 
-    def links(self) -> tuple[DataFrame, DataFrame]:
-        """Links (a, b) that connect all similar sets, and their components (id, component); links inside a component may be left out."""
-        similar = F.col("inter") * self.den >= F.col("total") * self.num
-        groups = materialize(self.groups(), "groups")
-        star = groups.filter(self._possible("n", "pos", "pivot_n", "pivot_pos")).select(F.col("pivot").alias("a"), F.col("set_id").alias("b")).distinct()
-        seen = self.verify(star)
-        links = seen.filter(similar).select("a", "b")
-        found = materialize(components(links), "components")
-        # sets outside their pivot's component, against the others of the group
-        far = seen.select(F.col("a").alias("pivot"), F.col("b").alias("set_id"), (1 - F.col("inter") / F.col("total")).alias("away"))
-        rows = groups.join(far, ["pivot", "set_id"], "left").join(found.select(F.col("id").alias("set_id"), F.col("component").alias("own")), "set_id", "left")
-        rows = rows.join(found.select(F.col("id").alias("pivot"), F.col("component").alias("head")), "pivot", "left")
-        rows = rows.select("token", "set_id", "n", "pos", "away", F.coalesce("own", "set_id").alias("own"), (F.coalesce("own", "set_id") != F.coalesce("head", "pivot")).alias("outside"))
-        rows = materialize(rows, "rest")
-        x = rows.filter("outside").select("token", *(F.col(c).alias(f"{c}_x") for c in ("set_id", "n", "pos", "away", "own")))
-        y = rows
-        slack = 1 - self.num / self.den + 1e-9
-        near = F.abs(F.col("away_x") - F.col("away")) <= slack
-        rest = x.join(y, "token").filter((F.col("own_x") != F.col("own")) & (~F.col("outside") | (F.col("set_id_x") < F.col("set_id"))) & F.coalesce(near, F.lit(True)) & self._possible("n_x", "pos_x", "n", "pos"))
-        rest = rest.select(F.least("set_id_x", "set_id").alias("a"), F.greatest("set_id_x", "set_id").alias("b")).distinct()
-        more = self.verify(rest).filter(similar).select("a", "b")
-        if more.isEmpty():
-            return links, found
-        # components of the first links stand for their members
-        label = found.select(F.col("id"), F.col("component"))
-        lifted = more.join(label.select(F.col("id").alias("a"), F.col("component").alias("ca")), "a", "left").join(label.select(F.col("id").alias("b"), F.col("component").alias("cb")), "b", "left")
-        joined = materialize(components(lifted.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))), "components")
-        every = found.unionByName(joined.select("id", F.col("id").alias("component"))).dropDuplicates(["id"])
-        every = every.join(joined.select(F.col("id").alias("component"), F.col("component").alias("top")), "component", "left").select("id", F.coalesce("top", "component").alias("component"))
-        return links.unionByName(more), every
+            def flush() -> pa.RecordBatch:
+                found = join_members(list(members), list(members.values()), num, den, orders) if len(members) > 1 else []
+                return pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+            for part in parts:
+                for key, i, j, member, raw in zip(*(part.column(c).to_pylist() for c in range(5))):
+                    if held != (key, i, j):
+                        yield flush()
+                        held, members = (key, i, j), {}
+                    members[member] = unsqueeze(raw)
+            yield flush()
+
+        sent = self.docs.join(sends, "doc_id").select("text", "sends").mapInArrow(send, "key long, i int, j int, member long, tokens binary")
+        found = sent.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "member").mapInArrow(compare, "a long, b long")
+        links = materialize(found.distinct(), "links")
+        return links, materialize(components(links), "components")
