@@ -26,11 +26,10 @@ from pyspark.sql import functions as F
 
 from lodeweave.llm.common import materialize
 from lodeweave.llm.components import components
-from lodeweave.llm.tokensets import TOKEN_MASK, Lines, Sets, Shingles, batches, squeeze, unsqueeze
+from lodeweave.llm.tokensets import RANK_BITS, TOKEN_MASK, Lines, Rarity, Shingles, batches, squeeze, unsqueeze
 
 SKETCH_BITS = 20
 CHUNK = 1 << 12
-RANK_BITS = 6
 #: Odd multipliers of the further token orders.
 ORDERS = (0x9E3779B97F4B, 0xC2B2AE3D27D5)
 _TABLE = "doc_id long, line long, n long, set_id long, counts binary, chunk int"
@@ -46,15 +45,6 @@ def extra_length(n: np.ndarray, num: int, den: int) -> np.ndarray:
     return np.maximum(1, prefix_length(n, num, den) // 2)
 
 
-def _starts(sets: Sets, key: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First ``size`` keys of each item in ascending order, with their items and positions."""
-    both = np.sort((sets.item.astype(np.uint64) << np.uint64(48)) | key)
-    item = (both >> np.uint64(48)).astype(np.int64)
-    pos = np.arange(len(both)) - sets.first[item]
-    keep = pos < size[item]
-    return both[keep] & TOKEN_MASK, item[keep], pos[keep]
-
-
 def join_members(ids: list[int], sets: list[np.ndarray], num: int, den: int, orders: int) -> list[tuple[int, int]]:
     """Links that connect all similar sets of a cluster: exact, by local token frequencies and intersected prefix filters."""
     if len(ids) == 2:
@@ -143,12 +133,14 @@ class SetJoin:
         kind = self.kind
 
         def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            counts, some = np.zeros(1 << SKETCH_BITS, np.int64), 0
+            counts, some = np.zeros((2, 1 << SKETCH_BITS), np.int64), 0  # of tokens, of words
+            cell = np.uint64((1 << SKETCH_BITS) - 1)
             for part in parts:
                 ids = part.column(0)
                 for sets in batches(part.column(1), kind):
                     some += len(sets.tokens)
-                    counts += np.bincount((sets.tokens & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64), minlength=1 << SKETCH_BITS)
+                    for row, hashes in zip(counts, (sets.tokens, sets.words)):
+                        row += np.bincount((hashes & cell).astype(np.int64), minlength=1 << SKETCH_BITS)
                     k = len(sets.owner)
                     yield pa.RecordBatch.from_arrays(
                         [ids.take(pa.array(sets.owner)), pa.array(sets.line, pa.int64()), pa.array(sets.count, pa.int64()), pa.array(sets.ids()), pa.nulls(k, pa.binary()), pa.nulls(k, pa.int32())],
@@ -161,8 +153,12 @@ class SetJoin:
 
         return run
 
-    def _ranks(self) -> np.ndarray:
-        """Rarity rank by token cell: two steps for each doubling of the count.  At most 2**SKETCH_BITS numbers reach the driver."""
+    def _rarity(self) -> Rarity:
+        """Ranks by cell: four steps for each doubling of a token's count, one for each doubling of a word's.
+
+        What shares a token by chance has frequent words in it, so tokens of rare words come first; tokens counted often go last.
+        At most 2 * 2**SKETCH_BITS numbers reach the driver.
+        """
 
         def total(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held: dict[int, np.ndarray] = {}
@@ -174,21 +170,22 @@ class SetJoin:
                 yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32()), pa.array([v.tobytes() for v in held.values()], pa.binary())], names=["chunk", "counts"])
 
         schema = "chunk int, counts binary"
-        counts = np.zeros(1 << SKETCH_BITS, np.int64)
+        counts = np.zeros(2 << SKETCH_BITS, np.int64)
         for r in self._counters.mapInArrow(total, schema).repartition("chunk").mapInArrow(total, schema).collect():
             counts[r["chunk"] * CHUNK : (r["chunk"] + 1) * CHUNK] = np.frombuffer(r["counts"], "<i8")
         # the bulk of the cells holds only the noise of rare tokens: ranks start at the median
-        base = max(1.0, float(np.median(counts)))
-        return np.clip(np.rint(4 * np.log2(np.maximum(counts, 1) / base)), 0, (1 << RANK_BITS) - 1).astype(np.uint8)
+        rank = lambda c, steps: np.clip(np.rint(steps * np.log2(np.maximum(c, 1) / max(1.0, float(np.median(c))))), 0, 63).astype(np.uint8)
+        tokens, words = counts.reshape(2, -1)
+        return Rarity(rank(tokens, 4), rank(words, 1))
 
     def _prefixes(self) -> DataFrame:
         """token, set_id, n, pos of every distinct set's first p + l - 1 tokens (repeats across tasks remain)."""
-        kind, num, den, least, ranks = self.kind, self.num, self.den, self.least, self._ranks()
+        kind, num, den, least, rarity = self.kind, self.num, self.den, self.least, self._rarity()
 
         def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             seen: set[int] = set()
             for part in parts:
-                for sets in batches(part.column(0), kind):
+                for sets in batches(part.column(0), kind, rarity):
                     ids = sets.ids()
                     fresh = np.zeros(len(ids), bool)
                     for i, s in enumerate(ids.tolist()):
@@ -197,9 +194,11 @@ class SetJoin:
                             fresh[i] = True
                     if len(seen) > 500_000:
                         seen.clear()
-                    rank = ranks[(sets.tokens & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64)].astype(np.uint64)
                     size = np.where(fresh & (sets.count > 0), prefix_length(sets.count, num, den) + extra_length(sets.count, num, den) - 1, 0)
-                    token, item, pos = _starts(sets, (rank << np.uint64(48 - RANK_BITS)) | (sets.tokens >> np.uint64(RANK_BITS)), size)
+                    item, token = sets.order
+                    pos = np.arange(len(item)) - np.searchsorted(item, item)
+                    early = pos < size[item]
+                    item, token, pos = item[early], token[early], pos[early]
                     yield pa.RecordBatch.from_arrays([pa.array(token.astype(np.int64)), pa.array(ids[item]), pa.array(sets.count[item].astype(np.int32)), pa.array(pos.astype(np.int32))], names=["token", "set_id", "n", "pos"])
 
         return self.docs.select("text").mapInArrow(run, "token long, set_id long, n int, pos int")

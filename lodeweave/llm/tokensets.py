@@ -16,6 +16,7 @@ import pyarrow as pa
 PIECE = 1 << 20
 TOKEN_BITS = 48
 TOKEN_MASK = np.uint64((1 << TOKEN_BITS) - 1)
+RANK_BITS = 6
 _MAX_ITEMS = 1 << (64 - TOKEN_BITS)
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -70,6 +71,8 @@ class Sets:
     count: np.ndarray  #: distinct tokens by item
     tokens: np.ndarray
     item: np.ndarray
+    words: np.ndarray | None = None  #: hashes of all words, in text order
+    order: tuple[np.ndarray, np.ndarray] | None = None  #: items and keys by rarity, if a Rarity was given
 
     @property
     def first(self) -> np.ndarray:
@@ -83,6 +86,34 @@ class Sets:
         return np.where(self.count > 0, out, np.uint64(0)).astype(np.int64)
 
 
+@dataclass
+class Rarity:
+    """Bounded tables that order tokens by rarity: rank of a token's own count, and of the counts of the words it is made of, by hash cell."""
+
+    tokens: np.ndarray
+    words: np.ndarray
+
+    def of(self, tokens: np.ndarray, words: np.ndarray | int) -> np.ndarray:
+        """Rank of tokens, given the summed ranks of their words; at most RANK_BITS bits."""
+        return np.minimum(self.tokens[_cell(tokens, self.tokens)].astype(np.int64) + words, (1 << RANK_BITS) - 1)
+
+    def of_words(self, hashes: np.ndarray) -> np.ndarray:
+        return self.words[_cell(hashes, self.words)].astype(np.int64)
+
+
+def _cell(hashes: np.ndarray, table: np.ndarray) -> np.ndarray:
+    return (hashes & np.uint64(len(table) - 1)).astype(np.int64)
+
+
+def _order(item: np.ndarray, tokens: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Items and distinct keys (rank, then hash) in ascending order within items."""
+    key = (rank.astype(np.uint64) << np.uint64(TOKEN_BITS - RANK_BITS)) | ((tokens & TOKEN_MASK) >> np.uint64(RANK_BITS))
+    both = np.sort((item.astype(np.uint64) << np.uint64(TOKEN_BITS)) | key)
+    if len(both):
+        both = both[np.concatenate([[True], both[1:] != both[:-1]])]
+    return (both >> np.uint64(TOKEN_BITS)).astype(np.int64), both & TOKEN_MASK
+
+
 def _gather(owner: np.ndarray, line: np.ndarray, tokens: np.ndarray, item: np.ndarray) -> Sets:
     both = np.sort((item.astype(np.uint64) << np.uint64(TOKEN_BITS)) | (tokens & TOKEN_MASK))
     if len(both):
@@ -97,17 +128,20 @@ class Shingles:
 
     words: int
 
-    def sets(self, hashes: np.ndarray, owner: np.ndarray, line: np.ndarray, texts: np.ndarray) -> Sets:
+    def sets(self, hashes: np.ndarray, owner: np.ndarray, line: np.ndarray, texts: np.ndarray, rarity: Rarity | None = None) -> Sets:
         k = self.words
         place = np.searchsorted(texts, owner)
         n = np.bincount(place, minlength=len(texts))
-        parts, items = [], []
+        parts, items, ranks = [], [], []
+        by_word = np.zeros(len(hashes), np.int64) if rarity is None else rarity.of_words(hashes)
         if len(hashes) >= k:
             whole = owner[: len(owner) - k + 1] == owner[k - 1 :]
-            x = np.zeros(len(hashes) - k + 1, np.uint64)
+            x, y = np.zeros(len(hashes) - k + 1, np.uint64), np.zeros(len(hashes) - k + 1, np.int64)
             for j in range(k):
                 x += hashes[j : len(hashes) - k + 1 + j] * np.uint64(_PLACE[j])
+                y += by_word[j : len(hashes) - k + 1 + j]
             parts.append(mix(x[whole]))
+            ranks.append(y[whole])
             items.append(place[: len(owner) - k + 1][whole])
         if (short := np.flatnonzero((n > 0) & (n < k))).size:
             begin = np.searchsorted(place, short)
@@ -117,19 +151,27 @@ class Shingles:
                 x[has] += hashes[begin[has] + j] * np.uint64(_PLACE[j])
             parts.append(mix(x + n[short].astype(np.uint64)))
             items.append(short)
-        tokens = np.concatenate(parts) if parts else np.empty(0, np.uint64)
-        return _gather(texts, np.zeros(len(texts), np.int64), tokens, np.concatenate(items) if items else np.empty(0, np.int64))
+            ranks.append(np.zeros(len(short), np.int64))
+        tokens, item = (np.concatenate(parts), np.concatenate(items)) if parts else (np.empty(0, np.uint64), np.empty(0, np.int64))
+        out = _gather(texts, np.zeros(len(texts), np.int64), tokens, item)
+        out.words = hashes
+        if rarity is not None:
+            out.order = _order(item, tokens, rarity.of(tokens, np.concatenate(ranks) if ranks else np.empty(0, np.int64)))
+        return out
 
 
 @dataclass(frozen=True)
 class Lines:
     """One item a line that has words: its distinct words."""
 
-    def sets(self, hashes: np.ndarray, owner: np.ndarray, line: np.ndarray, texts: np.ndarray) -> Sets:
-        if not len(hashes):
-            return _gather(np.empty(0, np.int64), np.empty(0, np.int64), hashes, np.empty(0, np.int64))
-        new = np.concatenate([[True], (owner[1:] != owner[:-1]) | (line[1:] != line[:-1])])
-        return _gather(owner[new], line[new], hashes, np.cumsum(new) - 1)
+    def sets(self, hashes: np.ndarray, owner: np.ndarray, line: np.ndarray, texts: np.ndarray, rarity: Rarity | None = None) -> Sets:
+        new = np.concatenate([[True], (owner[1:] != owner[:-1]) | (line[1:] != line[:-1])]) if len(hashes) else np.empty(0, bool)
+        item = np.cumsum(new) - 1
+        out = _gather(owner[new], line[new], hashes, item)
+        out.words = hashes
+        if rarity is not None:
+            out.order = _order(item, hashes, rarity.of(hashes, 0))
+        return out
 
 
 def _groups(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -143,7 +185,7 @@ def _groups(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
         at = to
 
 
-def batches(texts: pa.Array, kind: Shingles | Lines) -> Iterator[Sets]:
+def batches(texts: pa.Array, kind: Shingles | Lines, rarity: Rarity | None = None) -> Iterator[Sets]:
     """Token sets of a column of texts (null: empty), a bounded number of items at a time; every item comes whole and once."""
     texts = texts.cast(pa.large_string()).fill_null("")
     offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
@@ -178,14 +220,14 @@ def batches(texts: pa.Array, kind: Shingles | Lines) -> Iterator[Sets]:
         breaks_before[:-1] = np.searchsorted(np.flatnonzero(whole == 10), offsets[a:b] - offsets[a])
         line_ = line_ - breaks_before[owner_ - a]
         if isinstance(kind, Shingles):
-            yield kind.sets(h, owner_, line_, np.arange(a, b))
+            yield kind.sets(h, owner_, line_, np.arange(a, b), rarity)
             continue
         # lines: fewer than _MAX_ITEMS at a time
         new = np.flatnonzero(np.concatenate([[True], (owner_[1:] != owner_[:-1]) | (line_[1:] != line_[:-1])])) if len(h) else np.empty(0, np.int64)
         for at in range(0, len(new), _MAX_ITEMS - 1):
             lo = new[at]
             hi = new[at + _MAX_ITEMS - 1] if at + _MAX_ITEMS - 1 < len(new) else len(h)
-            yield kind.sets(h[lo:hi], owner_[lo:hi], line_[lo:hi], np.empty(0, np.int64))
+            yield kind.sets(h[lo:hi], owner_[lo:hi], line_[lo:hi], np.empty(0, np.int64), rarity)
 
 
 def squeeze(tokens: np.ndarray) -> bytes:
