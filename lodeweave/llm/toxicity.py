@@ -125,7 +125,8 @@ class LabelModel:
 def fit_label_model(votes: np.ndarray, seen: np.ndarray, steps: int = 15, strength: float = 20.0) -> LabelModel:
     """Expectation-maximisation from a start at ``seen`` (0/1 where a label is known, nan elsewhere).
 
-    Known labels only set the voters' prior rates (``strength`` pseudo-rows); the posterior of every row is the model's own.
+    Known labels set the voters' prior rates (``strength`` pseudo-rows) and, if there are 200 or more, the correlations; the posterior of every
+    row is the model's own.
     """
     known = ~np.isnan(seen)
     y = np.where(known, seen, 0.0)
@@ -133,11 +134,12 @@ def fit_label_model(votes: np.ndarray, seen: np.ndarray, steps: int = 15, streng
     prior_rates = np.stack([(votes[known & (y == c)].sum(0) + 0.5) / ((known & (y == c)).sum() + 1) for c in (0, 1)])
     model = LabelModel(prior_rates.clip(1e-3, 1 - 1e-3), np.ones(votes.shape[1]), float(np.clip(toxic, 1e-3, 0.5)))
     for _ in range(steps):
-        # correlations given the class: of what is left of the votes when the class's rates are taken off
+        # correlations given the class (where labels are known, theirs): of what is left of the votes when the class's rates are taken off
         p = model.posterior(votes)
-        rest = votes - (p[:, None] * model.rates[1] + (1 - p)[:, None] * model.rates[0])
+        rows, q = (votes[known], y[known]) if known.sum() >= 200 else (votes, p)
+        rest = rows - (q[:, None] * model.rates[1] + (1 - q)[:, None] * model.rates[0])
         scale = np.sqrt((rest**2).mean(0)) + 1e-6
-        corr = np.abs((rest.T @ rest) / len(votes) / scale[:, None] / scale[None, :])
+        corr = np.abs((rest.T @ rest) / len(rows) / scale[:, None] / scale[None, :])
         np.fill_diagonal(corr, 0)
         model.discount = 1 / (1 + np.where(corr > 0.2, corr, 0).sum(1))
         p = model.posterior(votes)
