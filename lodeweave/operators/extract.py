@@ -162,7 +162,7 @@ def cell(data: Column, method: str | Column, confidence: float | Column, time: C
 def to_long(df: DataFrame, key: str, props: Mapping[str, str], method: str, confidence: float, time: Column) -> DataFrame:
     """Wide columns to the long form (entity, property, pos, data, method, confidence, time); lists give a row per item."""
     kinds = dict(df.dtypes)
-    rows = F.array(*[F.struct(F.lit(p).alias("property"), (F.col(c).cast("array<string>") if kinds[c].startswith("array") else F.array(F.col(c).cast("string"))).alias("items")) for p, c in props.items()])
+    rows = F.array(*[F.struct(F.lit(p).alias("property"), (F.col(f"`{c}`").cast("array<string>") if kinds[c].startswith("array") else F.array(F.col(f"`{c}`").cast("string"))).alias("items")) for p, c in props.items()])
     long = df.select(F.col(key).cast("string").alias("entity"), F.explode(rows).alias("r")).select("entity", "r.property", F.posexplode_outer("r.items").alias("pos", "data"))
     c = cell(F.col("data"), method, confidence, time)
     return long.select("entity", "property", F.coalesce("pos", F.lit(0)).alias("pos"), c["data"].alias("data"), c["extraction_method"].alias("method"), c["confidence"].alias("confidence"), c["extraction_time"].alias("extraction_time"))

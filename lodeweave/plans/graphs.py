@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import functions as F
 
 from lodeweave.functions.columns import article_id, entity_hash, entity_uri, humanize, predicate_uri
 from lodeweave.functions.vocab import BASE, NAMESPACES, RDF_TYPE
 from lodeweave.operators import extract, graph, objects
 from lodeweave.plans.registry import query, table
+from lodeweave.sources.scratch import scratch_path
 
 S, FAIR, XSD = NAMESPACES["schema"], NAMESPACES["fair4ml"], NAMESPACES["xsd"]
 
@@ -332,7 +331,6 @@ def sink_roundtrip(spark, d):
     from lodeweave.sources.readers import ntriples
     from lodeweave.sources.writers import write_ntriples
 
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="lodeweave-")
-    path = f"{base.rstrip('/')}/lodeweave/roundtrip-{d.replace('/', '_').replace(':', '_')}"
+    path = scratch_path(spark, "roundtrip")
     write_ntriples(customer_triples(spark, d), path)
     return ntriples(spark, path).select(*graph.TERM)

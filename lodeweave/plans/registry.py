@@ -29,7 +29,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _load() -> None:
-    from lodeweave.plans import extraction, graphs, reports, search, store, text  # noqa: F401 - they register their queries
+    from lodeweave.plans import extraction, flows, graphs, reports, search, store, text  # noqa: F401 - they register their queries
 
 
 def queries() -> dict[str, Query]:

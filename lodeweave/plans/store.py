@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import functions as F
 
 from lodeweave.functions.columns import triple_hash
 from lodeweave.operators import store
 from lodeweave.plans.registry import query, table
+from lodeweave.sources.scratch import scratch_path
 
 
 def _observed(spark, d):
@@ -123,8 +121,7 @@ def stream_apply(spark, d):
     """A folder of batches applied to a store by a stream; what the store then holds."""
     from lodeweave.streaming.apply import apply_stream
 
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="lodeweave-")
-    root = f"{base.rstrip('/')}/lodeweave/stream-{uuid.uuid4().hex}"
+    root = scratch_path(spark, "stream")
     e = table(spark, d, "events")
     t = F.lit("<type>")
     obs = e.select(F.concat(F.lit("<u"), F.col("user_id").cast("string"), F.lit(">")).alias("subject"), t.alias("predicate"), F.concat(F.lit('"'), "event_type", F.lit('"')).alias("object"), F.lit("log").alias("method"), F.lit(1.0).alias("confidence"), F.lit("2024-01-01").cast("timestamp_ntz").alias("time"))
