@@ -5,7 +5,7 @@ cut by several randomised lexicon subsets, and each subset's part is hashed.  A
 hashes; the likeness of two fingerprints is the share of subsets with equal hashes among those that hold a term of either.
 Subsets come in levels of falling density, so short and long texts both have subsets that hold few of their terms.
 
-Scale: terms are folded into ``2 ** CLASS_BITS`` classes, so the document frequencies are a table of bounded size and the band is a
+Scale: for the band, terms are folded into ``2 ** CLASS_BITS`` classes, so the document frequencies are a table of bounded size and the band is a
 bitmap of 512 KB, whatever the corpus: it is sent with the plan instead of a vocabulary that grows with the data.
 Terms rarer than the band's lower end (a share of all documents) add about ``terms per document / 2 ** CLASS_BITS`` of all documents to
 a class, well below that end.  The edited text of the contract needs the next document: ids are cut into ranges of like
@@ -30,16 +30,17 @@ SUBSETS = sum(n for _, n in LEVELS)
 TERM_BREAK = r"[^\p{L}\p{N}]+"
 
 
-def term_classes(text: Column) -> Column:
-    """Distinct classes of the lower-cased terms of a text."""
-    words = F.split(F.lower(text), TERM_BREAK)
-    return F.array_distinct(F.transform(F.filter(words, lambda w: w != ""), lambda w: F.pmod(F.xxhash64(w), F.lit(1 << CLASS_BITS))))
+def term_hashes(text: Column) -> Column:
+    """Distinct 64-bit hashes of the lower-cased terms of a text; the low ``CLASS_BITS`` bits are a term's class."""
+    words = F.array_remove(F.split(F.lower(text), TERM_BREAK), "")
+    return F.array_distinct(F.transform(words, lambda w: F.xxhash64(w)))
 
 
 def idf_band(texts: DataFrame, least: float = 1e-4, most: float = 0.1) -> Column:
     """Bitmap (array of longs) of the classes that ``least`` to ``most`` of all documents hold (and two at least)."""
     n = texts.count()
-    seen = texts.select(F.explode(term_classes(F.col("text"))).alias("c")).groupBy("c").agg(F.count(F.lit(1)).alias("df"))
+    classes = F.array_distinct(F.transform(term_hashes(F.col("text")), lambda w: w.bitwiseAND(F.lit((1 << CLASS_BITS) - 1)).cast("int")))
+    seen = texts.select(F.explode(classes).alias("c")).groupBy("c").agg(F.count(F.lit(1)).alias("df"))
     held = seen.filter((F.col("df") >= max(2.0, least * n)) & (F.col("df") <= max(2.0, most * n)))
     words = held.groupBy(F.shiftright("c", 6).cast("int").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(c & 63 as int))")).alias("bits"))
     bitmap = [0] * (1 << (CLASS_BITS - 6))
@@ -48,53 +49,68 @@ def idf_band(texts: DataFrame, least: float = 1e-4, most: float = 0.1) -> Column
     return F.expr(f"from_json('[{','.join(map(str, bitmap))}]', 'array<bigint>')")
 
 
-def _memberships(c: Column) -> Column:
-    """Sorted-list keys (subset << CLASS_BITS | class) of the subsets that hold a class; null where a level has none."""
-    out, first = [], 0
-    for level, (bits, n) in enumerate(LEVELS):
-        part = F.pmod(F.xxhash64(c, F.lit(level)), F.lit(1 << bits))
-        out.append(F.when(part < n, F.shiftleft(part + first, CLASS_BITS).bitwiseOR(c)))
-        first += n
-    return F.array(*out)
+#: Bits of a key below the subset's number; a key's lowest bit is set, so a fence (none of them set) sorts before its subset's keys.
+_BELOW = 57
 
 
-def subset_hashes(classes: Column, band: Column) -> Column:
-    """One long per subset, null where the text has no term of the subset in the band."""
-    held = F.filter(classes, lambda c: F.getbit(F.element_at(band, (F.shiftright(c, 6) + 1).cast("int")), c.bitwiseAND(F.lit(63)).cast("int")) == 1)
-    keys = F.filter(F.flatten(F.transform(held, _memberships)), lambda k: k.isNotNull())
-    # fences between subsets: one below and one above every subset's keys
-    fence = F.transform(F.sequence(F.lit(0), F.lit(SUBSETS)), lambda s: F.shiftleft(s.cast("long"), CLASS_BITS) * 2 - 1)
-    run = F.array_sort(F.concat(F.transform(keys, lambda k: k + F.shiftright(k, CLASS_BITS) * (1 << CLASS_BITS)), fence))
+def _bind(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
-    def one(run: Column) -> Column:
-        def hashed(s: Column) -> Column:
-            low, high = (F.array_position(run, F.shiftleft((s + d).cast("long"), CLASS_BITS) * 2 - 1).cast("int") for d in (0, 1))
-            return F.when(high - low > 1, F.xxhash64(F.slice(run, low + 1, high - low - 1)))
 
-        return F.transform(F.sequence(F.lit(0), F.lit(SUBSETS - 1)), hashed)
+def subset_hashes(terms: Column, band: Column) -> Column:
+    """One long per subset, null where the text has no term of the subset in the band.
 
-    return F.element_at(F.transform(F.array(run), one), 1)
+    Membership is read off disjoint bits of a term's hash, one field a level; all subsets' terms are sorted at once, with fences between
+    the subsets, and each run between two fences is hashed.
+    """
+    mask = (1 << CLASS_BITS) - 1
+    held = F.filter(terms, lambda w: F.getbit(F.get(band, F.shiftright(w.bitwiseAND(F.lit(mask)), 6).cast("int")), w.bitwiseAND(F.lit(63)).cast("int")) == 1)
+
+    def keys(held: Column) -> Column:
+        out, first, shift = [F.transform(F.sequence(F.lit(0), F.lit(SUBSETS - 1)), lambda s: F.shiftleft(s.cast("long"), _BELOW))], 0, CLASS_BITS
+        for bits, n in LEVELS:
+            out.append(_level(held, shift, bits, n, first))
+            first, shift = first + n, shift + bits
+        return F.sort_array(F.concat(*out))
+
+    def hashed(run: Column) -> Column:
+        low = F.lit((1 << _BELOW) - 1)
+        fences = F.array_compact(F.transform(run, lambda x, i: F.when(x.bitwiseAND(low) == 0, i)))
+        return _bind(F.array_append(fences, F.size(run)), lambda at: F.transform(F.sequence(F.lit(0), F.lit(SUBSETS - 1)), lambda s: _run_hash(run, F.get(at, s), F.get(at, s + 1))))
+
+    return _bind(_bind(held, keys), hashed)
+
+
+def _level(held: Column, shift: int, bits: int, n: int, first: int) -> Column:
+    part = lambda w: F.shiftright(w, shift).bitwiseAND(F.lit((1 << bits) - 1))
+    inside = held if n == 1 << bits else F.filter(held, lambda w: part(w) < n)
+    return F.transform(inside, lambda w: F.shiftleft(part(w) + first, _BELOW).bitwiseOR(F.shiftrightunsigned(w, 64 - _BELOW)).bitwiseOR(F.lit(1)))
+
+
+def _run_hash(run: Column, low: Column, high: Column) -> Column:
+    return F.when(high - low > 1, F.xxhash64(F.slice(run, low + 2, high - low - 1)))
 
 
-def fingerprint(hashes: Column, classes: Column) -> Column:
+def fingerprint(hashes: Column, terms: Column) -> Column:
     """Text form: 6 hex digits a subset, '-' for a subset without terms; a text with none at all is hashed by all its terms."""
-    short = F.transform(hashes, lambda h: F.coalesce(F.lpad(F.lower(F.hex(F.pmod(h, F.lit(1 << 24)))), 6, "0"), F.lit("-")))
-    return F.when(F.exists(hashes, lambda h: h.isNotNull()), F.array_join(short, ".")).otherwise(F.concat(F.lit("~"), F.lower(F.hex(F.xxhash64(F.array_sort(classes))))))
+    short = F.transform(hashes, lambda h: F.coalesce(F.substring(F.hex(h.bitwiseAND(F.lit((1 << 24) - 1)).bitwiseOR(F.lit(1 << 24))), 2, 6), F.lit("-")))
+    return F.when(F.size(F.array_compact(hashes)) > 0, F.array_join(short, ".")).otherwise(F.concat(F.lit("~"), F.hex(F.xxhash64(F.sort_array(terms)))))
 
 
 def likeness(a: Column, b: Column, whole_a: Column, whole_b: Column) -> Column:
     """Equal subsets among those that hold a term of either; without any, whether the fingerprints are equal."""
-    both = F.arrays_zip(a.alias("a"), b.alias("b"))
-    used = F.size(F.filter(both, lambda x: x["a"].isNotNull() | x["b"].isNotNull()))
-    same = F.size(F.filter(both, lambda x: x["a"].isNotNull() & (x["a"] == x["b"])))
-    return F.when(whole_a == whole_b, 1.0).when(used == 0, 0.0).otherwise(same / used)
+    agree = F.array_compact(F.zip_with(a, b, lambda x, y: F.when(x.isNotNull() | y.isNotNull(), x.eqNullSafe(y).cast("int"))))
+    share = _bind(agree, lambda z: F.when(F.size(z) == 0, 0.0).otherwise(1 - F.size(F.array_remove(z, 1)) / F.size(z)))
+    return F.when(whole_a == whole_b, 1.0).otherwise(share)
 
 
 def fingerprints(docs: DataFrame, least: float = 1e-4, most: float = 0.1) -> DataFrame:
     """doc columns with ``fingerprint``: the operator's plain form (nothing but a projection once the band is known)."""
     band = idf_band(docs.select(F.coalesce("text", F.lit("")).alias("text")), least, most)
-    classes = term_classes(F.coalesce("text", F.lit("")))
-    return docs.withColumn("fingerprint", fingerprint(subset_hashes(classes, band), classes))
+    rows = docs.select(F.struct("*").alias("row"), term_hashes(F.coalesce("text", F.lit(""))).alias("t"))
+    rows = rows.withColumn("h", subset_hashes(F.col("t"), band)).withColumn("fingerprint", fingerprint(F.col("h"), F.col("t")))
+    return rows.select("row.*", "fingerprint")
 
 
 def with_successor(docs: DataFrame, rows_per_range: int = 20_000, cells: int = 1 << 14) -> tuple[DataFrame, Window]:
@@ -145,7 +161,7 @@ def fingerprint_edits(docs: DataFrame, least: float = 1e-4, most: float = 0.1) -
     half = F.floor(F.length("text") / 2).cast("int")
     rows = rows.withColumn("n_chars", F.length("text")).withColumn("after", F.lead("text").over(down))
     edited = F.concat(F.substring("text", F.lit(1), F.col("n_chars") - half), F.substring(F.coalesce("after", F.lit("")), F.lit(1), half))
-    rows = rows.select("range", "spare", "doc_id", F.xxhash64("text").alias("order"), F.col("n_chars").cast("long").alias("n_chars"), F.sha2(edited, 256).alias("edited_sha256"), term_classes(F.col("text")).alias("c"), term_classes(edited).alias("ec"))
+    rows = rows.select("range", "spare", "doc_id", F.xxhash64("text").alias("order"), F.col("n_chars").cast("long").alias("n_chars"), F.sha2(edited, 256).alias("edited_sha256"), term_hashes(F.col("text")).alias("c"), term_hashes(edited).alias("ec"))
     rows = rows.withColumn("h", subset_hashes(F.col("c"), band)).withColumn("eh", subset_hashes(F.col("ec"), band))
     rows = rows.select("range", "spare", "doc_id", "order", "n_chars", "edited_sha256", "h", "eh", fingerprint(F.col("h"), F.col("c")).alias("fingerprint"), fingerprint(F.col("eh"), F.col("ec")).alias("edited_fingerprint"))
     down = Window.partitionBy("range").orderBy("spare", F.col("doc_id").desc_nulls_last(), "order")
