@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lodeweave.sources.scratch import materialize, shared_dir
+
+__all__ = ["WORD", "documents", "fold_of", "if_small", "materialize", "shared_dir", "source_key"]
+
 #: Java regex of a word: everything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -18,39 +18,6 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """Folder that driver and executors share: ``spark.checkpoint.dir``.
-
-    Only where that setting is absent (tests, notebooks in local mode) a temporary folder is chosen.
-    """
-    sc = spark.sparkContext
-    base = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
-    if not base:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="lodeweave-"))
-        base = sc.getCheckpointDir()
-    return base.rstrip("/")
-
-
-def _forget(spark: SparkSession, path: str) -> None:
-    try:
-        jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-        jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
-    except Exception:  # the JVM may be gone at exit; the folder is scratch space
-        pass
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a table in the shared folder and read it back.
-
-    This cuts lineage, survives lost executors and gives the planner true sizes.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/lodeweave/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    atexit.register(_forget, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def source_key(source: Column) -> Column:
     """Never-null key of a source; null and the empty string stay apart."""
     return F.coalesce(F.concat(F.lit("="), source.cast("string")), F.lit("-"))
@@ -59,3 +26,9 @@ def source_key(source: Column) -> Column:
 def fold_of(doc_id: Column, parts: int) -> Column:
     """crc32 of the id's text, modulo ``parts``: which fold a document is in (null id: as empty text)."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % parts
+
+
+def if_small(written: DataFrame, entries: Column, most: int) -> DataFrame:
+    """A written table marked for broadcast if its rows and their entries are ``most`` at most, else as it is (to be joined by a shuffle)."""
+    rows, inside = written.agg(F.count(F.lit(1)), F.coalesce(F.sum(entries), F.lit(0))).first()
+    return F.broadcast(written) if rows + inside <= most else written
