@@ -185,3 +185,46 @@ def expand(starts: DataFrame, edges: DataFrame, depth: int) -> DataFrame:
         front = step.join(seen, "id", "left_anti").withColumn("depth", F.lit(d))
         seen = seen.unionByName(front)
     return seen
+
+
+def recent_descriptions(datasets: DataFrame, since: Column, limit: int, doc: str = "croissant_metadata", ts: str = "last_modified", key: str = "datasetId") -> DataFrame:
+    """The newest datasets after a time whose description is not empty."""
+    held = F.col(doc).isNotNull() & ~F.regexp_replace(doc, r"\s", "").isin("", "{}")
+    return page(datasets.filter(held & (F.col(ts) > since)), [F.col(ts).desc(), F.col(key)], 0, limit)
+
+
+def after_front_matter(card: Column) -> Column:
+    """Text after the second ``---``, the whole text without two of them."""
+    parts = F.split(card, "---")
+    return F.when(F.size(parts) > 2, F.array_join(F.slice(parts, 3, F.size(parts)), "---")).otherwise(card)
+
+
+def flat_values(cells: Column) -> Column:
+    """Data of extraction cells (arrays of texts) as one flat list; a missing text becomes ''."""
+    return F.flatten(F.transform(cells, lambda c: F.transform(F.coalesce(c["data"], F.array(F.lit(None).cast("string"))), lambda x: F.coalesce(x, F.lit("")))))
+
+
+def question_columns(models: DataFrame, tasks: DataFrame, languages: DataFrame, libraries: DataFrame, time: Column) -> DataFrame:
+    """Oldest form: answers by question column (repeats of tags are kept).
+
+    q_id_0 name, 1 author, 2 creation date, 3 task, 4 datasets, 13 languages, 15 articles, 16 keywords, 17 libraries, 26 page, 30 download count.
+    """
+    entry = lambda c: F.array(F.struct(c.alias("data"), F.lit("Parsed_from_HF_dataset").alias("extraction_method"), F.lit(1.0).alias("confidence"), time.alias("extraction_time")))
+    pick = lambda keep, value=lambda t: t: F.filter(F.transform("tags", lambda t: F.when(keep(t), value(t))), lambda t: t.isNotNull())
+    words = lambda df, name: F.broadcast(df.agg(F.collect_set("name").alias(name)))  # noqa: E731 - vocabularies of a few hundred names
+    m = models.join(words(tasks, "_tasks")).join(words(languages, "_langs")).join(words(libraries, "_libs"))
+    low = lambda t: F.lower(F.replace(t, F.lit("-"), F.lit(" ")))
+    return m.select(
+        F.col("modelId"),
+        entry(F.col("modelId")).alias("q_id_0"),
+        entry(F.col("author")).alias("q_id_1"),
+        entry(F.date_format("createdAt", "yyyy-MM-dd'T'HH:mm:ss")).alias("q_id_2"),
+        entry(pick(lambda t: F.array_contains("_tasks", low(t)), low)).alias("q_id_3"),
+        entry(pick(lambda t: F.contains(t, F.lit("dataset:")), lambda t: F.replace(t, F.lit("dataset:"), F.lit("")))).alias("q_id_4"),
+        entry(pick(lambda t: F.array_contains("_langs", F.lower(t)))).alias("q_id_13"),
+        entry(pick(lambda t: F.contains(t, F.lit("arxiv:")), lambda t: F.replace(t, F.lit("arxiv:"), F.lit("")))).alias("q_id_15"),
+        entry(pick(lambda t: ~F.contains(t, F.lit(":")))).alias("q_id_16"),
+        entry(pick(lambda t: F.array_contains("_libs", F.lower(t)))).alias("q_id_17"),
+        entry(F.concat(F.lit("https://huggingface.co/"), "modelId")).alias("q_id_26"),
+        entry(F.col("downloads").cast("string")).alias("q_id_30"),
+    )

@@ -170,3 +170,27 @@ def resolve_names(triples: DataFrame, predicates: Sequence[str], name_predicate:
     names = triples.filter(F.col("p") == name_predicate).groupBy(F.col("s").alias("_e")).agg(F.min("o").alias("_name"))
     out = triples.join(names, (F.col("o") == F.col("_e")) & F.col("p").isin(*predicates) & (F.col("o_kind") != "literal"), "left")
     return out.withColumn("shown", F.coalesce("_name", "o")).drop("_e", "_name")
+
+
+def match(triples: DataFrame, s: str | None = None, p: str | None = None, o: str | None = None) -> DataFrame:
+    """Basic graph pattern with constants; the filters reach the scan."""
+    for c, v in (("s", s), ("p", p), ("o", o)):
+        if v is not None:
+            triples = triples.filter(F.col(c) == v)
+    return triples
+
+
+def named_graph(quads: DataFrame, g: str) -> DataFrame:
+    """The triples of one named graph."""
+    return quads.filter(F.col("g") == g).drop("g").distinct()
+
+
+def insert_triples(quads: DataFrame, triples: DataFrame, g: str) -> DataFrame:
+    """A named graph grown by triples; what it holds already is not added again."""
+    new = triples.withColumn("g", F.lit(g)).select(*quads.columns)
+    return quads.unionByName(new).distinct()
+
+
+def delete_triple(quads: DataFrame, g: str, s: str, p: str, o: str) -> DataFrame:
+    """A named graph without one triple."""
+    return quads.filter(~((F.col("g") == g) & (F.col("s") == s) & (F.col("p") == p) & (F.col("o") == o)))

@@ -163,3 +163,13 @@ def extract_properties(sections: DataFrame, questions: DataFrame, strategy: str,
     ctx = best.groupBy("doc_id", "property").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "content"))), lambda x: x["content"]), "\n\n").alias("context"), F.avg("score").alias("confidence"))
     out = answer_questions(ctx.join(questions.select("property", "question"), "property"), model, time if time is not None else F.current_timestamp())
     return out.select("doc_id", "property", F.col("answer").alias("data"), "confidence", F.lit("grouped_qa" if strategy == "grouped" else "individual_qa").alias("method"))
+
+
+def question_blocks(properties: DataFrame) -> DataFrame:
+    """(property, description, section) to (property, question): name, description and likely sections; properties without a description are skipped."""
+    from lodeweave.functions.columns import humanize, strip
+
+    sections = F.filter(F.transform(F.split(F.coalesce("section", F.lit("")), ";"), strip), lambda x: x != "")
+    where = F.when(F.size(sections) > 0, F.concat(F.lit("\nSections: "), F.array_join(sections, ", "))).otherwise("")
+    some = properties.filter(strip(F.coalesce("description", F.lit(""))) != "")
+    return some.select("property", F.concat(humanize(F.col("property")), F.lit(": "), strip(F.col("description")), where).alias("question"))

@@ -275,3 +275,33 @@ def croissant_wide_rows(spark, d):
 def model_name_list(spark, d):
     """Last segments of names, as lists of models are read."""
     return table(spark, d, "part").select(last_segment(F.replace("p_name", F.lit(" "), F.lit("/"))).alias("name")).distinct()
+
+
+@query("""SELECT event_id, ts FROM events WHERE ts > TIMESTAMP '2024-01-05' AND event_id % 3 <> 0 ORDER BY ts DESC, event_id LIMIT 40""")
+def recent_descriptions(spark, d):
+    e = table(spark, d, "events").withColumn("doc", F.when(F.col("event_id") % 3 == 0, "{ }").otherwise(F.col("props")))
+    return extract.recent_descriptions(e, F.lit("2024-01-05").cast("timestamp_ntz"), 40, "doc", "ts", "event_id").select("event_id", "ts")
+
+
+@query("""SELECT doc_id, md5(E'\\n' || text || CASE WHEN doc_id % 2 = 0 THEN '---end' ELSE '' END) AS rest FROM documents""")
+def context_after_front_matter(spark, d):
+    card = F.concat(F.lit("---\na: b\n---\n"), "text", F.when(F.col("doc_id") % 2 == 0, "---end").otherwise(""))
+    return table(spark, d, "documents").select("doc_id", F.md5(extract.after_front_matter(card)).alias("rest"))
+
+
+@query("""SELECT user_id, list(coalesce(CASE WHEN event_id % 5 = 0 THEN NULL ELSE event_type END, '') ORDER BY event_id) AS vals FROM events GROUP BY user_id""")
+def flat_cell_values(spark, d):
+    cell = F.struct("event_id", F.when(F.col("event_id") % 5 != 0, F.array("event_type")).alias("data"))
+    g = table(spark, d, "events").groupBy("user_id").agg(F.array_sort(F.collect_list(cell)).alias("cells"))
+    return g.select("user_id", extract.flat_values(F.col("cells")).alias("vals"))
+
+
+@query("""SELECT 'm' || CAST(p_partkey AS VARCHAR) AS "modelId", [lower(p_type)] AS q3, [p_brand] AS q4, ['en', 'en'] AS q13, [p_type, 'en', 'en', 'PyTorch'] AS q16, ['PyTorch'] AS q17 FROM part""")
+def question_columns(spark, d):
+    names = lambda *x: spark.createDataFrame([(v,) for v in x], "name string")
+    ts = F.lit("2024-01-02").cast("timestamp")
+    tags = F.array("p_type", F.concat(F.lit("dataset:"), "p_brand"), F.lit("en"), F.lit("en"), F.lit("PyTorch"), F.lit("region:us"))
+    part = table(spark, d, "part")
+    models = part.select(F.concat(F.lit("m"), F.col("p_partkey").cast("string")).alias("modelId"), F.col("p_brand").alias("author"), ts.alias("createdAt"), F.lit(5).cast("long").alias("downloads"), tags.alias("tags"))
+    out = extract.question_columns(models, part.select(F.lower("p_type").alias("name")).distinct(), names("en"), names("pytorch"), F.lit("t"))
+    return out.select("modelId", *(F.col(f"q_id_{i}")[0]["data"].alias(f"q{i}") for i in (3, 4, 13, 16, 17)))

@@ -334,3 +334,17 @@ def sink_roundtrip(spark, d):
     path = scratch_path(spark, "roundtrip")
     write_ntriples(customer_triples(spark, d), path)
     return ntriples(spark, path).select(*graph.TERM)
+
+
+@query(f"""WITH {CUSTOMER_SQL} SELECT s, p, o FROM ct WHERE p = '{S}keywords' AND o = 'BUILDING'""")
+def graph_pattern(spark, d):
+    return graph.match(customer_triples(spark, d), p=S + "keywords", o="BUILDING").select("s", "p", "o")
+
+
+@query(f"""WITH {CUSTOMER_SQL} SELECT DISTINCT s, p, o FROM ct WHERE p <> '{S}name' UNION SELECT 'urn:x', 'urn:p', 'y' """)
+def named_graph_edits(spark, d):
+    """Insert data, delete one triple, read the graph."""
+    t = customer_triples(spark, d).filter(F.col("p") != S + "name").select(F.lit("g1").alias("g"), "s", "p", "o")
+    add = spark.createDataFrame([("urn:x", "urn:p", "y"), ("urn:x", "urn:p", "z")], "s string, p string, o string")
+    quads = graph.delete_triple(graph.insert_triples(t.unionByName(t.withColumn("g", F.lit("g2"))), add, "g1"), "g1", "urn:x", "urn:p", "z")
+    return graph.named_graph(quads, "g1")

@@ -281,3 +281,22 @@ def keywords(*tables: DataFrame) -> DataFrame:
     for t in tables[1:]:
         out = out.unionByName(t, allowMissingColumns=True)
     return out
+
+
+def schema_properties(spark: SparkSession, path: str) -> DataFrame:
+    """Schema definition table (tab- or comma-separated) as property, source, range, real_range, description, section, file_order.
+
+    The text ``None`` as a range means that there is none.
+    """
+    raw = spark.read.csv(path, sep="\t" if path.endswith(".tsv") else ",", header=True)
+    has = lambda c: F.trim(F.col(f"`{c}`")) if c in raw.columns else F.lit(None).cast("string")
+    rng = lambda c: F.nullif(has(c), F.lit("None"))
+    return raw.select(has("Property").alias("property"), has("Source").alias("source"), rng("Range").alias("range"), rng("Real_Range").alias("real_range"), has("Description").alias("description"), has("HF_Readme_Section").alias("section"), F.monotonically_increasing_id().alias("file_order"))
+
+
+def path_mapping(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """Mapping table (key, path) to ordered path lists; a configuration of a few dozen lines."""
+    out: dict[str, list[str]] = {}
+    for r in tsv(spark, path).collect():
+        out.setdefault(r[0], []).append(r[1])
+    return out
