@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Callable, Sequence
 from typing import Protocol
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+_TERM = re.compile(r"[^\W_]+")
+
+
 class Embedder(Protocol):
     """Anything that maps texts to vectors; see :func:`hashed_vector` for the default."""
 
@@ -18,10 +23,14 @@ class Embedder(Protocol):
 
 
 def hashed_vector(text: Column, dims: int = 256) -> Column:
-    """Deterministic bag-of-words vector by hashing, as built-in expressions."""
-    words = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
-    slots = F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(dims)))
-    return F.transform(F.sequence(F.lit(0), F.lit(dims - 1)), lambda d: F.size(F.filter(slots, lambda s: s == d)).cast("float"))
+    """Deterministic bag-of-words vector by hashing (an Arrow function: built-in expressions would pass over the words once per dimension)."""
+
+    @F.pandas_udf("array<float>")
+    def embed(texts: pd.Series) -> pd.Series:
+        slots = (np.array([zlib.crc32(w.encode()) % dims for w in _TERM.findall((t or "").lower())], np.int64) for t in texts)
+        return pd.Series([np.bincount(s, minlength=dims).astype(np.float32) for s in slots])
+
+    return embed(text)
 
 
 def _dot(a: Column, b: Column) -> Column:
@@ -62,8 +71,6 @@ def context_match(questions: DataFrame, items: DataFrame, **kw) -> DataFrame:
 
 def cluster_questions(vectors: Sequence[Sequence[float]], n: int) -> list[int]:
     """Average-linkage clusters of a few dozen questions; the rows of the distance matrix serve as features."""
-    import numpy as np
-
     x = np.asarray(vectors, float)
     x = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
     f = 1 - x @ x.T
