@@ -19,14 +19,14 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodeweave.llm.common import documents
+from lodeweave.llm.common import documents, if_small, materialize
 from lodeweave.llm.setjoin import SetJoin
 from lodeweave.llm.tokensets import Lines
 
 
 def line_classes(docs: DataFrame, num: int = 80, den: int = 100) -> DataFrame:
     """One row per line with words: doc_id, line, class_doc, class_line (the line that stays of its class)."""
-    join = SetJoin(docs, Lines(), num, den, least=4)
+    join = SetJoin(docs, Lines(), num, den, least=4, bitmaps=True)
     _, found = join.links()
     lines = join.table.select("doc_id", "line", "set_id")
     at = F.struct("doc_id", "line")
@@ -37,11 +37,12 @@ def line_classes(docs: DataFrame, num: int = 80, den: int = 100) -> DataFrame:
     return lines.join(tops, "set_id").select("doc_id", "line", F.col("top.doc_id").alias("class_doc"), F.col("top.line").alias("class_line"))
 
 
-def removed_lines(docs: DataFrame, num: int = 80, den: int = 100) -> DataFrame:
-    """doc_id, removed (sorted distinct line numbers) of the documents that lose lines."""
+def removed_lines(docs: DataFrame, num: int = 80, den: int = 100, most_sent: int = 1_000_000) -> DataFrame:
+    """doc_id, removed (sorted distinct line numbers) of the documents that lose lines; broadcast up to ``most_sent`` entries (some 20 MB)."""
     classes = line_classes(docs, num, den)
     later = classes.filter(~(F.col("doc_id").eqNullSafe(F.col("class_doc")) & (F.col("line") == F.col("class_line"))))
-    return later.groupBy("doc_id").agg(F.array_sort(F.collect_set("line")).alias("removed"))
+    out = materialize(later.groupBy("doc_id").agg(F.array_sort(F.collect_set("line")).alias("removed")), "removed")
+    return if_small(out, F.size("removed"), most_sent)
 
 
 def without_lines(text: str | None, removed: list[int] | None) -> str | None:

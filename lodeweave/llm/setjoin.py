@@ -24,9 +24,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodeweave.llm.common import materialize
+from lodeweave.llm.common import if_small, materialize
 from lodeweave.llm.components import components
-from lodeweave.llm.tokensets import RANK_BITS, TOKEN_MASK, Lines, Rarity, Shingles, batches, squeeze, unsqueeze
+from lodeweave.llm.tokensets import TOKEN_MASK, Lines, Rarity, Sets, Shingles, batches, squeeze, unsqueeze
 
 SKETCH_BITS = 20
 CHUNK = 1 << 12
@@ -45,6 +45,49 @@ def extra_length(n: np.ndarray, num: int, den: int) -> np.ndarray:
     return np.maximum(1, prefix_length(n, num, den) // 2)
 
 
+def set_bits(sets: Sets) -> np.ndarray:
+    """Two longs per item with one bit set for each token, by hash."""
+    bit = (sets.tokens * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(57)
+    where = np.unique((sets.item.astype(np.uint64) << np.uint64(7)) | bit)
+    half = (where >> np.uint64(6)).astype(np.int64)
+    out = np.zeros(2 * len(sets.owner), np.uint64)
+    np.bitwise_or.at(out, half, np.uint64(1) << (where & np.uint64(63)))
+    return out.view(np.int64).reshape(-1, 2)
+
+
+def near_groups(token: np.ndarray, set_id: np.ndarray, n: np.ndarray, pos: np.ndarray, bits: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of rows sorted by (token, set): rows that may have a partner of their token, and for each the least set it may be linked with over others.
+
+    Rows are compared with those 1, 2, 3 ... places further in their group, all groups at once.  A pair stays if lengths and positions allow
+    the similarity and the bits that differ (at most the tokens that differ) are few enough.
+    """
+    a = np.arange(len(token))
+    root = np.arange(len(token))
+    lag = 0
+    while len(a):
+        lag += 1
+        a = a[a + lag < len(token)]
+        a = a[token[a] == token[a + lag]]
+        i = a[root[a] != root[a + lag]]  # what is connected needs no comparison
+        if not len(i):
+            continue
+        j = i + lag
+        x, y = n[i].astype(np.int64), n[j].astype(np.int64)
+        may = np.minimum(x, y) * den >= np.maximum(x, y) * num
+        most = np.minimum(pos[i], pos[j]) + 1 + np.minimum(x - pos[i] - 1, y - pos[j] - 1)
+        may &= most * (num + den) >= (x + y) * num
+        may &= np.bitwise_count(bits[i] ^ bits[j]).sum(1, dtype=np.int64) * (num + den) <= (den - num) * (x + y)
+        i, j = root[i[may]], root[j[may]]
+        while len(i):  # hook the larger root to the smaller, then point everything at its root
+            np.minimum.at(root, np.maximum(i, j), np.minimum(i, j))
+            while (root != root[root]).any():
+                root = root[root]
+            i, j = root[i], root[j]
+            i, j = i[i != j], j[i != j]
+    rows = np.flatnonzero(np.bincount(root, minlength=len(token))[root] > 1) if len(token) else np.empty(0, np.int64)
+    return rows, set_id[root[rows]]
+
+
 def join_members(ids: list[int], sets: list[np.ndarray], num: int, den: int, orders: int) -> list[tuple[int, int]]:
     """Links that connect all similar sets of a cluster: exact, by local token frequencies and intersected prefix filters."""
     if len(ids) == 2:
@@ -109,6 +152,8 @@ class SetJoin:
 
     ``least``: sets with fewer tokens match equal sets only (where the threshold implies that anyway, it saves work).
     ``orders``: further global token orders under which a pair must share prefix tokens too, before whole sets are compared.
+    ``bitmaps``: sets are small enough for 128-bit maps of their tokens to tell most strangers apart within a token's group; the tokens a
+    similar pair shares beyond the first are not counted then.
     ``block_tokens``: tokens that a task joins at once.
     ``most_sent``: entries up to which the list of wanted sets is broadcast (some 50 MB); beyond it is joined by a shuffle.
     """
@@ -119,6 +164,7 @@ class SetJoin:
     den: int
     orders: int = 0
     least: int = 1
+    bitmaps: bool = False
     block_tokens: int = 2_000_000
     most_sent: int = 400_000
     table: DataFrame = field(init=False)
@@ -180,7 +226,7 @@ class SetJoin:
 
     def _prefixes(self) -> DataFrame:
         """token, set_id, n, pos of every distinct set's first p + l - 1 tokens (repeats across tasks remain)."""
-        kind, num, den, least, rarity = self.kind, self.num, self.den, self.least, self._rarity()
+        kind, num, den, least, bitmaps, rarity = self.kind, self.num, self.den, self.least, self.bitmaps, self._rarity()
 
         def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             seen: set[int] = set()
@@ -194,14 +240,64 @@ class SetJoin:
                             fresh[i] = True
                     if len(seen) > 500_000:
                         seen.clear()
-                    size = np.where(fresh & (sets.count > 0), prefix_length(sets.count, num, den) + extra_length(sets.count, num, den) - 1, 0)
+                    size = np.where(fresh & (sets.count > 0), prefix_length(sets.count, num, den) + (0 if bitmaps else extra_length(sets.count, num, den) - 1), 0)
                     item, token = sets.order
                     pos = np.arange(len(item)) - np.searchsorted(item, item)
                     early = pos < size[item]
                     item, token, pos = item[early], token[early], pos[early]
-                    yield pa.RecordBatch.from_arrays([pa.array(token.astype(np.int64)), pa.array(ids[item]), pa.array(sets.count[item].astype(np.int32)), pa.array(pos.astype(np.int32))], names=["token", "set_id", "n", "pos"])
+                    cols = [token.astype(np.int64), ids[item], sets.count[item].astype(np.int32), pos.astype(np.int32)]
+                    if bitmaps:
+                        cols += list(set_bits(sets)[item].T)
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["token", "set_id", "n", "pos", "bits0", "bits1"][: len(cols)])
+
+        return self.docs.select("text").mapInArrow(run, "token long, set_id long, n int, pos int" + ", bits0 long, bits1 long" * bitmaps)
+
+    def _near_groups(self) -> DataFrame:
+        """The same as :meth:`_groups`, without members whose bits differ from all others' too much; a group too large to compare stays whole."""
+        num, den = self.num, self.den
+        large = 5_000
 
-        return self.docs.select("text").mapInArrow(run, "token long, set_id long, n int, pos int")
+        def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held: list[np.ndarray] | None = None
+            whole: tuple[int, int] | None = None  # token and pivot of a large group under way
+
+            def batch(set_id, n, pos, pivot) -> pa.RecordBatch:
+                return pa.RecordBatch.from_arrays([pa.array(set_id, pa.int64()), pa.array(n, pa.int32()), pa.array(pos, pa.int32()), pa.array(pivot, pa.int64())], names=["set_id", "n", "pos", "pivot"])
+
+            def done(cols: list[np.ndarray]) -> pa.RecordBatch:
+                token, set_id, n, pos = cols[:4]
+                rows, pivot = near_groups(token, set_id, n, pos, np.stack(cols[4:], 1).view(np.uint64), num, den)
+                return batch(set_id[rows], n[rows], pos[rows], pivot)
+
+            for part in parts:
+                cols = [part.column(i).to_numpy() for i in range(6)]
+                if whole is not None and len(cols[0]):
+                    k = int(np.searchsorted(cols[0], whole[0], side="right"))
+                    if k:
+                        yield batch(cols[1][:k], cols[2][:k], cols[3][:k], np.full(k, whole[1]))
+                    cols = [c[k:] for c in cols]
+                    whole = whole if not len(cols[0]) else None
+                if not len(cols[0]):
+                    continue
+                cols = cols if held is None else [np.concatenate(x) for x in zip(held, cols)]
+                new = np.concatenate([[True], (cols[0][1:] != cols[0][:-1]) | (cols[1][1:] != cols[1][:-1])])
+                cols = [c[new] for c in cols]
+                last = int(np.searchsorted(cols[0], cols[0][-1]))
+                if last >= 50_000:
+                    yield done([c[:last] for c in cols])
+                    cols, last = [c[last:] for c in cols], 0
+                held = cols
+                if len(cols[0]) - last > large:
+                    if last:
+                        yield done([c[:last] for c in cols])
+                    group = [c[last:] for c in cols]
+                    whole, held = (int(group[0][0]), int(group[1][0])), None
+                    yield batch(group[1], group[2], group[3], np.full(len(group[1]), whole[1]))
+            if held is not None:
+                yield done(held)
+
+        rows = self._prefixes().repartition("token").sortWithinPartitions("token", "set_id")
+        return rows.mapInArrow(run, "set_id long, n int, pos int, pivot long")
 
     def _groups(self) -> DataFrame:
         """set_id, n, pos, pivot of each set that shares a token, by token; the pivot is the group's least set."""
@@ -239,6 +335,11 @@ class SetJoin:
     def clusters(self) -> DataFrame:
         """(pivot, set_id, n): the sets that may have a partner, by the pivots they may meet it at."""
         num, den = self.num, self.den
+        if self.bitmaps:
+            # few are left, so sets that meet at several pivots can meet once: at the component of all these meetings
+            near = materialize(self._near_groups().select("pivot", "set_id", "n").distinct(), "groups")
+            meet = components(near.select(F.col("set_id").alias("a"), F.col("pivot").alias("b")))
+            return near.select("set_id", "n").distinct().join(meet.withColumnRenamed("id", "set_id"), "set_id").select(F.col("component").alias("pivot"), "set_id", "n")
         groups = materialize(self._groups(), "groups")
         smaller = F.ceil(F.col("n") * num / den).cast("int")
         # l of the smallest partner: floor((1 - t) m) + 1 tokens, halved
@@ -260,9 +361,7 @@ class SetJoin:
         home = self.table.filter("n > 0").groupBy("set_id").agg(F.min("doc_id").alias("doc_id"))
         sends = materialize(wanted.join(home, "set_id").groupBy("doc_id").agg(F.collect_list(F.struct("set_id", "to")).alias("sends")), "sends")
         # a table of known size goes to the texts; beyond the bound the texts go to it
-        size = sends.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.aggregate("sends", F.lit(0), lambda n, s: n + F.size(s["to"]))), F.lit(0))).first()
-        if size[0] + size[1] <= self.most_sent:
-            sends = F.broadcast(sends)
+        sends = if_small(sends, F.aggregate("sends", F.lit(0), lambda n, s: n + F.size(s["to"])), self.most_sent)
         kind, num, den, orders = self.kind, self.num, self.den, self.orders
 
         def send(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
