@@ -111,6 +111,16 @@ def test_packing(docs, rows, targets):
     assert got.sequence_id.nunique() == got.sequence_id.max() + 1
 
 
+def test_ranks_give_the_ids_of_the_full_definition(rows):
+    from tokenizers import Tokenizer
+
+    ranks, full = packing.default_vocab()
+    encode, whole = packing.Encoder(ranks, full), Tokenizer.from_file(full)
+    texts = [t or "" for _, t, _, _ in rows if len(t or "") < 5000] + ["It's we'll 12345  \n\n\t x", "日本語 ñandú É\u0301 \u00a0x\u2003y", "a<|endoftext|>b", "\x00\x7f…—“q”", "x" * 300]
+    for t in texts:
+        assert encode(t).tolist() == [*whole.encode(t, add_special_tokens=False).ids, packing.END_ID]
+
+
 def test_packing_keeps_proportions(spark):
     d = frame(spark, [(i, "word " * 50, "en", "a" if i % 4 else "b") for i in range(200)]).repartition(3)
     got = packing.pack(d, window=128).toPandas().merge(d.select("doc_id", "source").toPandas(), on="doc_id")
