@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lodeweave.llm.common import documents, materialize
+from lodeweave.llm.common import documents, if_small, materialize
 
 SLOTS = 4
 MAX_KICKS = 200
@@ -167,13 +167,18 @@ def mark_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
-def exact_dedup(docs: DataFrame) -> DataFrame:
-    """The documents that stay, with the columns of ``docs``."""
+def exact_dedup(docs: DataFrame, most_sent: int = 400_000) -> DataFrame:
+    """The documents that stay, with the columns of ``docs``.
+
+    Only texts with copies are looked up: up to ``most_sent`` of them (some 40 MB) are broadcast, beyond that they are joined by a shuffle.
+    """
     slim = materialize(_digests(docs).withColumn("uid", F.monotonically_increasing_id()), "digests")
     copies = materialize(dedup_groups(slim).filter("group_size > 1").select("digest", "keep_id", "tops"), "copies")
+    repeated = not copies.filter("tops > 1").isEmpty()
+    copies = if_small(copies, F.lit(0), most_sent)
     rows = _digests(docs, F.struct("*").alias("row")).join(copies, "digest", "left")
     alone = rows.filter(F.col("tops").isNull() | ((F.col("tops") == 1) & F.col("doc_id").eqNullSafe(F.col("keep_id")))).select("row.*")
-    if copies.filter("tops > 1").isEmpty():
+    if not repeated:
         return alone
     # the same id and text more than once: one of the repeated rows stays
     again = rows.filter((F.col("tops") > 1) & F.col("doc_id").eqNullSafe(F.col("keep_id")))

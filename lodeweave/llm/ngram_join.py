@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lodeweave.llm.common import documents
+from lodeweave.llm.common import documents, if_small, materialize
 from lodeweave.llm.setjoin import SetJoin
 from lodeweave.llm.tokensets import Shingles, batches
 
@@ -32,8 +32,11 @@ def near_components(docs: DataFrame, words: int = 5, num: int = 80, den: int = 1
     return full.unionByName(rows.filter("n_shingles = 0").withColumn("component_id", F.col("doc_id")))
 
 
-def drop_near_duplicates(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """One document of each component, with the columns of ``docs``; documents without words all stay."""
+def drop_near_duplicates(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100, most_sent: int = 400_000) -> DataFrame:
+    """One document of each component, with the columns of ``docs``; documents without words all stay.
+
+    What goes is looked up, not what stays: up to ``most_sent`` sets (some 40 MB) are broadcast, beyond that they are joined by a shuffle.
+    """
     kind = Shingles(words)
 
     def sign(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -41,15 +44,24 @@ def drop_near_duplicates(docs: DataFrame, words: int = 5, num: int = 80, den: in
             for sets in batches(part.column(1), kind):
                 yield pa.RecordBatch.from_arrays([part.column(0).slice(int(sets.owner[0]), len(sets.owner)), pa.array(sets.count), pa.array(sets.ids())], names=["row", "n_shingles", "set_id"])
 
-    kept = near_components(docs, words, num, den).filter("n_shingles > 0").filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    # rows that share an id and stand in different components are told apart by their sets
     no_id = F.lit(-(1 << 63))
-    kept = kept.groupBy(F.coalesce("doc_id", no_id).alias("key")).agg(F.min("set_id").alias("set_id"))
-    # of rows that share an id, those of different components stay apart by their set
+    found = near_components(docs, words, num, den).filter("n_shingles > 0").withColumn("key", F.coalesce("doc_id", no_id))
+    found = materialize(found.groupBy("key", "set_id").agg(F.count(F.lit(1)).alias("rows"), F.min("component_id").alias("component_id")), "components")
+    top = F.col("key") == F.coalesce("component_id", no_id)
+    first = found.filter(top).groupBy("key").agg(F.min("set_id").alias("first"))
+    marked = found.join(first, "key", "left").withColumn("stays", top & (F.col("set_id") == F.col("first")))
+    gone = materialize(marked.filter(~F.coalesce("stays", F.lit(False))).select("key", "set_id"), "gone")
+    twice = materialize(marked.filter(F.col("stays") & (F.col("rows") > 1)).select("key", "set_id"), "repeated")
     rows = docs.select(F.struct("*").alias("row"), F.col("text").cast("string").alias("text")).mapInArrow(sign, f"row {docs.schema.simpleString()}, n_shingles long, set_id long")
-    bare = rows.filter("n_shingles = 0").select("row.*")
-    rows = rows.filter("n_shingles > 0").withColumn("key", F.coalesce(F.col("row.doc_id").cast("long"), no_id)).join(kept, ["key", "set_id"])
-    one = rows.withColumn("nth", F.row_number().over(Window.partitionBy("key", "set_id").orderBy(F.lit(0)))).filter("nth = 1")
-    return one.select("row.*").unionByName(bare)
+    rows = rows.withColumn("key", F.coalesce(F.col("row.doc_id").cast("long"), no_id))
+    kept = rows.join(if_small(gone, F.lit(0), most_sent), ["key", "set_id"], "left_anti")
+    if twice.isEmpty():
+        return kept.select("row.*")
+    # the same id and set more than once: one of the repeated rows stays
+    again = kept.join(twice, ["key", "set_id"], "left_semi")
+    one = again.withColumn("nth", F.row_number().over(Window.partitionBy("key", "set_id").orderBy(F.lit(0)))).filter("nth = 1")
+    return kept.join(twice, ["key", "set_id"], "left_anti").select("row.*").unionByName(one.select("row.*"))
 
 
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
