@@ -22,14 +22,14 @@ from lodeweave.llm.tokensets import Shingles, batches
 
 
 def near_components(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """One row per document: doc_id, n_shingles, set_id, component_id (smallest doc_id reachable by links)."""
+    """One row per document: doc_id, n_shingles, set_id, component (of sets; null without words), component_id (smallest doc_id reachable by links)."""
     join = SetJoin(docs, Shingles(words), num, den, orders=2)
     _, found = join.links()
     rows = join.table.select("doc_id", F.col("n").alias("n_shingles"), "set_id")
     full = rows.filter("n_shingles > 0").join(found.withColumnRenamed("id", "set_id"), "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
     tops = full.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    full = full.join(tops, "component").select("doc_id", "n_shingles", "set_id", "component_id")
-    return full.unionByName(rows.filter("n_shingles = 0").withColumn("component_id", F.col("doc_id")))
+    full = full.join(tops, "component").select("doc_id", "n_shingles", "set_id", "component", "component_id")
+    return full.unionByName(rows.filter("n_shingles = 0").withColumn("component", F.lit(None).cast("long")).withColumn("component_id", F.col("doc_id")))
 
 
 def drop_near_duplicates(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100, most_sent: int = 400_000) -> DataFrame:
@@ -44,13 +44,14 @@ def drop_near_duplicates(docs: DataFrame, words: int = 5, num: int = 80, den: in
             for sets in batches(part.column(1), kind):
                 yield pa.RecordBatch.from_arrays([part.column(0).slice(int(sets.owner[0]), len(sets.owner)), pa.array(sets.count), pa.array(sets.ids())], names=["row", "n_shingles", "set_id"])
 
-    # rows that share an id and stand in different components are told apart by their sets
+    # rows that share an id, or have none, are told apart by their sets; a set stands in one component
     no_id = F.lit(-(1 << 63))
     found = near_components(docs, words, num, den).filter("n_shingles > 0").withColumn("key", F.coalesce("doc_id", no_id))
-    found = materialize(found.groupBy("key", "set_id").agg(F.count(F.lit(1)).alias("rows"), F.min("component_id").alias("component_id")), "components")
-    top = F.col("key") == F.coalesce("component_id", no_id)
-    first = found.filter(top).groupBy("key").agg(F.min("set_id").alias("first"))
-    marked = found.join(first, "key", "left").withColumn("stays", top & (F.col("set_id") == F.col("first")))
+    found = materialize(found.groupBy("key", "set_id").agg(F.count(F.lit(1)).alias("rows"), F.min("component").alias("component")), "components")
+    # the smallest id of each component, and of its sets the smallest; rows without an id come last
+    first = found.groupBy("component").agg(F.min(F.struct(F.col("key") == no_id, "key", "set_id")).alias("first"))
+    first = first.select("first.key", "first.set_id").withColumn("stays", F.lit(True))
+    marked = found.join(first, ["key", "set_id"], "left")
     gone = materialize(marked.filter(~F.coalesce("stays", F.lit(False))).select("key", "set_id"), "gone")
     twice = materialize(marked.filter(F.col("stays") & (F.col("rows") > 1)).select("key", "set_id"), "repeated")
     rows = docs.select(F.struct("*").alias("row"), F.col("text").cast("string").alias("text")).mapInArrow(sign, f"row {docs.schema.simpleString()}, n_shingles long, set_id long")

@@ -343,6 +343,25 @@ def test_drop_near_duplicates(docs, rows, none):
     assert ngram_join.drop_near_duplicates(none).count() == 0 and ngram_join.near_components(none).count() == 0
 
 
+def test_one_document_stays_of_each_component(spark):
+    text = lambda name, n=40: " ".join(f"{name}{k}" for k in range(n))
+    rows = [
+        (None, text("a"), "en", "s"),  # unlike texts without an id, one of them twice
+        (None, text("b"), "en", "s"),
+        (None, text("c"), "en", "s"),
+        (None, text("c"), "en", "t"),
+        (1, text("d"), "en", "s"),  # one id, two unlike texts, each with a near copy
+        (1, text("e"), "en", "s"),
+        (2, text("d") + " more", "en", "s"),
+        (3, text("e") + " more", "en", "s"),
+        (4, text("f"), "en", "s"),  # the copy without an id goes
+        (None, text("f"), "en", "s"),
+    ]
+    out = [(r["doc_id"], r["text"]) for r in ngram_join.drop_near_duplicates(frame(spark, rows)).collect()]
+    expected = [(None, text("a")), (None, text("b")), (None, text("c")), (1, text("d")), (1, text("e")), (4, text("f"))]
+    assert sorted(out, key=repr) == sorted(expected, key=repr)
+
+
 def test_a_large_family_of_near_copies(spark):
     """Chains, a family around one text, and strangers that share a passage: as by comparing all pairs."""
     rng = random.Random(8)
