@@ -4,7 +4,7 @@ Candidates share a prefix token in the order of rarity (found by the join itself
 further token orders too; only the intersection of these filters is verified.  See :mod:`lodeweave.llm.setjoin` for the plan and its bounds.
 
 Defined results: null and empty texts have an empty set and are linked with nothing; a text shorter than a shingle is one shingle; documents
-with equal sets are linked; rows without an id are linked through equal sets alone; an empty table gives an empty result; repeated rows are documents of their own that share an id; further
+with equal sets are linked; rows without an id are linked like all others (a component of such rows alone has no component_id); an empty table gives an empty result; repeated rows are documents of their own that share an id; further
 columns pass through :func:`drop_near_duplicates`, which keeps of each component the row with the smallest id.
 """
 

@@ -32,8 +32,8 @@ SKETCH_BITS = 20
 CHUNK = 1 << 12
 #: Odd multipliers of the further token orders.
 ORDERS = (0x9E3779B97F4B, 0xC2B2AE3D27D5)
-_TABLE = "doc_id long, line long, n long, set_id long, counts binary, chunk int"
-_TABLE_ARROW = pa.schema([("doc_id", pa.int64()), ("line", pa.int64()), ("n", pa.int64()), ("set_id", pa.int64()), ("counts", pa.binary()), ("chunk", pa.int32())])
+_TABLE = "doc_id long, text_key long, line long, n long, set_id long, counts binary, chunk int"
+_TABLE_ARROW = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("line", pa.int64()), ("n", pa.int64()), ("set_id", pa.int64()), ("counts", pa.binary()), ("chunk", pa.int32())])
 
 
 def prefix_length(n: np.ndarray, num: int, den: int) -> np.ndarray:
@@ -170,7 +170,9 @@ class SetJoin:
     table: DataFrame = field(init=False)
 
     def __post_init__(self) -> None:
-        self.docs = self.docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+        text = F.col("text").cast("string")
+        # rows without an id are told apart by a hash of their text; if it collides, a text is read in vain
+        self.docs = self.docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.when(F.col("doc_id").cast("long").isNull(), F.xxhash64(text)).alias("text_key"))
         written = materialize(self.docs.mapInArrow(self._signer(), _TABLE), "sets")
         self.table = written.filter("chunk is null").drop("chunk", "counts")
         self._counters = written.filter("chunk is not null").select("chunk", "counts")
@@ -182,20 +184,20 @@ class SetJoin:
             counts, some = np.zeros((2, 1 << SKETCH_BITS), np.int64), 0  # of tokens, of words
             cell = np.uint64((1 << SKETCH_BITS) - 1)
             for part in parts:
-                ids = part.column(0)
+                ids, keys = part.column(0), part.column(2)
                 for sets in batches(part.column(1), kind):
                     some += len(sets.tokens)
                     for row, hashes in zip(counts, (sets.tokens, sets.words)):
                         row += np.bincount((hashes & cell).astype(np.int64), minlength=1 << SKETCH_BITS)
                     k = len(sets.owner)
                     yield pa.RecordBatch.from_arrays(
-                        [ids.take(pa.array(sets.owner)), pa.array(sets.line, pa.int64()), pa.array(sets.count, pa.int64()), pa.array(sets.ids()), pa.nulls(k, pa.binary()), pa.nulls(k, pa.int32())],
+                        [ids.take(pa.array(sets.owner)), keys.take(pa.array(sets.owner)), pa.array(sets.line, pa.int64()), pa.array(sets.count, pa.int64()), pa.array(sets.ids()), pa.nulls(k, pa.binary()), pa.nulls(k, pa.int32())],
                         schema=_TABLE_ARROW,
                     )
             if some:
                 rows = counts.astype("<u4").reshape(-1, CHUNK)
                 none = pa.nulls(len(rows), pa.int64())
-                yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array([r.tobytes() for r in rows], pa.binary()), pa.array(np.arange(len(rows)), pa.int32())], schema=_TABLE_ARROW)
+                yield pa.RecordBatch.from_arrays([none, none, none, none, none, pa.array([r.tobytes() for r in rows], pa.binary()), pa.array(np.arange(len(rows)), pa.int32())], schema=_TABLE_ARROW)
 
         return run
 
@@ -358,8 +360,8 @@ class SetJoin:
         places = F.when(F.col("blocks") == 1, F.array(to(F.lit(0), F.lit(0)))).otherwise(F.transform(others, lambda j: to(F.least(F.col("own"), j), F.greatest(F.col("own"), j))))
         wanted = clusters.join(sizes, "pivot").withColumn("own", own).groupBy("set_id").agg(F.flatten(F.collect_list(places)).alias("to"))
         # where a set can be read again: one text that holds it
-        home = self.table.filter("n > 0").groupBy("set_id").agg(F.min("doc_id").alias("doc_id"))
-        sends = materialize(wanted.join(home, "set_id").groupBy("doc_id").agg(F.collect_list(F.struct("set_id", "to")).alias("sends")), "sends")
+        home = self.table.filter("n > 0").groupBy("set_id").agg(F.coalesce(F.min("doc_id"), F.min("text_key")).alias("at"))
+        sends = materialize(wanted.join(home, "set_id").groupBy("at").agg(F.collect_list(F.struct("set_id", "to")).alias("sends")), "sends")
         # a table of known size goes to the texts; beyond the bound the texts go to it
         sends = if_small(sends, F.aggregate("sends", F.lit(0), lambda n, s: n + F.size(s["to"])), self.most_sent)
         kind, num, den, orders = self.kind, self.num, self.den, self.orders
@@ -394,7 +396,7 @@ class SetJoin:
                     members[member] = unsqueeze(raw)
             yield flush()
 
-        sent = self.docs.join(sends, "doc_id").select("text", "sends").mapInArrow(send, "key long, i int, j int, member long, tokens binary")
+        sent = self.docs.withColumn("at", F.coalesce("doc_id", "text_key")).join(sends, "at").select("text", "sends").mapInArrow(send, "key long, i int, j int, member long, tokens binary")
         found = sent.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "member").mapInArrow(compare, "a long, b long")
         links = materialize(found.distinct(), "links")
         return links, materialize(components(links), "components")

@@ -343,6 +343,15 @@ def test_drop_near_duplicates(docs, rows, none):
     assert ngram_join.drop_near_duplicates(none).count() == 0 and ngram_join.near_components(none).count() == 0
 
 
+def test_rows_without_an_id_are_linked(spark):
+    text = lambda *odd: " ".join(f"w{k}" if k not in odd else f"x{k}" for k in range(40))
+    rows = [(7, text(0, 39), "en", "s"), (None, text(0), "en", "s"), (4, text(), "en", "s"), (None, " ".join(f"y{k}" for k in range(40)), "en", "s"), (None, " ".join(f"y{k}" for k in range(41)), "en", "s")]
+    got = {r["doc_id"]: r["component_id"] for r in ngram_join.near_components(frame(spark, rows[:3]), 2, 94).collect()}
+    assert got == {7: 4, None: 4, 4: 4}  # 7 and 4 only by way of the row between them
+    assert len({r["component"] for r in ngram_join.near_components(frame(spark, rows), 2, 94).collect()}) == 2
+    assert ngram_join.drop_near_duplicates(frame(spark, rows), 2, 94).count() == 2
+
+
 def test_one_document_stays_of_each_component(spark):
     text = lambda name, n=40: " ".join(f"{name}{k}" for k in range(n))
     rows = [
