@@ -1,14 +1,14 @@
 """Line deduplication by an exact set-similarity join.
 
 A line is the set of its words.  Words are ordered by rarity, lines that may be similar share a prefix word and pass the length and
-positional filters, and Jaccard similarity is verified on whole lines.  Similar lines form classes (connected components of matches);
-of each class the first line in the order of (doc_id, line number) stays and all later ones are removed.
+positional filters, and Jaccard similarity is verified on whole lines.  A line is removed if it is similar to an earlier line in the order of
+(doc_id, line number), whether or not that one stays; a line that is only linked to an earlier one by later lines stays.
 
 Equal lines are one set before anything is joined, so a line that a third of all documents hold costs one row per task.
 
 Defined results: lines without words always stay; lines of fewer than four distinct words match only lines with equal sets (the threshold of 0.8
-implies it); null text has no lines; null ids come first in the order; rows that repeat an id share its line numbers and keep the first line of
-either; an empty table gives an empty result; further columns pass through :func:`drop_lines`.
+implies it); null text has no lines; null ids come first in the order and are compared like all others; rows that repeat an id, or have none, share its
+line numbers (lines of equal number are neither earlier nor later than each other) but each loses its own lines alone; an empty table gives an empty result; further columns pass through :func:`drop_lines`.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from lodeweave.llm.tokensets import Lines
 
 
 def line_classes(docs: DataFrame, num: int = 80, den: int = 100) -> DataFrame:
-    """One row per line with words: doc_id, line, class_doc, class_line (the line that stays of its class)."""
+    """One row per line with words: doc_id, line, class_doc, class_line (the first line of its connected component of matches)."""
     join = SetJoin(docs, Lines(), num, den, least=4, bitmaps=True)
     _, found = join.links()
     lines = join.table.select("doc_id", "line", "set_id")
@@ -38,10 +38,17 @@ def line_classes(docs: DataFrame, num: int = 80, den: int = 100) -> DataFrame:
 
 
 def removed_lines(docs: DataFrame, num: int = 80, den: int = 100, most_sent: int = 1_000_000) -> DataFrame:
-    """doc_id, removed (sorted distinct line numbers) of the documents that lose lines; broadcast up to ``most_sent`` entries (some 20 MB)."""
-    classes = line_classes(docs, num, den)
-    later = classes.filter(~(F.col("doc_id").eqNullSafe(F.col("class_doc")) & (F.col("line") == F.col("class_line"))))
-    out = materialize(later.groupBy("doc_id").agg(F.array_sort(F.collect_set("line")).alias("removed")), "removed")
+    """doc_id, text_key (xxhash64 of the text), removed (sorted distinct line numbers) of the documents that lose lines.
+
+    Broadcast up to ``most_sent`` entries (some 20 MB).
+    """
+    join = SetJoin(docs, Lines(), num, den, least=4, bitmaps=True)
+    late = join.later().withColumn("late", F.lit(True))
+    lines = join.table.select("doc_id", "text_key", "line", "set_id")
+    firsts = lines.groupBy("set_id").agg(F.min(F.struct("doc_id", "line")).alias("first")).join(late, "set_id", "left")
+    at_first = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("line") == F.col("first.line"))
+    later = lines.join(firsts, "set_id").filter(F.col("late").isNotNull() | ~at_first)
+    out = materialize(later.groupBy("doc_id", "text_key").agg(F.array_sort(F.collect_set("line")).alias("removed")), "removed")
     return if_small(out, F.size("removed"), most_sent)
 
 
@@ -62,9 +69,9 @@ def drop_lines(docs: DataFrame, num: int = 80, den: int = 100) -> DataFrame:
             yield pd.Series([without_lines(t, None if g is None else list(g)) for t, g in zip(text, gone)])
 
     strip = F.pandas_udf(cut, kind)
-    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("key"))
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("key"), F.xxhash64(F.col("text").cast("string")).alias("text_key"))
     gone = removed_lines(docs, num, den).withColumnRenamed("doc_id", "key")
-    out = rows.join(gone, rows["key"].eqNullSafe(gone["key"]), "left").select("row", "removed")
+    out = rows.join(gone, rows["key"].eqNullSafe(gone["key"]) & (rows["text_key"] == gone["text_key"]), "left").select("row", "removed")
     return out.select(F.col("row").withField("text", strip(F.col("row.text"), F.col("removed"))).alias("row")).select("row.*")
 
 
@@ -72,7 +79,7 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the number of its lines that stay and go, and a digest of the text that is left."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
     gone = removed_lines(docs).withColumnRenamed("doc_id", "key")
-    rows = docs.join(gone, docs["doc_id"].eqNullSafe(gone["key"]), "left")
+    rows = docs.join(gone, docs["doc_id"].eqNullSafe(gone["key"]) & (F.xxhash64("text") == gone["text_key"]), "left")
     n = F.size(F.split(F.coalesce("text", F.lit("")), "\n"))
     kept = F.filter(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x, i: ~F.array_contains(F.coalesce(F.col("removed"), F.array().cast("array<bigint>")), i.cast("long")))
     return rows.select(

@@ -88,13 +88,21 @@ def near_groups(token: np.ndarray, set_id: np.ndarray, n: np.ndarray, pos: np.nd
     return rows, set_id[root[rows]]
 
 
-def join_members(ids: list[int], sets: list[np.ndarray], num: int, den: int, orders: int) -> list[tuple[int, int]]:
-    """Links that connect all similar sets of a cluster: exact, by local token frequencies and intersected prefix filters."""
+def join_members(ids: list[int], sets: list[np.ndarray], num: int, den: int, orders: int, firsts: list[tuple] | None = None) -> list[tuple[int, int]]:
+    """Links that connect all similar sets of a cluster: exact, by local token frequencies and intersected prefix filters.
+
+    With ``firsts`` (the places of the sets), instead one link (set, earlier set) for each set that is similar to an earlier one, connected or not.
+    """
+    places = {t: i for i, t in enumerate(sorted(set(firsts or [])))}
+    when = np.array([places[t] for t in firsts], np.int64) if firsts is not None else None
     if len(ids) == 2:
         a, b = sets
         both = len(np.intersect1d(a, b, assume_unique=True))
-        return [(ids[0], ids[1])] if both * den >= num * (len(a) + len(b) - both) else []
+        if both * den < num * (len(a) + len(b) - both) or (when is not None and when[0] == when[1]):
+            return []
+        return [(ids[0], ids[1]) if when is None or when[0] > when[1] else (ids[1], ids[0])]
     rank = sorted(range(len(ids)), key=lambda i: (len(sets[i]), ids[i]))
+    when = None if when is None else when[rank]
     ids, sets = [ids[i] for i in rank], [sets[i] for i in rank]
     size = np.array([len(x) for x in sets], np.int64)
     first = np.cumsum(size) - size
@@ -116,11 +124,15 @@ def join_members(ids: list[int], sets: list[np.ndarray], num: int, den: int, ord
         end = np.searchsorted(what[by], what, side="right")
         index.append((posts, begin, end, np.cumsum(prefix) - prefix))
     label = np.arange(len(ids))
+    late = np.zeros(len(ids), bool)
     has = np.zeros(len(words), bool)
     out = []
     for u in range(1, len(ids)):
         low = int(np.searchsorted(size[:u], -(-num * size[u] // den)))
-        able = label[low:u] != label[u]
+        if when is None:
+            able = label[low:u] != label[u]
+        else:  # what is known to have an earlier one needs no other
+            able = np.where(when[low:u] < when[u], not late[u], (when[low:u] > when[u]) & ~late[low:u])
         for posts, begin, end, at in index:
             mark = np.zeros(u, bool)
             for k in range(at[u], at[u] + prefix[u]):
@@ -140,7 +152,12 @@ def join_members(ids: list[int], sets: list[np.ndarray], num: int, den: int, ord
         both = np.add.reduceat(has[token[at]].astype(np.int64), np.cumsum(span) - span)
         has[mine] = False
         for v in some[both * den >= num * (size[u] + span - both)].tolist():
-            if label[v] != label[u]:
+            if when is not None:
+                x, y = (u, v) if when[u] > when[v] else (v, u)
+                if not late[x]:
+                    out.append((ids[x], ids[y]))
+                    late[x] = True
+            elif label[v] != label[u]:
                 out.append((ids[u], ids[v]))
                 label[label == label[v]] = label[u]
     return out
@@ -171,8 +188,8 @@ class SetJoin:
 
     def __post_init__(self) -> None:
         text = F.col("text").cast("string")
-        # rows without an id are told apart by a hash of their text; if it collides, a text is read in vain
-        self.docs = self.docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.when(F.col("doc_id").cast("long").isNull(), F.xxhash64(text)).alias("text_key"))
+        # rows without an id, or that share one, are told apart by a hash of their text; if it collides, a text is read in vain
+        self.docs = self.docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_key"))
         written = materialize(self.docs.mapInArrow(self._signer(), _TABLE), "sets")
         self.table = written.filter("chunk is null").drop("chunk", "counts")
         self._counters = written.filter("chunk is not null").select("chunk", "counts")
@@ -352,6 +369,15 @@ class SetJoin:
 
     def links(self) -> tuple[DataFrame, DataFrame]:
         """Links (a, b) that connect all similar sets, and their components (id, component); links inside a component may be left out."""
+        links = materialize(self._compared().distinct(), "links")
+        return links, materialize(components(links), "components")
+
+    def later(self) -> DataFrame:
+        """set_id of every set that is really similar to another one whose first place (doc_id, line) is earlier; null ids are the earliest."""
+        return materialize(self._compared(order=True).select(F.col("a").alias("set_id")).distinct(), "later")
+
+    def _compared(self, order: bool = False) -> DataFrame:
+        """Links (a, b) of all clusters; with ``order`` those of :func:`join_members` with places."""
         clusters = materialize(self.clusters(), "clusters")
         sizes = clusters.groupBy("pivot").agg(F.count(F.lit(1)).alias("members"), F.ceil(F.sum("n") / self.block_tokens).cast("int").alias("blocks")).filter("members > 1")
         own = F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int")
@@ -360,43 +386,45 @@ class SetJoin:
         places = F.when(F.col("blocks") == 1, F.array(to(F.lit(0), F.lit(0)))).otherwise(F.transform(others, lambda j: to(F.least(F.col("own"), j), F.greatest(F.col("own"), j))))
         wanted = clusters.join(sizes, "pivot").withColumn("own", own).groupBy("set_id").agg(F.flatten(F.collect_list(places)).alias("to"))
         # where a set can be read again: one text that holds it
-        home = self.table.filter("n > 0").groupBy("set_id").agg(F.coalesce(F.min("doc_id"), F.min("text_key")).alias("at"))
-        sends = materialize(wanted.join(home, "set_id").groupBy("at").agg(F.collect_list(F.struct("set_id", "to")).alias("sends")), "sends")
+        home = self.table.filter("n > 0").groupBy("set_id").agg(F.coalesce(F.min("doc_id"), F.min("text_key")).alias("at"), *([F.min(F.struct("doc_id", "line")).alias("first")] if order else []))
+        asks = F.struct("set_id", "to", *(["first"] if order else []))
+        sends = materialize(wanted.join(home, "set_id").groupBy("at").agg(F.collect_list(asks).alias("sends")), "sends")
         # a table of known size goes to the texts; beyond the bound the texts go to it
         sends = if_small(sends, F.aggregate("sends", F.lit(0), lambda n, s: n + F.size(s["to"])), self.most_sent)
         kind, num, den, orders = self.kind, self.num, self.den, self.orders
 
         def send(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for part in parts:
-                asked = [{s["set_id"]: s["to"] for s in row} for row in part.column(1).to_pylist()]
+                asked = [{s["set_id"]: (s["to"], s.get("first") or {}) for s in row} for row in part.column(1).to_pylist()]
                 for sets in batches(part.column(0), kind):
                     ids, first = sets.ids().tolist(), sets.first
-                    cols: list[list] = [[] for _ in range(5)]
+                    cols: list[list] = [[] for _ in range(7)]
                     for k, (owner, s) in enumerate(zip(sets.owner.tolist(), ids)):
-                        if (to := asked[owner].pop(s, None)) is not None:
+                        if (ask := asked[owner].pop(s, None)) is not None:
+                            to, first_at = ask
                             raw = squeeze(sets.tokens[first[k] : first[k] + sets.count[k]])
                             for t in to:
-                                for column, value in zip(cols, (t["key"], t["i"], t["j"], s, raw)):
+                                for column, value in zip(cols, (t["key"], t["i"], t["j"], s, raw, first_at.get("doc_id"), first_at.get("line"))):
                                     column.append(value)
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary()))], names=["key", "i", "j", "member", "tokens"])
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.int64()))], names=["key", "i", "j", "member", "tokens", "first_doc", "first_line"])
 
         def compare(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held: tuple | None = None
             members: dict[int, np.ndarray] = {}
+            firsts: dict[int, tuple] = {}
 
             def flush() -> pa.RecordBatch:
-                found = join_members(list(members), list(members.values()), num, den, orders) if len(members) > 1 else []
+                found = join_members(list(members), list(members.values()), num, den, orders, list(firsts.values()) if order else None) if len(members) > 1 else []
                 return pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
             for part in parts:
-                for key, i, j, member, raw in zip(*(part.column(c).to_pylist() for c in range(5))):
+                for key, i, j, member, raw, doc, line in zip(*(part.column(c).to_pylist() for c in range(7))):
                     if held != (key, i, j):
                         yield flush()
-                        held, members = (key, i, j), {}
+                        held, members, firsts = (key, i, j), {}, {}
                     members[member] = unsqueeze(raw)
+                    firsts[member] = (doc is not None, doc or 0, line)
             yield flush()
 
-        sent = self.docs.withColumn("at", F.coalesce("doc_id", "text_key")).join(sends, "at").select("text", "sends").mapInArrow(send, "key long, i int, j int, member long, tokens binary")
-        found = sent.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "member").mapInArrow(compare, "a long, b long")
-        links = materialize(found.distinct(), "links")
-        return links, materialize(components(links), "components")
+        sent = self.docs.withColumn("at", F.coalesce("doc_id", "text_key")).join(sends, "at").select("text", "sends").mapInArrow(send, "key long, i int, j int, member long, tokens binary, first_doc long, first_line long")
+        return sent.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "member").mapInArrow(compare, "a long, b long")

@@ -182,6 +182,33 @@ def test_line_dedup(docs, rows, none):
     assert line_dedup.line_classes(none).count() == 0 and line_dedup.drop_lines(none).count() == 0
 
 
+def test_lines_go_only_with_an_earlier_match(spark):
+    line = lambda *odd: " ".join(f"x{k}" if k in odd else f"w{k}" for k in range(10))
+    a, b, c = line(), line(0), line(0, 1)  # a ~ b ~ c, but not a ~ c
+    rows = [(1, a, "en", "s"), (2, c, "en", "s"), (3, b, "en", "s")]
+    assert {r["doc_id"]: r["text"] for r in line_dedup.drop_lines(frame(spark, rows)).collect()} == {1: a, 2: c, 3: ""}
+    rows = [(1, a, "en", "s"), (2, b, "en", "s"), (3, c, "en", "s")]
+    assert {r["doc_id"]: r["text"] for r in line_dedup.drop_lines(frame(spark, rows)).collect()} == {1: a, 2: "", 3: ""}
+    rows = [(None, a + "\n" + b, "en", "s"), (None, "p\nq r s t u", "en", "s"), (5, c, "en", "s")]  # lines of rows without an id are compared, and lost alone
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in line_dedup.drop_lines(frame(spark, rows)).collect()) == [(0, "p\nq r s t u"), (0, a), (5, "")]
+
+
+def test_later_lines_against_brute_force(spark):
+    rng = random.Random(3)
+    base = [f"w{k}" for k in range(12)]
+    rows = []
+    for i in range(150):
+        base = [w if rng.random() > 0.06 else f"v{rng.randrange(40)}" for w in base]
+        rows.append((rng.randrange(10**6) * 200 + i, " ".join(base), "en", "s"))
+    sets = {i: frozenset(t.split(" ")) for i, t, _, _ in rows}
+    near = lambda x, y: 100 * len(x & y) >= 80 * len(x | y)
+    expected = {i for i in sets if any(j < i and near(sets[i], sets[j]) for j in sets)}
+    got = {r["doc_id"] for r in line_dedup.removed_lines(frame(spark, rows)).collect()}
+    assert got == expected
+    chained = {r["doc_id"] for r in line_dedup.line_classes(frame(spark, rows)).filter("doc_id <> class_doc").collect()}
+    assert expected < chained
+
+
 # 4 toxicity
 
 
