@@ -154,11 +154,17 @@ def answer_questions(questions: DataFrame, model: Callable[[list[str]], list[str
 STRATEGIES = ("context_matching", "grouped", "individual")
 
 
-def extract_properties(sections: DataFrame, questions: DataFrame, strategy: str, model: Callable[[list[str]], list[str]] | None = None, k: int = 3, embed: Embedder = hashed_vector, time: Column | None = None) -> DataFrame:
+def extract_properties(sections: DataFrame, questions: DataFrame, strategy: str, model: Callable[[list[str]], list[str]] | None = None, k: int = 3, embed: Embedder = hashed_vector, time: Column | None = None, most: int = 5) -> DataFrame:
     """Properties from sections (doc_id, pos, content) for questions (property, question): (doc_id, property, data, confidence, method).
 
-    ``context_matching`` takes the best section; any other strategy answers over the ``k`` best ones with the injected model.
+    ``context_matching`` takes the best section; ``grouped`` clusters the questions into groups of at most ``most``, asks a group in one prompt
+    over the ``k`` best sections of its first question and reads the numbered answers (a lone question is asked as it is); any other strategy
+    answers each question over its own ``k`` best ones.  Both use the injected model.
     """
+    if strategy == "grouped":
+        if model is None:
+            raise ValueError("this strategy needs a model")
+        return _grouped(sections, questions, model, k, embed, most)
     # a document holds few questions per section, so pairs stay within documents: an equi-join on doc_id
     asks = sections.select("doc_id").distinct().join(F.broadcast(questions.select("property", "question", embed(F.col("question")).alias("qv"))))
     items = sections.select("doc_id", "pos", embed(F.col("content")).alias("iv"))
@@ -169,7 +175,31 @@ def extract_properties(sections: DataFrame, questions: DataFrame, strategy: str,
         raise ValueError("this strategy needs a model")
     ctx = best.groupBy("doc_id", "property").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "content"))), lambda x: x["content"]), "\n\n").alias("context"), F.avg("score").alias("confidence"))
     out = answer_questions(ctx.join(questions.select("property", "question"), "property"), model, time if time is not None else F.current_timestamp())
-    return out.select("doc_id", "property", F.col("answer").alias("data"), "confidence", F.lit("grouped_qa" if strategy == "grouped" else "individual_qa").alias("method"))
+    return out.select("doc_id", "property", F.col("answer").alias("data"), "confidence", F.lit("individual_qa").alias("method"))
+
+
+def _grouped(sections: DataFrame, questions: DataFrame, model: Callable[[list[str]], list[str]], k: int, embed: Embedder, most: int) -> DataFrame:
+    """Grouped answers; the few dozen questions and their vectors are held by the driver."""
+    asked = questions.select("property", "question", embed(F.col("question")).alias("qv")).orderBy("property", "question").collect()
+    rows = [(g, i, asked[q]["property"], asked[q]["question"], list(map(float, asked[q]["qv"]))) for g, group in enumerate(group_questions([r["qv"] for r in asked], most) if asked else []) for i, q in enumerate(sorted(group))]
+    groups = F.broadcast(questions.sparkSession.createDataFrame(rows, "grp int, at int, property string, question string, qv array<double>"))
+    heads = sections.select("doc_id").distinct().join(groups.filter("at = 0").select("grp", "qv"))
+    items = sections.select("doc_id", "pos", embed(F.col("content")).alias("iv"))
+    best = top_k(heads, items, k, "grp", "qv", "pos", "iv", ["doc_id"]).join(sections.select("doc_id", "pos", "content"), ["doc_id", "pos"])
+    ctx = best.groupBy("doc_id", "grp").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "content"))), lambda x: x["content"]), "\n\n").alias("context"), F.avg("score").alias("confidence"))
+    listed = groups.groupBy("grp").agg(F.array_sort(F.collect_list(F.struct("at", "property", "question"))).alias("members"))
+    texts = F.transform("members", lambda m: m["question"])
+    lone = F.size("members") == 1
+    prompts = F.when(F.length("context") > 0, F.when(lone, prompt(texts[0], F.col("context"))).otherwise(multi_prompt(texts, F.col("context"))))
+
+    @F.pandas_udf("array<string>")
+    def spread(response: pd.Series, n: pd.Series) -> pd.Series:
+        return pd.Series([[r] if m == 1 else parse_answers(r, int(m)) for r, m in zip(response, n)])
+
+    out = ctx.join(F.broadcast(listed), "grp").withColumn("asked", prompts).withColumn("response", answer_with(model)(F.col("asked")))
+    out = out.withColumn("got", spread(F.col("response"), F.size("members"))).select("doc_id", "confidence", F.col("asked").isNull().alias("none"), F.explode(F.arrays_zip("members", "got")).alias("x"))
+    data = F.when(F.col("none"), "No context to answer the question").otherwise(F.col("x.got"))
+    return out.select("doc_id", F.col("x.members.property").alias("property"), data.alias("data"), "confidence", F.lit("grouped_qa").alias("method"))
 
 
 def question_blocks(properties: DataFrame) -> DataFrame:

@@ -100,6 +100,25 @@ def test_strategies(spark):
         matching.extract_properties(sections, asks, "individual")
 
 
+def test_grouped_questions_are_asked_together(spark):
+    sections = spark.createDataFrame([(1, 0, "the license is mit"), (1, 1, "trained on images"), (2, 0, "the license is bsd"), (3, 0, "")], "doc_id long, pos int, content string")
+    asks = spark.createDataFrame([("p1", "which license is it"), ("p2", "which license is used"), ("q1", "trained on images"), ("q2", "trained on what images")], "property string, question string")
+
+    def model(prompts):
+        out = []
+        for p in prompts:
+            context, asked = p.split("\n\nQuestions:\n")
+            asked = asked.split("\n\n")[0].split("\n")
+            assert len(asked) == 2 and asked[0].startswith("1. ") and asked[1].startswith("2. ")
+            out.append("\n".join(f"{q} <- {context.split(chr(10))[1]}" for q in asked))
+        return out
+
+    got = {(r["doc_id"], r["property"]): (r["data"], r["method"]) for r in matching.extract_properties(sections, asks, "grouped", model, 1, most=2).collect()}
+    assert len(got) == 12 and {m for _, m in got.values()} == {"grouped_qa"}
+    assert got[1, "p2"][0] == "which license is used <- the license is mit" and got[1, "q1"][0] == "trained on images <- trained on images"
+    assert got[2, "q2"][0] == "trained on what images <- the license is bsd" and got[3, "p1"][0] == "No context to answer the question"
+
+
 TTL = """@prefix schema: <https://schema.org/> .
 @prefix xsd: <http://www.w3.org/2001/XMLSchema#> .
 <urn:a> a schema:Thing ; schema:name "A \\"q\\""@en, 'x' .
