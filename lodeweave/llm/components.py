@@ -5,34 +5,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodeweave.llm.common import materialize
+from lodeweave.llm.common import if_small, materialize
 
-
-def _state(edges: DataFrame) -> tuple[int, int]:
-    r = edges.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.xxhash64("a", "b").bitwiseAND(F.lit((1 << 40) - 1))), F.lit(0))).first()
-    return r[0], r[1]
+#: Rows up to which a step's moves are broadcast (some 40 MB); beyond, they are joined by a shuffle of two written tables, whose hot keys adaptive execution splits.
+MOST_SENT = 1_000_000
 
 
 def components(links: DataFrame) -> DataFrame:
-    """``(a, b)`` longs to ``(id, component)`` for every linked id; the component is its smallest id.
+    """``(a, b)`` of any type that has an order to ``(id, component)`` for every linked id; the component is its smallest id.
 
-    Each step groups by vertex with a map-side combined minimum and joins it back; the table is written in the shared folder after each
-    round, so nothing is held in one task or the driver but two checksums.  Rounds grow with the logarithm of the longest chain.
+    Edges point from the larger to the smaller id.  A step only has to know the vertices that move something: for a large-star those that are
+    both a smaller and a larger end, for a small-star those with several smaller neighbours.  They come from map-side combined groups, so a hub
+    costs a row a task, and the hub's own edges stay where they are.  When no vertex moves, the edges are a forest of stars.
+    The table is written in the shared folder in each round; rounds grow with the logarithm of the longest chain.
     """
     edges = materialize(links.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    state = _state(edges)
-    while state[0]:
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
-        # a vertex whose neighbours were all handed on keeps its own link to the least of them
-        small = small.unionByName(least.select("a", F.col("m").alias("b"))).filter("a != b").distinct()
-        edges = materialize(small, "edges")
-        before, state = state, _state(edges)
-        if before == state:
-            break
-    least = edges.groupBy("a").agg(F.min("b").alias("component"))
-    roots = least.select(F.col("component").alias("id"), "component").distinct()
-    return least.select(F.col("a").alias("id"), "component").unionByName(roots)
+    while True:
+        below = edges.groupBy("a").agg(F.min("b").alias("m"))
+        inner = materialize(below.join(edges.select(F.col("b").alias("a")).distinct(), "a").withColumnsRenamed({"a": "u"}), "inner")
+        over = not inner.isEmpty()
+        if over:
+            moved = edges.join(if_small(inner, F.lit(0), MOST_SENT), F.col("b") == F.col("u"), "left")
+            edges = materialize(moved.select("a", F.coalesce("m", "b").alias("b")).distinct(), "edges")
+        many = edges.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+        many = materialize(many, "many")
+        if many.isEmpty():
+            if not over:
+                break
+            continue
+        moved = edges.join(if_small(many, F.lit(0), MOST_SENT), F.col("a") == F.col("u"), "left")
+        edges = materialize(moved.select(F.when(F.col("m") < F.col("b"), F.col("b")).otherwise(F.col("a")).alias("a"), F.coalesce("m", "b").alias("b")).distinct(), "edges")
+    roots = edges.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()
+    return edges.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(roots)

@@ -4,7 +4,7 @@ Candidates share a prefix token in the order of rarity (found by the join itself
 further token orders too; only the intersection of these filters is verified.  See :mod:`lodeweave.llm.setjoin` for the plan and its bounds.
 
 Defined results: null and empty texts have an empty set and are linked with nothing; a text shorter than a shingle is one shingle; documents
-with equal sets are linked; rows without an id are linked like all others (a component of such rows alone has no component_id); an empty table gives an empty result; repeated rows are documents of their own that share an id; further
+with equal sets are linked; rows without an id are linked like all others (a component of such rows alone has no component_id); an empty table gives an empty result; repeated rows are documents of their own that share an id; texts of any length are compared whole; further
 columns pass through :func:`drop_near_duplicates`, which keeps of each component the row with the smallest id.
 """
 
@@ -21,15 +21,25 @@ from lodeweave.llm.setjoin import SetJoin
 from lodeweave.llm.tokensets import Shingles, batches
 
 
-def near_components(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+def near_components(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100, most_sent: int = 1_000_000) -> DataFrame:
     """One row per document: doc_id, n_shingles, set_id, component (of sets; null without words), component_id (smallest doc_id reachable by links)."""
     join = SetJoin(docs, Shingles(words), num, den, orders=2)
     _, found = join.links()
     rows = join.table.select("doc_id", F.col("n").alias("n_shingles"), "set_id")
-    full = rows.filter("n_shingles > 0").join(found.withColumnRenamed("id", "set_id"), "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
-    tops = full.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    full = full.join(tops, "component").select("doc_id", "n_shingles", "set_id", "component", "component_id")
-    return full.unionByName(rows.filter("n_shingles = 0").withColumn("component", F.lit(None).cast("long")).withColumn("component_id", F.col("doc_id")))
+    # only sets that have links or copies are looked up; the hot ones of them are few rows a task here
+    sets = rows.filter("n_shingles > 0").groupBy("set_id").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("rows"))
+    sets = sets.join(found.withColumnRenamed("id", "set_id"), "set_id", "left").filter("rows > 1 or component is not null")
+    sets = materialize(sets.select("set_id", "low", F.coalesce("component", "set_id").alias("component")), "linked-sets")
+    tops = materialize(sets.groupBy("component").agg(F.min("low").alias("component_id")), "tops")
+    known = materialize(sets.join(if_small(tops, F.lit(0), most_sent), "component").select("set_id", "component", "component_id", F.lit(True).alias("linked")), "set-components")
+    full = rows.join(if_small(known, F.lit(0), most_sent), "set_id", "left")
+    return full.select(
+        "doc_id",
+        "n_shingles",
+        "set_id",
+        F.when(F.col("n_shingles") > 0, F.coalesce("component", "set_id")).alias("component"),
+        F.when(F.col("linked").isNull() | (F.col("n_shingles") == 0), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+    )
 
 
 def drop_near_duplicates(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100, most_sent: int = 400_000) -> DataFrame:
