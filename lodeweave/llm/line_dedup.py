@@ -1,14 +1,15 @@
 """Line deduplication by an exact set-similarity join.
 
-A line is the set of its words.  Words are ordered by rarity, lines that may be similar share a prefix word and pass the length and
-positional filters, and Jaccard similarity is verified on whole lines.  A line is removed if it is similar to an earlier line in the order of
-(doc_id, line number), whether or not that one stays; a line that is only linked to an earlier one by later lines stays.
+A line is the set of its words.  Words are ordered by rarity, lines that may be similar share prefix words and pass the length and
+positional filters, and Jaccard similarity is verified on whole lines (:mod:`lodeweave.llm.linejoin`).  A line is removed if it is similar to a line at an
+earlier place, whether or not that one stays; a line that is only linked to an earlier one by later lines stays.
 
-Equal lines are one set before anything is joined, so a line that a third of all documents hold costs one row per task.
+Places are ordered by doc_id, null ids first, then by the row's number in a written copy of the table, then by line number.
 
-Defined results: lines without words always stay; lines of fewer than four distinct words match only lines with equal sets (the threshold of 0.8
-implies it); null text has no lines; null ids come first in the order and are compared like all others; rows that repeat an id, or have none, share its
-line numbers (lines of equal number are neither earlier nor later than each other) but each loses its own lines alone; an empty table gives an empty result; further columns pass through :func:`drop_lines`.
+Defined results: lines without words always stay; lines of fewer words than the threshold leaves room for one other word (four at 0.8) match only lines
+with equal sets; null text has no lines and stays null; rows without an id, or that share one, are rows of their own: each loses its own lines
+alone, and of equal rows one keeps its lines; texts and lines of any length are compared whole; an empty table gives an empty result; further columns pass
+through :func:`drop_lines` whatever their names.
 """
 
 from __future__ import annotations
@@ -20,38 +21,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodeweave.llm.common import documents, if_small, materialize
-from lodeweave.llm.setjoin import SetJoin
-from lodeweave.llm.tokensets import Lines
+from lodeweave.llm.linejoin import LineJoin
 
 
 def line_classes(docs: DataFrame, num: int = 80, den: int = 100) -> DataFrame:
     """One row per line with words: doc_id, line, class_doc, class_line (the first line of its connected component of matches)."""
-    join = SetJoin(docs, Lines(), num, den, least=4, bitmaps=True)
-    _, found = join.links()
-    lines = join.table.select("doc_id", "line", "set_id")
-    at = F.struct("doc_id", "line")
-    firsts = lines.groupBy("set_id").agg(F.min(at).alias("first"))
-    firsts = firsts.join(found.withColumnRenamed("id", "set_id"), "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
-    tops = firsts.groupBy("component").agg(F.min("first").alias("top"))
-    tops = firsts.select("set_id", "component").join(tops, "component").select("set_id", "top")
-    return lines.join(tops, "set_id").select("doc_id", "line", F.col("top.doc_id").alias("class_doc"), F.col("top.line").alias("class_line"))
-
-
-def removed_lines(docs: DataFrame, num: int = 80, den: int = 100, most_sent: int = 1_000_000) -> DataFrame:
-    """doc_id, text_key (xxhash64 of the text), removed (sorted distinct line numbers) of the documents that lose lines.
-
-    Broadcast up to ``most_sent`` entries (some 20 MB).
-    """
-    join = SetJoin(docs, Lines(), num, den, least=4, bitmaps=True)
-    late = join.later().withColumn("late", F.lit(True))
-    lines = join.table.select("doc_id", "text_key", "line", "set_id")
-    firsts = lines.groupBy("set_id").agg(F.min(F.struct("doc_id", "line")).alias("first")).join(late, "set_id", "left")
-    at_first = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("line") == F.col("first.line"))
-    later = lines.join(firsts, "set_id").filter(F.col("late").isNotNull() | ~at_first)
-    out = materialize(later.groupBy("doc_id", "text_key").agg(F.array_sort(F.collect_set("line")).alias("removed")), "removed")
+    found = LineJoin(docs, num, den).classes()
+    return found.select(F.col("doc").alias("doc_id"), F.col("line").cast("long").alias("line"), F.col("top.doc").alias("class_doc"), F.col("top.line").cast("long").alias("class_line"))
+
+
+def _removed(join: LineJoin, most_sent: int = 1_000_000) -> DataFrame:
+    """uid, removed (sorted line numbers) of the rows that lose lines; broadcast up to ``most_sent`` entries (some 20 MB)."""
+    out = materialize(join.removed().groupBy("uid").agg(F.array_sort(F.collect_list(F.col("line").cast("long"))).alias("removed")), "removed")
     return if_small(out, F.size("removed"), most_sent)
 
 
+def removed_lines(docs: DataFrame, num: int = 80, den: int = 100) -> DataFrame:
+    """doc_id, removed (sorted line numbers), one row for each row that loses lines."""
+    join = LineJoin(docs, num, den)
+    return join.rows.select("uid", F.col("row.doc_id").alias("doc_id")).join(_removed(join), "uid").select("doc_id", "removed")
+
+
 def without_lines(text: str | None, removed: list[int] | None) -> str | None:
     """The text without the given lines."""
     if text is None or not removed:
@@ -69,23 +59,21 @@ def drop_lines(docs: DataFrame, num: int = 80, den: int = 100) -> DataFrame:
             yield pd.Series([without_lines(t, None if g is None else list(g)) for t, g in zip(text, gone)])
 
     strip = F.pandas_udf(cut, kind)
-    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("key"), F.xxhash64(F.col("text").cast("string")).alias("text_key"))
-    gone = removed_lines(docs, num, den).withColumnRenamed("doc_id", "key")
-    out = rows.join(gone, rows["key"].eqNullSafe(gone["key"]) & (rows["text_key"] == gone["text_key"]), "left").select("row", "removed")
+    join = LineJoin(docs, num, den)
+    out = join.rows.join(_removed(join), "uid", "left")
     return out.select(F.col("row").withField("text", strip(F.col("row.text"), F.col("removed"))).alias("row")).select("row.*")
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the number of its lines that stay and go, and a digest of the text that is left."""
-    docs = documents(spark, sf_dir).select("doc_id", "text")
-    gone = removed_lines(docs).withColumnRenamed("doc_id", "key")
-    rows = docs.join(gone, docs["doc_id"].eqNullSafe(gone["key"]) & (F.xxhash64("text") == gone["text_key"]), "left")
-    n = F.size(F.split(F.coalesce("text", F.lit("")), "\n"))
-    kept = F.filter(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x, i: ~F.array_contains(F.coalesce(F.col("removed"), F.array().cast("array<bigint>")), i.cast("long")))
+    join = LineJoin(documents(spark, sf_dir).select("doc_id", "text"))
+    rows = join.rows.join(_removed(join), "uid", "left").select("row.doc_id", F.split(F.coalesce("row.text", F.lit("")), "\n").alias("lines"), "removed")
+    kept = F.filter("lines", lambda x, i: ~F.array_contains("removed", i.cast("long")))
+    left = F.when(F.col("removed").isNull(), F.col("lines")).otherwise(kept)
     return rows.select(
         "doc_id",
-        n.cast("long").alias("n_lines"),
+        F.size("lines").cast("long").alias("n_lines"),
         F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"),
         F.coalesce("removed", F.array().cast("array<bigint>")).alias("removed"),
-        F.sha2(F.array_join(kept, "\n"), 256).alias("left_sha256"),
+        F.sha2(F.array_join(left, "\n"), 256).alias("left_sha256"),
     )

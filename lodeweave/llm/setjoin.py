@@ -45,47 +45,29 @@ def extra_length(n: np.ndarray, num: int, den: int) -> np.ndarray:
     return np.maximum(1, prefix_length(n, num, den) // 2)
 
 
-def set_bits(sets: Sets) -> np.ndarray:
-    """Two longs per item with one bit set for each token, by hash."""
-    bit = (sets.tokens * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(57)
-    where = np.unique((sets.item.astype(np.uint64) << np.uint64(7)) | bit)
-    half = (where >> np.uint64(6)).astype(np.int64)
-    out = np.zeros(2 * len(sets.owner), np.uint64)
-    np.bitwise_or.at(out, half, np.uint64(1) << (where & np.uint64(63)))
-    return out.view(np.int64).reshape(-1, 2)
+def rarity_ranks(counters: DataFrame, tables: int, chunk: int) -> np.ndarray:
+    """Ranks by cell of ``tables`` count tables (chunk, counts), summed up over all tasks: four steps for each doubling of a count in the first, one in the
+    second.
 
+    At most ``tables * 2 ** SKETCH_BITS`` numbers reach the driver.
+    """
 
-def near_groups(token: np.ndarray, set_id: np.ndarray, n: np.ndarray, pos: np.ndarray, bits: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
-    """Of rows sorted by (token, set): rows that may have a partner of their token, and for each the least set it may be linked with over others.
+    def total(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        for part in parts:
+            for c, raw in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                values = np.frombuffer(raw, "<u4" if len(raw) == 4 * chunk else "<i8").astype(np.int64)
+                held[c] = held[c] + values if c in held else values
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32()), pa.array([v.tobytes() for v in held.values()], pa.binary())], names=["chunk", "counts"])
 
-    Rows are compared with those 1, 2, 3 ... places further in their group, all groups at once.  A pair stays if lengths and positions allow
-    the similarity and the bits that differ (at most the tokens that differ) are few enough.
-    """
-    a = np.arange(len(token))
-    root = np.arange(len(token))
-    lag = 0
-    while len(a):
-        lag += 1
-        a = a[a + lag < len(token)]
-        a = a[token[a] == token[a + lag]]
-        i = a[root[a] != root[a + lag]]  # what is connected needs no comparison
-        if not len(i):
-            continue
-        j = i + lag
-        x, y = n[i].astype(np.int64), n[j].astype(np.int64)
-        may = np.minimum(x, y) * den >= np.maximum(x, y) * num
-        most = np.minimum(pos[i], pos[j]) + 1 + np.minimum(x - pos[i] - 1, y - pos[j] - 1)
-        may &= most * (num + den) >= (x + y) * num
-        may &= np.bitwise_count(bits[i] ^ bits[j]).sum(1, dtype=np.int64) * (num + den) <= (den - num) * (x + y)
-        i, j = root[i[may]], root[j[may]]
-        while len(i):  # hook the larger root to the smaller, then point everything at its root
-            np.minimum.at(root, np.maximum(i, j), np.minimum(i, j))
-            while (root != root[root]).any():
-                root = root[root]
-            i, j = root[i], root[j]
-            i, j = i[i != j], j[i != j]
-    rows = np.flatnonzero(np.bincount(root, minlength=len(token))[root] > 1) if len(token) else np.empty(0, np.int64)
-    return rows, set_id[root[rows]]
+    schema = "chunk int, counts binary"
+    counts = np.zeros(tables << SKETCH_BITS, np.int64)
+    for r in counters.mapInArrow(total, schema).repartition("chunk").mapInArrow(total, schema).collect():
+        counts[r["chunk"] * chunk : (r["chunk"] + 1) * chunk] = np.frombuffer(r["counts"], "<i8")
+    # the bulk of the cells holds only the noise of rare tokens: ranks start at the median
+    rank = lambda c, steps: np.clip(np.rint(steps * np.log2(np.maximum(c, 1) / max(1.0, float(np.median(c))))), 0, 63).astype(np.uint8)
+    return np.stack([rank(c, steps) for c, steps in zip(counts.reshape(tables, -1), (4, 1))])
 
 
 def join_members(ids: list[int], sets: list[np.ndarray], num: int, den: int, orders: int, firsts: list[tuple] | None = None) -> list[tuple[int, int]]:
@@ -117,12 +99,12 @@ def join_members(ids: list[int], sets: list[np.ndarray], num: int, den: int, ord
         both = np.sort(owner * len(words) + place[token])
         who, what = both // len(words), both % len(words)
         early = np.arange(len(both)) - first[who] < prefix[who]
-        who, what = who[early], what[early]
+        who, what, where = who[early], what[early], (np.arange(len(both)) - first[who])[early]
         by = np.argsort(what, kind="stable")
-        posts = who[by]
+        posts, where = who[by], where[by]
         begin = np.searchsorted(what[by], what)
         end = np.searchsorted(what[by], what, side="right")
-        index.append((posts, begin, end, np.cumsum(prefix) - prefix))
+        index.append((posts, where, begin, end, np.cumsum(prefix) - prefix))
     label = np.arange(len(ids))
     late = np.zeros(len(ids), bool)
     has = np.zeros(len(words), bool)
@@ -133,12 +115,17 @@ def join_members(ids: list[int], sets: list[np.ndarray], num: int, den: int, ord
             able = label[low:u] != label[u]
         else:  # what is known to have an earlier one needs no other
             able = np.where(when[low:u] < when[u], not late[u], (when[low:u] > when[u]) & ~late[low:u])
-        for posts, begin, end, at in index:
-            mark = np.zeros(u, bool)
+        for posts, where, begin, end, at in index:
+            mark, met = np.zeros(u, bool), np.zeros(u, bool)
             for k in range(at[u], at[u] + prefix[u]):
                 if end[k] - begin[k] > 1:
                     run = posts[begin[k] : end[k]]
-                    mark[run[: np.searchsorted(run, u)]] = True
+                    run = run[: np.searchsorted(run, u)]
+                    # positional filter: no more can be common than what follows the first common token in both
+                    new = ~met[run]
+                    most = 1 + np.minimum(size[u] - 1 - (k - at[u]), (size[run] - 1 - where[begin[k] : begin[k] + len(run)]))
+                    met[run] = True
+                    mark[run[new & (most * (num + den) >= num * (size[u] + size[run]))]] = True
             able &= mark[low:]
             if not able.any():
                 break
@@ -167,10 +154,7 @@ def join_members(ids: list[int], sets: list[np.ndarray], num: int, den: int, ord
 class SetJoin:
     """Join of the token sets of ``docs`` (doc_id, text) at Jaccard similarity ``num / den``.
 
-    ``least``: sets with fewer tokens match equal sets only (where the threshold implies that anyway, it saves work).
     ``orders``: further global token orders under which a pair must share prefix tokens too, before whole sets are compared.
-    ``bitmaps``: sets are small enough for 128-bit maps of their tokens to tell most strangers apart within a token's group; the tokens a
-    similar pair shares beyond the first are not counted then.
     ``block_tokens``: tokens that a task joins at once.
     ``most_sent``: entries up to which the list of wanted sets is broadcast (some 50 MB); beyond it is joined by a shuffle.
     """
@@ -180,8 +164,6 @@ class SetJoin:
     num: int
     den: int
     orders: int = 0
-    least: int = 1
-    bitmaps: bool = False
     block_tokens: int = 2_000_000
     most_sent: int = 400_000
     table: DataFrame = field(init=False)
@@ -219,33 +201,12 @@ class SetJoin:
         return run
 
     def _rarity(self) -> Rarity:
-        """Ranks by cell: four steps for each doubling of a token's count, one for each doubling of a word's.
-
-        What shares a token by chance has frequent words in it, so tokens of rare words come first; tokens counted often go last.
-        At most 2 * 2**SKETCH_BITS numbers reach the driver.
-        """
-
-        def total(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            held: dict[int, np.ndarray] = {}
-            for part in parts:
-                for c, raw in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    values = np.frombuffer(raw, "<u4" if len(raw) == 4 * CHUNK else "<i8").astype(np.int64)
-                    held[c] = held[c] + values if c in held else values
-            if held:
-                yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32()), pa.array([v.tobytes() for v in held.values()], pa.binary())], names=["chunk", "counts"])
-
-        schema = "chunk int, counts binary"
-        counts = np.zeros(2 << SKETCH_BITS, np.int64)
-        for r in self._counters.mapInArrow(total, schema).repartition("chunk").mapInArrow(total, schema).collect():
-            counts[r["chunk"] * CHUNK : (r["chunk"] + 1) * CHUNK] = np.frombuffer(r["counts"], "<i8")
-        # the bulk of the cells holds only the noise of rare tokens: ranks start at the median
-        rank = lambda c, steps: np.clip(np.rint(steps * np.log2(np.maximum(c, 1) / max(1.0, float(np.median(c))))), 0, 63).astype(np.uint8)
-        tokens, words = counts.reshape(2, -1)
-        return Rarity(rank(tokens, 4), rank(words, 1))
+        """What shares a token by chance has frequent words in it, so tokens of rare words come first; tokens counted often go last."""
+        return Rarity(*rarity_ranks(self._counters, 2, CHUNK))
 
     def _prefixes(self) -> DataFrame:
         """token, set_id, n, pos of every distinct set's first p + l - 1 tokens (repeats across tasks remain)."""
-        kind, num, den, least, bitmaps, rarity = self.kind, self.num, self.den, self.least, self.bitmaps, self._rarity()
+        kind, num, den, rarity = self.kind, self.num, self.den, self._rarity()
 
         def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             seen: set[int] = set()
@@ -254,69 +215,20 @@ class SetJoin:
                     ids = sets.ids()
                     fresh = np.zeros(len(ids), bool)
                     for i, s in enumerate(ids.tolist()):
-                        if s not in seen and sets.count[i] >= least:
+                        if s not in seen:
                             seen.add(s)
                             fresh[i] = True
                     if len(seen) > 500_000:
                         seen.clear()
-                    size = np.where(fresh & (sets.count > 0), prefix_length(sets.count, num, den) + (0 if bitmaps else extra_length(sets.count, num, den) - 1), 0)
+                    size = np.where(fresh & (sets.count > 0), prefix_length(sets.count, num, den) + extra_length(sets.count, num, den) - 1, 0)
                     item, token = sets.order
                     pos = np.arange(len(item)) - np.searchsorted(item, item)
                     early = pos < size[item]
                     item, token, pos = item[early], token[early], pos[early]
                     cols = [token.astype(np.int64), ids[item], sets.count[item].astype(np.int32), pos.astype(np.int32)]
-                    if bitmaps:
-                        cols += list(set_bits(sets)[item].T)
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["token", "set_id", "n", "pos", "bits0", "bits1"][: len(cols)])
-
-        return self.docs.select("text").mapInArrow(run, "token long, set_id long, n int, pos int" + ", bits0 long, bits1 long" * bitmaps)
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["token", "set_id", "n", "pos"])
 
-    def _near_groups(self) -> DataFrame:
-        """The same as :meth:`_groups`, without members whose bits differ from all others' too much; a group too large to compare stays whole."""
-        num, den = self.num, self.den
-        large = 5_000
-
-        def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            held: list[np.ndarray] | None = None
-            whole: tuple[int, int] | None = None  # token and pivot of a large group under way
-
-            def batch(set_id, n, pos, pivot) -> pa.RecordBatch:
-                return pa.RecordBatch.from_arrays([pa.array(set_id, pa.int64()), pa.array(n, pa.int32()), pa.array(pos, pa.int32()), pa.array(pivot, pa.int64())], names=["set_id", "n", "pos", "pivot"])
-
-            def done(cols: list[np.ndarray]) -> pa.RecordBatch:
-                token, set_id, n, pos = cols[:4]
-                rows, pivot = near_groups(token, set_id, n, pos, np.stack(cols[4:], 1).view(np.uint64), num, den)
-                return batch(set_id[rows], n[rows], pos[rows], pivot)
-
-            for part in parts:
-                cols = [part.column(i).to_numpy() for i in range(6)]
-                if whole is not None and len(cols[0]):
-                    k = int(np.searchsorted(cols[0], whole[0], side="right"))
-                    if k:
-                        yield batch(cols[1][:k], cols[2][:k], cols[3][:k], np.full(k, whole[1]))
-                    cols = [c[k:] for c in cols]
-                    whole = whole if not len(cols[0]) else None
-                if not len(cols[0]):
-                    continue
-                cols = cols if held is None else [np.concatenate(x) for x in zip(held, cols)]
-                new = np.concatenate([[True], (cols[0][1:] != cols[0][:-1]) | (cols[1][1:] != cols[1][:-1])])
-                cols = [c[new] for c in cols]
-                last = int(np.searchsorted(cols[0], cols[0][-1]))
-                if last >= 50_000:
-                    yield done([c[:last] for c in cols])
-                    cols, last = [c[last:] for c in cols], 0
-                held = cols
-                if len(cols[0]) - last > large:
-                    if last:
-                        yield done([c[:last] for c in cols])
-                    group = [c[last:] for c in cols]
-                    whole, held = (int(group[0][0]), int(group[1][0])), None
-                    yield batch(group[1], group[2], group[3], np.full(len(group[1]), whole[1]))
-            if held is not None:
-                yield done(held)
-
-        rows = self._prefixes().repartition("token").sortWithinPartitions("token", "set_id")
-        return rows.mapInArrow(run, "set_id long, n int, pos int, pivot long")
+        return self.docs.select("text").mapInArrow(run, "token long, set_id long, n int, pos int")
 
     def _groups(self) -> DataFrame:
         """set_id, n, pos, pivot of each set that shares a token, by token; the pivot is the group's least set."""
@@ -354,11 +266,6 @@ class SetJoin:
     def clusters(self) -> DataFrame:
         """(pivot, set_id, n): the sets that may have a partner, by the pivots they may meet it at."""
         num, den = self.num, self.den
-        if self.bitmaps:
-            # few are left, so sets that meet at several pivots can meet once: at the component of all these meetings
-            near = materialize(self._near_groups().select("pivot", "set_id", "n").distinct(), "groups")
-            meet = components(near.select(F.col("set_id").alias("a"), F.col("pivot").alias("b")))
-            return near.select("set_id", "n").distinct().join(meet.withColumnRenamed("id", "set_id"), "set_id").select(F.col("component").alias("pivot"), "set_id", "n")
         groups = materialize(self._groups(), "groups")
         smaller = F.ceil(F.col("n") * num / den).cast("int")
         # l of the smallest partner: floor((1 - t) m) + 1 tokens, halved
@@ -372,22 +279,19 @@ class SetJoin:
         links = materialize(self._compared().distinct(), "links")
         return links, materialize(components(links), "components")
 
-    def later(self) -> DataFrame:
-        """set_id of every set that is really similar to another one whose first place (doc_id, line) is earlier; null ids are the earliest."""
-        return materialize(self._compared(order=True).select(F.col("a").alias("set_id")).distinct(), "later")
-
-    def _compared(self, order: bool = False) -> DataFrame:
-        """Links (a, b) of all clusters; with ``order`` those of :func:`join_members` with places."""
+    def _compared(self) -> DataFrame:
+        """Links (a, b) of all clusters."""
         clusters = materialize(self.clusters(), "clusters")
         sizes = clusters.groupBy("pivot").agg(F.count(F.lit(1)).alias("members"), F.ceil(F.sum("n") / self.block_tokens).cast("int").alias("blocks")).filter("members > 1")
+        sizes = if_small(materialize(sizes, "cluster-sizes"), F.lit(0), self.most_sent)
         own = F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int")
         others = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: j != F.col("own"))
         to = lambda i, j: F.struct(F.col("pivot").alias("key"), i.cast("int").alias("i"), j.cast("int").alias("j"))
         places = F.when(F.col("blocks") == 1, F.array(to(F.lit(0), F.lit(0)))).otherwise(F.transform(others, lambda j: to(F.least(F.col("own"), j), F.greatest(F.col("own"), j))))
         wanted = clusters.join(sizes, "pivot").withColumn("own", own).groupBy("set_id").agg(F.flatten(F.collect_list(places)).alias("to"))
         # where a set can be read again: one text that holds it
-        home = self.table.filter("n > 0").groupBy("set_id").agg(F.coalesce(F.min("doc_id"), F.min("text_key")).alias("at"), *([F.min(F.struct("doc_id", "line")).alias("first")] if order else []))
-        asks = F.struct("set_id", "to", *(["first"] if order else []))
+        home = self.table.filter("n > 0").groupBy("set_id").agg(F.coalesce(F.min("doc_id"), F.min("text_key")).alias("at"))
+        asks = F.struct("set_id", "to")
         sends = materialize(wanted.join(home, "set_id").groupBy("at").agg(F.collect_list(asks).alias("sends")), "sends")
         # a table of known size goes to the texts; beyond the bound the texts go to it
         sends = if_small(sends, F.aggregate("sends", F.lit(0), lambda n, s: n + F.size(s["to"])), self.most_sent)
@@ -395,36 +299,33 @@ class SetJoin:
 
         def send(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for part in parts:
-                asked = [{s["set_id"]: (s["to"], s.get("first") or {}) for s in row} for row in part.column(1).to_pylist()]
+                asked = [{s["set_id"]: s["to"] for s in row} for row in part.column(1).to_pylist()]
                 for sets in batches(part.column(0), kind):
                     ids, first = sets.ids().tolist(), sets.first
-                    cols: list[list] = [[] for _ in range(7)]
+                    cols: list[list] = [[] for _ in range(5)]
                     for k, (owner, s) in enumerate(zip(sets.owner.tolist(), ids)):
-                        if (ask := asked[owner].pop(s, None)) is not None:
-                            to, first_at = ask
+                        if (to := asked[owner].pop(s, None)) is not None:
                             raw = squeeze(sets.tokens[first[k] : first[k] + sets.count[k]])
                             for t in to:
-                                for column, value in zip(cols, (t["key"], t["i"], t["j"], s, raw, first_at.get("doc_id"), first_at.get("line"))):
+                                for column, value in zip(cols, (t["key"], t["i"], t["j"], s, raw)):
                                     column.append(value)
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.int64()))], names=["key", "i", "j", "member", "tokens", "first_doc", "first_line"])
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary()))], names=["key", "i", "j", "member", "tokens"])
 
         def compare(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held: tuple | None = None
             members: dict[int, np.ndarray] = {}
-            firsts: dict[int, tuple] = {}
 
             def flush() -> pa.RecordBatch:
-                found = join_members(list(members), list(members.values()), num, den, orders, list(firsts.values()) if order else None) if len(members) > 1 else []
+                found = join_members(list(members), list(members.values()), num, den, orders) if len(members) > 1 else []
                 return pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
             for part in parts:
-                for key, i, j, member, raw, doc, line in zip(*(part.column(c).to_pylist() for c in range(7))):
+                for key, i, j, member, raw in zip(*(part.column(c).to_pylist() for c in range(5))):
                     if held != (key, i, j):
                         yield flush()
-                        held, members, firsts = (key, i, j), {}, {}
+                        held, members = (key, i, j), {}
                     members[member] = unsqueeze(raw)
-                    firsts[member] = (doc is not None, doc or 0, line)
             yield flush()
 
-        sent = self.docs.withColumn("at", F.coalesce("doc_id", "text_key")).join(sends, "at").select("text", "sends").mapInArrow(send, "key long, i int, j int, member long, tokens binary, first_doc long, first_line long")
+        sent = self.docs.withColumn("at", F.coalesce("doc_id", "text_key")).join(sends, "at").select("text", "sends").mapInArrow(send, "key long, i int, j int, member long, tokens binary")
         return sent.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "member").mapInArrow(compare, "a long, b long")

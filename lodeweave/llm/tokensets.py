@@ -14,16 +14,20 @@ import pyarrow as pa
 
 #: Bytes of text that are worked on at a time (a longer text is cut between words).
 PIECE = 1 << 20
+#: Bytes whose running sums are held at a time.
+BLOCK = 1 << 17
 TOKEN_BITS = 48
 TOKEN_MASK = np.uint64((1 << TOKEN_BITS) - 1)
 RANK_BITS = 6
 _MAX_ITEMS = 1 << (64 - TOKEN_BITS)
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+_SOLID = ~_SPACE
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _rng = np.random.Generator(np.random.PCG64(20_240_917))
 _BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64)
+_VALUE = _BYTE[_LOWER]
 _STEP = int(_rng.integers(1, 1 << 63, dtype=np.uint64)) | 1
 _PLACE = [int(x) | 1 for x in _rng.integers(1, 1 << 63, 64, dtype=np.uint64)]
 
@@ -35,31 +39,52 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def _powers(n: int, held: list[np.ndarray] = [np.ones(1, np.uint64)]) -> np.ndarray:  # noqa: B006 - the cache is meant
-    while len(held[0]) < n:
-        held[0] = np.concatenate([held[0], held[0] * np.uint64(pow(_STEP, len(held[0]), 1 << 64))])
-    return held[0][:n]
+def _powers(step: int) -> np.ndarray:
+    """step ** 0, step ** 1, ... modulo 2 ** 64, for the places of a block."""
+    out = np.ones(1, np.uint64)
+    while len(out) < BLOCK:
+        out = np.concatenate([out, out * np.uint64(pow(step, len(out), 1 << 64))])
+    return out
+
+
+_UP, _DOWN = _powers(_STEP), _powers(pow(_STEP, -1, 1 << 64))
 
 
 def word_hashes(data: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes and start offsets of the words of ``data`` (uint8); ``firsts``: offsets where texts begin."""
+    """64-bit hashes and start offsets of the words of ``data`` (uint8); ``firsts``: offsets where texts begin.
+
+    A word's hash is a polynomial in its bytes: a difference of running sums over the data, shifted back by the place where the word starts.
+    The sums are made a block at a time and kept at the words' ends only.
+    """
     if not len(data):
         return np.empty(0, np.uint64), np.empty(0, np.int64)
-    solid = ~_SPACE[data]
+    solid = _SOLID[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[firsts] = True
     edge[-1] = True
-    before = np.concatenate([[False], solid[:-1]])
-    start = np.flatnonzero(solid & (~before | edge[:-1]))
-    after = np.concatenate([solid[1:], [False]])
-    stop = np.flatnonzero(solid & (~after | edge[1:])) + 1
-    length = stop - start
-    total = int(length.sum())
-    ahead = np.cumsum(length) - length
-    inside = np.arange(total) - np.repeat(ahead, length)
-    x = _BYTE[_LOWER[data[solid]]] * _powers(int(length.max(initial=1)))[inside]
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(x, dtype=np.uint64)])
-    return mix(sums[ahead + length] - sums[ahead] + length.astype(np.uint64)), start
+    begins = solid & edge[:-1]
+    begins[0] = solid[0]
+    begins[1:] |= solid[1:] & ~solid[:-1]
+    ends = solid & edge[1:]
+    ends[:-1] |= solid[:-1] & ~solid[1:]
+    start, stop = np.flatnonzero(begins), np.flatnonzero(ends) + 1
+    out = np.empty(len(start), np.uint64)
+    total, open_ = 0, np.zeros(len(start), np.uint64)
+    for lo in range(0, len(data), BLOCK):
+        part = data[lo : lo + BLOCK]
+        sums = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(_VALUE[part] * _UP[: len(part)], out=sums[1:])
+        here, base = np.uint64(pow(_STEP, lo, 1 << 64)), np.uint64(total)
+        x, y = np.searchsorted(start, [lo, lo + len(part)])
+        open_[x:y] = sums[start[x:y] - lo] * here + base
+        x, y = np.searchsorted(stop, [lo, lo + len(part)], side="right")
+        out[x:y] = sums[stop[x:y] - lo] * here + base
+        total = (total + int(sums[-1]) * int(here)) % (1 << 64)
+    back = _DOWN[start % BLOCK]
+    for block in range(1, -(-len(data) // BLOCK)):
+        x, y = np.searchsorted(start, [block * BLOCK, (block + 1) * BLOCK])
+        back[x:y] *= np.uint64(pow(_STEP, -block * BLOCK, 1 << 64))
+    return mix((out - open_) * back + (stop - start).astype(np.uint64)), start
 
 
 @dataclass
@@ -185,6 +210,11 @@ def _groups(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
         at = to
 
 
+def _spread(cuts: np.ndarray, n: int) -> np.ndarray:
+    """For each of n places how many of the ascending cuts are at it or before."""
+    return np.repeat(np.arange(len(cuts) + 1), np.diff(np.concatenate([[0], cuts, [n]])))
+
+
 def batches(texts: pa.Array, kind: Shingles | Lines, rarity: Rarity | None = None) -> Iterator[Sets]:
     """Token sets of a column of texts (null: empty), a bounded number of items at a time; every item comes whole and once."""
     texts = texts.cast(pa.large_string()).fill_null("")
@@ -209,9 +239,9 @@ def batches(texts: pa.Array, kind: Shingles | Lines, rarity: Rarity | None = Non
             firsts = offsets[a:b][(offsets[a:b] >= lo) & (offsets[a:b] < hi)] - lo
             h, start = word_hashes(part, firsts)
             hashes.append(h)
-            owner.append(np.searchsorted(offsets[a : b + 1], start + lo, side="right") - 1 + a)
+            owner.append(_spread(np.searchsorted(start + lo, offsets[a : b + 1]), len(start)) - 1 + a)
             breaks = np.flatnonzero(part == 10)
-            line.append(np.searchsorted(breaks, start) + lines_before)
+            line.append(_spread(np.searchsorted(start, breaks), len(start)) + lines_before)
             lines_before += len(breaks)
         h, owner_, line_ = np.concatenate(hashes), np.concatenate(owner), np.concatenate(line)
         # line numbers within the text
