@@ -11,9 +11,9 @@ sets meet, sizes and the parities of their hashed words (128 bits; no more bits
 joined in memory, cluster by cluster, by :func:`lodeweave.llm.setjoin.join_members`: prefix filter under the cluster's own frequencies, positional
 and length filters, Jaccard on whole lines.
 
-Equal lines are one set: within a task by sorting, across tasks by a map-side combined minimum, so a line that a third of all rows hold costs one row a
-task.  A set is named by 128 bits.  All places are ``(doc_id, uid, line)`` with ``uid`` the row's number in one written copy of the table, so rows that
-repeat an id, or have none, are rows of their own.
+Equal lines are one set: within a task by sorting, across tasks by a map-side combined minimum, so a line that a third of all rows hold costs a row or a
+few a task.  A set is named by 128 bits.  All places are ``(doc_id, uid, line)`` with ``uid`` a hash of the whole row, so rows that repeat an id, or have
+none, are rows of their own, and no text has to be written again to be found again; rows that are equal in all columns are one row until the end.
 """
 
 from __future__ import annotations
@@ -25,14 +25,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from lodeweave.llm.common import if_small, materialize
 from lodeweave.llm.components import components
 from lodeweave.llm.setjoin import SKETCH_BITS, join_members, prefix_length, rarity_ranks
-from lodeweave.llm.tokensets import Lines, Rarity, Sets, batches, mix, squeeze, unsqueeze
+from lodeweave.llm.tokensets import Counter, Lines, Rarity, Sets, batches, mix, squeeze, unsqueeze
 
-#: Bits of a key within its bucket, and of the set's name beside it.
-KEY_BITS, NAME_BITS = 40, 48
+#: Bits of a key within its bucket, and of the set's name beside it (with one more: whether the key is one of the set as the shorter of two).
+KEY_BITS, NAME_BITS = 32, 47
 #: Lines, and keys, that a task holds before it sends them.
 LINES_HELD, KEYS_HELD = 200_000, 2_000_000
 #: Keys a bucket is meant to hold.
@@ -55,35 +56,39 @@ def parts_of(k: int, num: int, den: int) -> int:
     return max(0, min((den - num) * 2 * 4**k // den, -(-num * 4**k // den) - 1))
 
 
-def pair_keys(item: np.ndarray, token: np.ndarray, size: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
-    """Items and 64-bit keys; ``token`` stands in order of rarity within ascending ``item``; ``size`` by item."""
+def pair_keys(item: np.ndarray, token: np.ndarray, size: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Items, 64-bit keys, and whether a key lies in the shorter prefix that a set needs as the shorter of two; ``token`` stands in order of rarity
+    within ascending ``item``; ``size`` by item.  The longer and the shorter of two similar sets share a key that is one of the shorter's in that sense.
+    """
     first = np.cumsum(size) - size
     pos = np.arange(len(item)) - first[item]
     own, reach = size_class(size), size_class(size * den // num)
     as_longer = prefix_length(size, num, den)
     as_shorter = size - -(-2 * num * size // (num + den)) + 1
-    whose, keys = [], []
+    whose, keys, roles = [], [], []
     for k in np.unique(np.concatenate([own, reach])).tolist():
         g = parts_of(k, num, den)
         most = np.where(own == k, as_longer + g, np.where(reach == k, as_shorter + g, 0))
         some = np.flatnonzero(pos < most[item])
-        who, what = item[some], token[some]
+        who, what, short = item[some], token[some], pos[some] < as_shorter[item[some]] + g
         salt = np.uint64(0x9E3779B97F4A7C15 * (k + 1) % (1 << 64))
         if not g:
             whose.append(who)
             keys.append(mix(what + salt))
+            roles.append(short)
             continue
         part = who * g + ((what * np.uint64(0xD1B54A32D192ED03)) >> np.uint64(33)).astype(np.int64) % g
         order = np.sort((part.astype(np.uint64) << np.uint64(28)) | np.arange(len(part), dtype=np.uint64))
         part, at = order >> np.uint64(28), (order & np.uint64((1 << 28) - 1)).astype(np.int64)
-        who, what = who[at], what[at]
+        who, what, short = who[at], what[at], short[at]
         for lag in range(1, len(part)):
             both = np.flatnonzero(part[lag:] == part[:-lag])
             if not len(both):
                 break
             whose.append(who[both])
             keys.append(mix(what[both] * np.uint64(0xA24BAED4963EE407) + what[both + lag] * np.uint64(0x9FB21C651E98DF25) + salt))
-    return (np.concatenate(whose), np.concatenate(keys)) if keys else (np.empty(0, np.int64), np.empty(0, np.uint64))
+            roles.append(short[both + lag])  # the later of two in order of rarity
+    return (np.concatenate(whose), np.concatenate(keys), np.concatenate(roles)) if keys else (np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, bool))
 
 
 def set_names(sets: Sets, halves: int = 2) -> np.ndarray:
@@ -135,40 +140,44 @@ def near_groups(group: np.ndarray, member: np.ndarray, n: np.ndarray, bits: np.n
 
 
 def meetings(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Keys and names of a bucket that stand for keys of two different sets or more, each once, in order of the key."""
-    lows, highs, lefts, rights = [], [], [], []
+    """Keys and names of a bucket, each once and in order of the key, where two different sets or more share a key and one of them has it as the shorter."""
+    lows, lefts, rights = [], [], []
     for blob in blobs:
-        n = len(blob) // 11
-        for held, kind, at in ((lows, "<u4", 0), (highs, "u1", 4 * n), (lefts, "<u4", 5 * n), (rights, "<u2", 9 * n)):
+        n = len(blob) // 10
+        for held, kind, at in ((lows, "<u4", 0), (lefts, "<u4", 4 * n), (rights, "<u2", 8 * n)):
             held.append(np.frombuffer(blob, kind, n, at))
-    key = np.concatenate(lows).astype(np.uint64) | (np.concatenate(highs).astype(np.uint64) << np.uint64(32))
+    key = np.concatenate(lows)
     order = np.argsort(key)
     key = key[order]
     same = key[1:] == key[:-1]
     some = np.concatenate([same, [False]]) | np.concatenate([[False], same])
-    key, order = key[some], order[some]
+    key, order = key[some].astype(np.uint64), order[some]
     name = np.concatenate(lefts)[order].astype(np.uint64) | (np.concatenate(rights)[order].astype(np.uint64) << np.uint64(32))
+    if not len(key):
+        return key, name
+    name, short = name & np.uint64((1 << NAME_BITS) - 1), (name >> np.uint64(NAME_BITS)) == 1
     order = np.lexsort((name, key))
-    key, name = key[order], name[order]
-    if len(key):
-        new = np.concatenate([[True], (key[1:] != key[:-1]) | (name[1:] != name[:-1])])
-        key, name = key[new], name[new]
-        same = key[1:] == key[:-1]
-        some = np.concatenate([same, [False]]) | np.concatenate([[False], same])
-        key, name = key[some], name[some]
-    return key, name
+    key, name, short = key[order], name[order], short[order]
+    new = np.concatenate([[True], (key[1:] != key[:-1]) | (name[1:] != name[:-1])])
+    begin = np.flatnonzero(new)
+    key, name, short = key[begin], name[begin], np.logical_or.reduceat(short, begin)
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    size = np.diff(np.append(first, len(key)))
+    some = np.repeat((size > 1) & np.logical_or.reduceat(short, first), size)
+    return key[some], name[some]
 
 
-def pack_keys(key: np.ndarray, name: np.ndarray) -> bytes:
-    """Columns of 4, 1, 4 and 2 bytes."""
-    return b"".join(x.tobytes() for x in (key.astype("<u4"), (key >> np.uint64(32)).astype("u1"), name.astype("<u4"), (name >> np.uint64(32)).astype("<u2")))
+def pack_keys(key: np.ndarray, name: np.ndarray, short: np.ndarray) -> bytes:
+    """Columns of 4, 4 and 2 bytes."""
+    left = (name & np.uint64((1 << NAME_BITS) - 1)) | (short.astype(np.uint64) << np.uint64(NAME_BITS))
+    return b"".join(x.tobytes() for x in (key.astype("<u4"), left.astype("<u4"), (left >> np.uint64(32)).astype("<u2")))
 
 
 @dataclass
 class LineJoin:
     """Join of the lines of ``docs`` (doc_id, text, and more columns) at Jaccard similarity ``num / den``.
 
-    ``rows``: the written copy (uid, row).  ``lines``: one row per line with words: uid, line, doc, its set (hi, lo; n words), and whether an earlier
+    ``rows``: uid, doc, row.  ``lines``: one row per line with words: uid, line, doc, its set (hi, lo; n words), and whether an earlier
     equal line is known from the same task (``again``).
     ``block_tokens``: tokens that a task joins at once.  ``most_sent``: rows up to which a written table is broadcast (some 50 MB).
     """
@@ -182,8 +191,10 @@ class LineJoin:
     lines: DataFrame = field(init=False)
 
     def __post_init__(self) -> None:
-        self.rows = materialize(self.docs.select(F.monotonically_increasing_id().alias("uid"), F.struct("*").alias("row")), "rows")
-        self._texts = self.rows.select("uid", F.col("row.doc_id").cast("long").alias("doc"), F.col("row.text").cast("string").alias("text"))
+        hashed = [F.map_entries(f"`{f.name}`") if isinstance(f.dataType, MapType) else F.col(f"`{f.name}`") for f in self.docs.schema]
+        at = [F.xxhash64(*hashed).alias("uid"), F.col("doc_id").cast("long").alias("doc")]
+        self.rows = self.docs.select(*at, F.struct("*").alias("row"))
+        self._texts = self.docs.select(*at, F.col("text").cast("string").alias("text"))
         #: sets with fewer words match equal sets only
         self.least = -(-self.num // max(1, self.den - self.num))
         written = materialize(self._texts.mapInArrow(self._reader(), _LINES), "lines")
@@ -193,16 +204,18 @@ class LineJoin:
     @staticmethod
     def _reader():
         def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            counts, some = np.zeros(1 << SKETCH_BITS, np.int64), False
-            cell = np.uint64((1 << SKETCH_BITS) - 1)
+            counter = Counter(1, SKETCH_BITS)
             held: list[tuple[np.ndarray, ...]] = []
 
             def flush() -> pa.RecordBatch:
                 uid, line, doc, null, hi, lo, n, b0, b1 = (np.concatenate(c) for c in zip(*held))
                 held.clear()
                 order = np.lexsort((line, uid, doc, ~null, hi, lo))
-                again = np.zeros(len(order), bool)
-                again[order[1:]] = (lo[order[1:]] == lo[order[:-1]]) & (hi[order[1:]] == hi[order[:-1]])
+                uid, line, doc, null, hi, lo, n, b0, b1 = (c[order] for c in (uid, line, doc, null, hi, lo, n, b0, b1))
+                again = np.concatenate([[False], (lo[1:] == lo[:-1]) & (hi[1:] == hi[:-1])])
+                once = np.concatenate([[True], ~again[1:] | (uid[1:] != uid[:-1]) | (line[1:] != line[:-1]) | (doc[1:] != doc[:-1])])  # not the same line of an equal row
+                # the first of a set and its repeats in equal rows stand side by side
+                uid, line, doc, null, hi, lo, n, b0, b1, again = (c[once] for c in (uid, line, doc, null, hi, lo, n, b0, b1, again))
                 cols = [pa.array(uid), pa.array(line, pa.int32()), pa.array(doc, mask=null), pa.array(hi), pa.array(lo), pa.array(n, pa.int32()), pa.array(b0), pa.array(b1), pa.array(again)]
                 return pa.RecordBatch.from_arrays([*cols, pa.nulls(len(uid), pa.binary()), pa.nulls(len(uid), pa.int32())], schema=_LINES_ARROW)
 
@@ -211,14 +224,14 @@ class LineJoin:
                 null = np.asarray(part.column(1).is_null())
                 docs = part.column(1).fill_null(_NONE).to_numpy()
                 for sets in batches(part.column(2), Lines()):
-                    some = some or len(sets.words) > 0
-                    counts += np.bincount((sets.words & cell).astype(np.int64), minlength=len(counts))
+                    counter.add(sets.words)
                     held.append((uids[sets.owner], sets.line, docs[sets.owner], null[sets.owner], *set_names(sets), sets.count, *set_parities(sets)))
                     if sum(len(h[0]) for h in held) >= LINES_HELD:
                         yield flush()
             if held:
                 yield flush()
-            if some:
+            counts = counter.total()
+            if counter.any:
                 rows = counts.astype("<u4").reshape(-1, _CHUNK)
                 none = pa.nulls(len(rows), pa.int64())
                 empty = [none.cast(f.type) for f in list(_LINES_ARROW)[:-2]]
@@ -231,17 +244,17 @@ class LineJoin:
         num, den, least = self.num, self.den, self.least
 
         def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            held: list[tuple[np.ndarray, np.ndarray]] = []
+            held: list[tuple[np.ndarray, ...]] = []
             size = 0
 
             def flush() -> pa.RecordBatch:
-                key, name = (np.concatenate(c) for c in zip(*held))
+                key, name, short = (np.concatenate(c) for c in zip(*held))
                 held.clear()
                 bucket = (key >> np.uint64(KEY_BITS)) % np.uint64(buckets)
                 order = np.argsort(bucket)
-                key, name, bucket = key[order], name[order], bucket[order]
+                key, name, short, bucket = key[order], name[order], short[order], bucket[order]
                 cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
-                blobs = [pack_keys(key[a:b], name[a:b]) for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(key)])]
+                blobs = [pack_keys(key[a:b], name[a:b], short[a:b]) for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(key)])]
                 return pa.RecordBatch.from_arrays([pa.array(bucket[cuts].astype(np.int32)), pa.array(blobs, pa.binary())], names=["bucket", "data"])
 
             seen: set[int] = set()
@@ -258,9 +271,9 @@ class LineJoin:
                     item, token = sets.order
                     early = fresh[item]
                     item, token = item[early], token[early]
-                    who, key = pair_keys(item, token, _counted(item, sets.count, fresh), num, den)
+                    who, key, short = pair_keys(item, token, _counted(item, sets.count, fresh), num, den)
                     if len(who):
-                        held.append((key, names[who].view(np.uint64)))
+                        held.append((key, names[who].view(np.uint64), short))
                         size += len(who)
                     if size >= KEYS_HELD:
                         yield flush()
@@ -362,16 +375,22 @@ class LineJoin:
         others = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: j != F.col("own"))
         places = F.when(F.col("blocks") == 1, F.array(to(F.lit(0), F.lit(0)))).otherwise(F.transform(others, lambda j: to(F.least(F.col("own"), j), F.greatest(F.col("own"), j))))
         wanted = clusters.join(if_small(sizes, F.lit(0), self.most_sent), "pivot").withColumn("own", own).select("num", places.alias("to"))
-        asks = wanted.join(homes.select("num", "first"), "num").select(F.col("first.uid").alias("uid"), F.struct("num", "to", F.col("first.doc").alias("doc"), F.col("first.line").alias("line")).alias("ask"))
-        sends = materialize(asks.groupBy("uid").agg(F.collect_list("ask").alias("sends")), "sends")
+        asks = wanted.join(homes.select("num", "first"), "num").select(F.col("first.uid").alias("at"), F.struct("num", "to", F.col("first.doc").alias("doc"), F.col("first.line").alias("line")).alias("ask"))
+        sends = materialize(asks.groupBy("at", F.col("ask.doc").alias("at_doc")).agg(F.collect_list("ask").alias("sends")), "sends")
         sends = if_small(sends, F.aggregate("sends", F.lit(0), lambda n, s: n + F.size(s["to"])), self.most_sent)
         num, den = self.num, self.den
 
         def send(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            done: set[tuple] = set()  # equal rows: one of them answers for the task
             types = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int32())
             for part in parts:
                 asked, lines = [], []
                 for uid, text, row in zip(part.column(0).to_pylist(), part.column(1), part.column(2).to_pylist()):
+                    if (uid, row[0]["doc"]) in done:
+                        continue
+                    done.add((uid, row[0]["doc"]))
+                    if len(done) > 500_000:
+                        done.clear()
                     split = text.as_py().split("\n")
                     asked += [(uid, ask) for ask in row]
                     lines += [split[ask["line"]] for ask in row]
@@ -403,7 +422,7 @@ class LineJoin:
                     firsts[member] = (doc is not None, doc or 0, uid, line)
             yield flush()
 
-        sent = self._texts.join(sends, "uid").select("uid", "text", "sends").mapInArrow(send, "key long, i int, j int, member long, tokens binary, doc long, uid long, line int")
+        sent = self._texts.join(sends, (F.col("uid") == F.col("at")) & F.col("doc").eqNullSafe(F.col("at_doc"))).select("uid", "text", "sends").mapInArrow(send, "key long, i int, j int, member long, tokens binary, doc long, uid long, line int")
         links = sent.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "member").mapInArrow(compare, "a long, b long")
         return homes, materialize(links.distinct(), "links")
 
@@ -413,14 +432,18 @@ class LineJoin:
         return self.lines.filter("not again").groupBy("hi", "lo").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("held")).filter("held > 1").drop("held")
 
     def removed(self) -> DataFrame:
-        """(uid, line) of every line that has a similar line at an earlier place."""
+        """(uid, doc, line) of every line that has a similar line at an earlier place (equal rows are one here)."""
         homes, links = self._compared(order=True)
         late = homes.join(links.select(F.col("a").alias("num")).distinct(), "num", "left_semi").select("hi", "lo", F.lit(True).alias("late"))
-        marks = self._copies().join(late, ["hi", "lo"], "full").select("hi", "lo", F.col("first.uid").alias("uid0"), F.col("first.line").alias("line0"), F.coalesce("late", F.lit(False)).alias("late"))
+        marks = self._copies().join(late, ["hi", "lo"], "full").select("hi", "lo", "first", F.coalesce("late", F.lit(False)).alias("late"))
         marks = materialize(marks, "marks")
         found = self.lines.filter("not again").join(if_small(marks, F.lit(0), self.most_sent), ["hi", "lo"])
-        found = found.filter("late or uid != uid0 or line != line0").select("uid", "line")
-        return found.unionByName(self.lines.filter("again").select("uid", "line"))
+        found = found.filter(F.col("late") | ~F.struct("doc", "uid", "line").eqNullSafe(F.col("first"))).select("uid", "doc", "line")
+        return found.unionByName(self.lines.filter("again").select("uid", "doc", "line"))
+
+    def repeated(self) -> DataFrame:
+        """(uid, doc) of rows that stand in the table more than once, equal in all columns."""
+        return materialize(self.rows.groupBy("uid", "doc").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "repeated")
 
     def classes(self) -> DataFrame:
         """uid, doc, line, top (place of the first line of its connected component of matches) of every line with words."""

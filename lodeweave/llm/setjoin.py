@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from lodeweave.llm.common import if_small, materialize
 from lodeweave.llm.components import components
-from lodeweave.llm.tokensets import TOKEN_MASK, Lines, Rarity, Sets, Shingles, batches, squeeze, unsqueeze
+from lodeweave.llm.tokensets import TOKEN_MASK, Counter, Lines, Rarity, Shingles, batches, squeeze, unsqueeze
 
 SKETCH_BITS = 20
 CHUNK = 1 << 12
@@ -180,20 +180,18 @@ class SetJoin:
         kind = self.kind
 
         def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            counts, some = np.zeros((2, 1 << SKETCH_BITS), np.int64), 0  # of tokens, of words
-            cell = np.uint64((1 << SKETCH_BITS) - 1)
+            counter = Counter(2, SKETCH_BITS)  # of tokens, of words
             for part in parts:
                 ids, keys = part.column(0), part.column(2)
                 for sets in batches(part.column(1), kind):
-                    some += len(sets.tokens)
-                    for row, hashes in zip(counts, (sets.tokens, sets.words)):
-                        row += np.bincount((hashes & cell).astype(np.int64), minlength=1 << SKETCH_BITS)
+                    counter.add(sets.tokens, sets.words)
                     k = len(sets.owner)
                     yield pa.RecordBatch.from_arrays(
                         [ids.take(pa.array(sets.owner)), keys.take(pa.array(sets.owner)), pa.array(sets.line, pa.int64()), pa.array(sets.count, pa.int64()), pa.array(sets.ids()), pa.nulls(k, pa.binary()), pa.nulls(k, pa.int32())],
                         schema=_TABLE_ARROW,
                     )
-            if some:
+            counts = counter.total()
+            if counter.any:
                 rows = counts.astype("<u4").reshape(-1, CHUNK)
                 none = pa.nulls(len(rows), pa.int64())
                 yield pa.RecordBatch.from_arrays([none, none, none, none, none, pa.array([r.tobytes() for r in rows], pa.binary()), pa.array(np.arange(len(rows)), pa.int32())], schema=_TABLE_ARROW)

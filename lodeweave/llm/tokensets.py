@@ -6,6 +6,7 @@ space, with A-Z lower-cased; it is hashed from its bytes alone, and tokens are 4
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -14,20 +15,16 @@ import pyarrow as pa
 
 #: Bytes of text that are worked on at a time (a longer text is cut between words).
 PIECE = 1 << 20
-#: Bytes whose running sums are held at a time.
-BLOCK = 1 << 17
+#: Bytes of a word beyond which it is hashed by itself.
+LONG = 64
 TOKEN_BITS = 48
 TOKEN_MASK = np.uint64((1 << TOKEN_BITS) - 1)
 RANK_BITS = 6
 _MAX_ITEMS = 1 << (64 - TOKEN_BITS)
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
-_SOLID = ~_SPACE
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
+_MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 _rng = np.random.Generator(np.random.PCG64(20_240_917))
-_BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64)
-_VALUE = _BYTE[_LOWER]
 _STEP = int(_rng.integers(1, 1 << 63, dtype=np.uint64)) | 1
 _PLACE = [int(x) | 1 for x in _rng.integers(1, 1 << 63, 64, dtype=np.uint64)]
 
@@ -39,52 +36,44 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def _powers(step: int) -> np.ndarray:
-    """step ** 0, step ** 1, ... modulo 2 ** 64, for the places of a block."""
-    out = np.ones(1, np.uint64)
-    while len(out) < BLOCK:
-        out = np.concatenate([out, out * np.uint64(pow(step, len(out), 1 << 64))])
-    return out
-
-
-_UP, _DOWN = _powers(_STEP), _powers(pow(_STEP, -1, 1 << 64))
+def _lower(x: np.ndarray) -> np.ndarray:
+    """A-Z of the eight bytes of each number in lower case."""
+    low = x & np.uint64(0x7F7F7F7F7F7F7F7F)
+    upper = ((low + np.uint64(0x3F3F3F3F3F3F3F3F)) ^ (low + np.uint64(0x2525252525252525))) & ~x & np.uint64(0x8080808080808080)
+    return x | (upper >> np.uint64(2))
 
 
 def word_hashes(data: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes and start offsets of the words of ``data`` (uint8); ``firsts``: offsets where texts begin.
 
-    A word's hash is a polynomial in its bytes: a difference of running sums over the data, shifted back by the place where the word starts.
-    The sums are made a block at a time and kept at the words' ends only.
+    All words are read eight bytes at a time, together; the few beyond ``LONG`` bytes one by one.
     """
     if not len(data):
         return np.empty(0, np.uint64), np.empty(0, np.int64)
-    solid = _SOLID[data]
+    solid = (data > 32) | (data < 9) | ((data > 13) & (data < 32))
     edge = np.zeros(len(data) + 1, bool)
     edge[firsts] = True
-    edge[-1] = True
-    begins = solid & edge[:-1]
-    begins[0] = solid[0]
+    edge[0] = edge[-1] = True
+    begins, ends = solid & edge[:-1], solid & edge[1:]
     begins[1:] |= solid[1:] & ~solid[:-1]
-    ends = solid & edge[1:]
     ends[:-1] |= solid[:-1] & ~solid[1:]
     start, stop = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-    out = np.empty(len(start), np.uint64)
-    total, open_ = 0, np.zeros(len(start), np.uint64)
-    for lo in range(0, len(data), BLOCK):
-        part = data[lo : lo + BLOCK]
-        sums = np.zeros(len(part) + 1, np.uint64)
-        np.cumsum(_VALUE[part] * _UP[: len(part)], out=sums[1:])
-        here, base = np.uint64(pow(_STEP, lo, 1 << 64)), np.uint64(total)
-        x, y = np.searchsorted(start, [lo, lo + len(part)])
-        open_[x:y] = sums[start[x:y] - lo] * here + base
-        x, y = np.searchsorted(stop, [lo, lo + len(part)], side="right")
-        out[x:y] = sums[stop[x:y] - lo] * here + base
-        total = (total + int(sums[-1]) * int(here)) % (1 << 64)
-    back = _DOWN[start % BLOCK]
-    for block in range(1, -(-len(data) // BLOCK)):
-        x, y = np.searchsorted(start, [block * BLOCK, (block + 1) * BLOCK])
-        back[x:y] *= np.uint64(pow(_STEP, -block * BLOCK, 1 << 64))
-    return mix((out - open_) * back + (stop - start).astype(np.uint64)), start
+    length = stop - start
+    eight = np.ndarray((len(data),), "<u8", np.concatenate([data, np.zeros(8, np.uint8)]).data, strides=(1,))
+    out = np.zeros(len(start), np.uint64)
+    open_ = np.flatnonzero(length <= LONG)
+    for at in range(0, LONG, 8):
+        left = length[open_] - at
+        x = eight[start[open_] + at] & _MASKS[np.minimum(left, 8)]
+        h = (out[open_] ^ _lower(x)) * np.uint64(_STEP)
+        out[open_] = h ^ (h >> np.uint64(29))
+        open_ = open_[left > 8]
+        if not len(open_):
+            break
+    for i in np.flatnonzero(length > LONG).tolist():
+        word = data[start[i] : stop[i]].tobytes().lower()
+        out[i] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+    return mix(out + length.astype(np.uint64)), start
 
 
 @dataclass
@@ -260,6 +249,31 @@ def batches(texts: pa.Array, kind: Shingles | Lines, rarity: Rarity | None = Non
             yield kind.sets(h[lo:hi], owner_[lo:hi], line_[lo:hi], np.empty(0, np.int64), rarity)
 
 
+class Counter:
+    """Counts of hashes by cell, in tables of one size; hashes are held until there are enough of them to be worth a pass over a table."""
+
+    def __init__(self, tables: int, bits: int) -> None:
+        self.counts = np.zeros((tables, 1 << bits), np.int64)
+        self.held: list[list[np.ndarray]] = [[] for _ in range(tables)]
+        self.size = 0
+        self.any = False
+
+    def add(self, *hashes: np.ndarray) -> None:
+        for held, x in zip(self.held, hashes):
+            held.append((x & np.uint64(self.counts.shape[1] - 1)).astype(np.int32))
+            self.size += len(x)
+        if self.size > 1 << 21:
+            self.total()
+
+    def total(self) -> np.ndarray:
+        for row, held in zip(self.counts, self.held):
+            if held:
+                row += np.bincount(np.concatenate(held), minlength=len(row))
+                held.clear()
+        self.any, self.size = self.any or self.size > 0, 0
+        return self.counts
+
+
 def squeeze(tokens: np.ndarray) -> bytes:
     """Six bytes a token."""
     return np.ascontiguousarray(tokens.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()

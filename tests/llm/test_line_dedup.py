@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from lodeweave.llm import line_dedup, linejoin
 from lodeweave.llm.tokensets import Lines, Rarity, batches
@@ -46,9 +47,9 @@ def sets_of(text):
     return [frozenset(WORD.findall(x.translate(LOWER))) for x in (text or "").split("\n")]
 
 
-def expected(found):
-    """Removed line numbers by row, by comparing all pairs in order of (id, row number, line)."""
-    order = sorted((i is not None, i or 0, u, k, s) for u, (i, t) in enumerate(found) for k, s in enumerate(sets_of(t)) if s)
+def expected(found, tie):
+    """Removed line numbers by row, by comparing all pairs in order of (id, hash of the row, row number, line)."""
+    order = sorted((i is not None, i or 0, tie[u], u, k, s) for u, (i, t) in enumerate(found) for k, s in enumerate(sets_of(t)) if s)
     out = {}
     for a, (*_, u, k, s) in enumerate(order):
         if any(100 * len(s & o) >= 80 * len(s | o) for *_, o in order[:a]):
@@ -59,8 +60,10 @@ def expected(found):
 def test_registered_query(spark, tmp_path):
     found = rows()
     pq.write_table(pa.table({"doc_id": pa.array([i for i, _ in found], pa.int64()), "text": [t for _, t in found], "uid": [1] * len(found)}), tmp_path / "documents.parquet")
+    table = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    hashes = {(r["doc_id"], r["text"]): r["h"] for r in table.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("h")).collect()}
     got = sorted((tuple(r) for r in line_dedup.op3_line_dedup(spark, str(tmp_path)).select("doc_id", "n_lines", "n_removed", "removed", "left_sha256").collect()), key=repr)
-    gone = expected(found)
+    gone = expected(found, [hashes[r] for r in found])
     want = []
     for u, (i, t) in enumerate(found):
         lines, removed = (t or "").split("\n"), sorted(gone.get(u, []))
@@ -88,17 +91,19 @@ def test_similar_lines_share_a_key(num, den):
     ranks = np.random.default_rng(1).integers(0, 64, 1 << 12).astype(np.uint8)
     (sets,) = batches(pa.array(lines), Lines(), Rarity(ranks, ranks))
     item, token = sets.order
-    who, key = linejoin.pair_keys(item, token, sets.count, num, den)
-    keys, words = [set() for _ in lines], [set(x.split()) for x in lines]
-    for w, k in zip(who.tolist(), key.tolist()):
+    who, key, short = linejoin.pair_keys(item, token, sets.count, num, den)
+    keys, shorts, words = [set() for _ in lines], [set() for _ in lines], [set(x.split()) for x in lines]
+    for w, k, s in zip(who.tolist(), key.tolist(), short.tolist()):
         keys[w].add(k)
+        if s:
+            shorts[w].add(k)
     bits = linejoin.set_parities(sets).T.view(np.uint64)
     near = 0
     for i in range(len(lines)):
         for j in range(i - i % 3, i):
             if words[i] != words[j] and den * len(words[i] & words[j]) >= num * len(words[i] | words[j]):
                 near += 1
-                assert keys[i] & keys[j]
+                assert keys[i] & shorts[j] or shorts[i] & keys[j]
                 assert len(linejoin.near_groups(np.zeros(2), np.arange(2), sets.count[[i, j]], bits[[i, j]], num, den)[0]) == 2
     assert near > 40
 
@@ -116,11 +121,14 @@ def test_other_thresholds(spark):
 def test_meetings_keep_only_shared_keys():
     rng = np.random.default_rng(2)
     key, name = rng.integers(0, 1 << 12, 5000).astype(np.uint64) << np.uint64(27), rng.integers(0, 40, 5000).astype(np.uint64) << np.uint64(41)
-    got = linejoin.meetings([linejoin.pack_keys(key[a : a + 700], name[a : a + 700]) for a in range(0, 5000, 700)])
-    held = {}
-    for k, n in zip((key & np.uint64((1 << 40) - 1)).tolist(), (name & np.uint64((1 << 48) - 1)).tolist()):
+    short = rng.random(5000) < 0.2
+    got = linejoin.meetings([linejoin.pack_keys(key[a : a + 700], name[a : a + 700], short[a : a + 700]) for a in range(0, 5000, 700)])
+    held, some = {}, set()
+    for k, n, s in zip((key & np.uint64((1 << 32) - 1)).tolist(), (name & np.uint64((1 << 47) - 1)).tolist(), short.tolist()):
         held.setdefault(k, set()).add(n)
-    assert list(zip(*(x.tolist() for x in got))) == sorted((k, n) for k, v in held.items() if len(v) > 1 for n in v)
+        if s:
+            some.add(k)
+    assert list(zip(*(x.tolist() for x in got))) == sorted((k, n) for k, v in held.items() if len(v) > 1 and k in some for n in v)
 
 
 def test_very_long_lines_and_texts(spark):
