@@ -139,12 +139,23 @@ def near_groups(group: np.ndarray, member: np.ndarray, n: np.ndarray, bits: np.n
     return rows, member[root[rows]]
 
 
-def meetings(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Keys and names of a bucket, each once and in order of the key, where two different sets or more share a key and one of them has it as the shorter."""
-    lows, lefts, rights = [], [], []
+#: Sizes are sent as steps of a logarithm.
+_STEP = 1.04
+
+
+def size_steps(n: np.ndarray) -> np.ndarray:
+    return np.minimum(255, np.floor(np.log(np.maximum(n, 1)) / np.log(_STEP))).astype(np.uint8)
+
+
+def meetings(blobs: list[bytes], num: int = 80, den: int = 100) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and names of a bucket, each once and in order of the key, of the sets that share a key with another set of a fitting size.
+
+    A set stays if it is the longer of two and the other has the key as the shorter, or the other way round.
+    """
+    lows, lefts, rights, sizes = [], [], [], []
     for blob in blobs:
-        n = len(blob) // 10
-        for held, kind, at in ((lows, "<u4", 0), (lefts, "<u4", 4 * n), (rights, "<u2", 8 * n)):
+        n = len(blob) // 11
+        for held, kind, at in ((lows, "<u4", 0), (lefts, "<u4", 4 * n), (rights, "<u2", 8 * n), (sizes, "u1", 10 * n)):
             held.append(np.frombuffer(blob, kind, n, at))
     key = np.concatenate(lows)
     order = np.argsort(key)
@@ -155,22 +166,32 @@ def meetings(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     name = np.concatenate(lefts)[order].astype(np.uint64) | (np.concatenate(rights)[order].astype(np.uint64) << np.uint64(32))
     if not len(key):
         return key, name
+    size = np.concatenate(sizes)[order].astype(np.int64)
     name, short = name & np.uint64((1 << NAME_BITS) - 1), (name >> np.uint64(NAME_BITS)) == 1
     order = np.lexsort((name, key))
-    key, name, short = key[order], name[order], short[order]
+    key, name, short, size = key[order], name[order], short[order], size[order]
     new = np.concatenate([[True], (key[1:] != key[:-1]) | (name[1:] != name[:-1])])
     begin = np.flatnonzero(new)
-    key, name, short = key[begin], name[begin], np.logical_or.reduceat(short, begin)
-    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-    size = np.diff(np.append(first, len(key)))
-    some = np.repeat((size > 1) & np.logical_or.reduceat(short, first), size)
-    return key[some], name[some]
+    key, name, short, size = key[begin], name[begin], np.logical_or.reduceat(short, begin), size[begin]
+    # by size within a key, of equal sizes those that have it as the shorter first
+    order = np.lexsort((~short, size, key))
+    key, name, short, size = key[order], name[order], short[order], size[order]
+    reach = int(np.ceil(np.log(den / num) / np.log(_STEP))) + 1
+    place = np.arange(len(key))
+    last = np.concatenate([[-1], np.maximum.accumulate(np.where(short, place, -1))[:-1]])  # the last one before that has it as the shorter
+    as_longer = (last >= 0) & (key[last] == key) & ((size - size[last] <= reach) | (size == 255))
+    after = np.minimum(place + 1, len(key) - 1)
+    as_shorter = short & (after > place) & (key[after] == key) & ((size[after] - size <= reach) | (size[after] == 255))
+    some = as_longer | as_shorter
+    key, name = key[some], name[some]
+    order = np.lexsort((name, key))
+    return key[order], name[order]
 
 
-def pack_keys(key: np.ndarray, name: np.ndarray, short: np.ndarray) -> bytes:
-    """Columns of 4, 4 and 2 bytes."""
+def pack_keys(key: np.ndarray, name: np.ndarray, short: np.ndarray, size: np.ndarray) -> bytes:
+    """Columns of 4, 4, 2 and 1 bytes."""
     left = (name & np.uint64((1 << NAME_BITS) - 1)) | (short.astype(np.uint64) << np.uint64(NAME_BITS))
-    return b"".join(x.tobytes() for x in (key.astype("<u4"), left.astype("<u4"), (left >> np.uint64(32)).astype("<u2")))
+    return b"".join(x.tobytes() for x in (key.astype("<u4"), left.astype("<u4"), (left >> np.uint64(32)).astype("<u2"), size.astype("u1")))
 
 
 @dataclass
@@ -245,16 +266,16 @@ class LineJoin:
 
         def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held: list[tuple[np.ndarray, ...]] = []
-            size = 0
+            waiting = 0
 
             def flush() -> pa.RecordBatch:
-                key, name, short = (np.concatenate(c) for c in zip(*held))
+                key, name, short, size = (np.concatenate(c) for c in zip(*held))
                 held.clear()
                 bucket = (key >> np.uint64(KEY_BITS)) % np.uint64(buckets)
                 order = np.argsort(bucket)
-                key, name, short, bucket = key[order], name[order], short[order], bucket[order]
+                key, name, short, size, bucket = key[order], name[order], short[order], size[order], bucket[order]
                 cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
-                blobs = [pack_keys(key[a:b], name[a:b], short[a:b]) for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(key)])]
+                blobs = [pack_keys(key[a:b], name[a:b], short[a:b], size[a:b]) for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(key)])]
                 return pa.RecordBatch.from_arrays([pa.array(bucket[cuts].astype(np.int32)), pa.array(blobs, pa.binary())], names=["bucket", "data"])
 
             seen: set[int] = set()
@@ -273,11 +294,11 @@ class LineJoin:
                     item, token = item[early], token[early]
                     who, key, short = pair_keys(item, token, _counted(item, sets.count, fresh), num, den)
                     if len(who):
-                        held.append((key, names[who].view(np.uint64), short))
-                        size += len(who)
-                    if size >= KEYS_HELD:
+                        held.append((key, names[who].view(np.uint64), short, size_steps(sets.count)[who]))
+                        waiting += len(who)
+                    if waiting >= KEYS_HELD:
                         yield flush()
-                        size = 0
+                        waiting = 0
             if held:
                 yield flush()
 
@@ -290,6 +311,7 @@ class LineJoin:
     def _meetings(self) -> DataFrame:
         """(at, name) of the sets that share a key with another set."""
         words = self.lines.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+        num, den = self.num, self.den
         partitions = max(1, int(self.docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
         buckets = max(4 * partitions, words // 2 // BUCKET_KEYS)
 
@@ -297,7 +319,7 @@ class LineJoin:
             at, blobs = None, []
 
             def done() -> pa.RecordBatch:
-                key, name = meetings(blobs)
+                key, name = meetings(blobs, num, den)
                 return pa.RecordBatch.from_arrays([pa.array((key | (np.uint64(at) << np.uint64(KEY_BITS))).view(np.int64)), pa.array(name.view(np.int64))], names=["at", "name"])
 
             for part in parts:

@@ -118,17 +118,25 @@ def test_other_thresholds(spark):
     assert got == classes(sets, 50, 100)
 
 
-def test_meetings_keep_only_shared_keys():
+def test_meetings_keep_only_fitting_pairs():
     rng = np.random.default_rng(2)
-    key, name = rng.integers(0, 1 << 12, 5000).astype(np.uint64) << np.uint64(27), rng.integers(0, 40, 5000).astype(np.uint64) << np.uint64(41)
-    short = rng.random(5000) < 0.2
-    got = linejoin.meetings([linejoin.pack_keys(key[a : a + 700], name[a : a + 700], short[a : a + 700]) for a in range(0, 5000, 700)])
-    held, some = {}, set()
-    for k, n, s in zip((key & np.uint64((1 << 32) - 1)).tolist(), (name & np.uint64((1 << 47) - 1)).tolist(), short.tolist()):
-        held.setdefault(k, set()).add(n)
-        if s:
-            some.add(k)
-    assert list(zip(*(x.tolist() for x in got))) == sorted((k, n) for k, v in held.items() if len(v) > 1 and k in some for n in v)
+    n = 5000
+    key, name = rng.integers(0, 1 << 11, n).astype(np.uint64) << np.uint64(20), rng.integers(0, 60, n).astype(np.uint64) << np.uint64(40)
+    size, short = linejoin.size_steps(10 + (name >> np.uint64(40)).astype(np.int64) * 7), rng.random(n) < 0.3
+    got = linejoin.meetings([linejoin.pack_keys(*(x[a : a + 700] for x in (key, name, short, size))) for a in range(0, n, 700)])
+    got = set(zip(*(x.tolist() for x in got)))
+    held = {}
+    for k, m, s in zip(key.tolist(), name.tolist(), short.tolist()):
+        held.setdefault(k, {}).setdefault(m, []).append(s)
+    real = lambda m: 10 + (m >> 40) * 7
+    kept = wanted = 0
+    for k, members in held.items():
+        for a in members:
+            fits = any(b != a and 100 * min(real(a), real(b)) >= 80 * max(real(a), real(b)) and any(members[a if real(a) <= real(b) else b]) for b in members)
+            wanted += fits
+            kept += (k, a) in got
+            assert not fits or (k, a) in got
+    assert len(got) == kept and wanted <= kept < 1.5 * wanted
 
 
 def test_very_long_lines_and_texts(spark):
