@@ -5,12 +5,13 @@ holds the content it stands for (full SHA-256 digest and a payload).  A fingerpr
 content, deletion removes one live digest, and an insertion that finds no room doubles the table and refills it from
 the stored keys, so no key is ever lost and no answer is ever approximate.
 
-The operator runs the index twice: per input partition (which folds the copies of a hot text before anything is
-shuffled, so a text that a third of all rows share sends one row per partition) and per digest shard, whose number
+The operator runs the index twice: per input partition, ``most_local`` digests at a time (which folds the copies of a hot text before anything is
+shuffled, so a text that a third of all rows share sends a few rows per partition) and per digest shard, whose number
 grows with the rows, so that one index stays within ``rows_per_shard`` digests.
 
 Defined results: null text counts as empty; of equal texts the row with the largest doc_id stays (null ids rank lowest;
-of repeated rows with one id exactly one stays); an empty table gives an empty result; further columns pass through.
+of repeated rows with one id exactly one stays); texts of any length are compared whole, by their SHA-256 digest; an empty table gives an empty result;
+further columns pass through whatever their names.
 """
 
 from __future__ import annotations
@@ -123,39 +124,53 @@ GROUPS = "digest binary, keep_id long, keep_uid long, group_size long, tops long
 _ARROW = pa.schema([("digest", pa.binary()), ("keep_id", pa.int64()), ("keep_uid", pa.int64()), ("group_size", pa.int64()), ("tops", pa.int64())])
 
 
-def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Merge rows (digest, keep_id, keep_uid, group_size, tops) of equal digest through one index."""
-    index = CuckooIndex()
-    least = -(1 << 63)
-    for batch in batches:
-        for digest, doc, uid, n, tops in zip(*(batch.column(i).to_pylist() for i in range(5))):
-            key = least if doc is None else doc
-            live = index.find(digest)
-            if live is None:
-                index.insert(digest, [key, doc, uid, n, tops])
-                continue
-            live[3] += n
-            if key == live[0]:
-                live[4] += tops
-                live[2] = max(live[2], uid)
-            elif key > live[0]:
-                live[0], live[1], live[2], live[4] = key, doc, uid, tops
-    rows = list(index.items())
-    for at in range(0, len(rows), 50_000):
-        part = rows[at : at + 50_000]
-        yield pa.RecordBatch.from_arrays([pa.array([d for d, _ in part], pa.binary())] + [pa.array([p[i] for _, p in part], pa.int64()) for i in (1, 2, 3, 4)], schema=_ARROW)
+def _folder(most: int | None = None):
+    """Merge rows (digest, keep_id, keep_uid, group_size, tops) of equal digest through one index.
+
+    With ``most``, an index of that many digests is sent on and a new one begun, so memory is bounded whatever a partition holds; a later fold merges what
+    is left.
+    """
+
+    def sent(index: CuckooIndex) -> Iterator[pa.RecordBatch]:
+        rows = list(index.items())
+        for at in range(0, len(rows), 50_000):
+            part = rows[at : at + 50_000]
+            yield pa.RecordBatch.from_arrays([pa.array([d for d, _ in part], pa.binary())] + [pa.array([p[i] for _, p in part], pa.int64()) for i in (1, 2, 3, 4)], schema=_ARROW)
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = CuckooIndex()
+        least = -(1 << 63)
+        for batch in batches:
+            for digest, doc, uid, n, tops in zip(*(batch.column(i).to_pylist() for i in range(5))):
+                key = least if doc is None else doc
+                live = index.find(digest)
+                if live is None:
+                    if most is not None and len(index) >= most:
+                        yield from sent(index)
+                        index = CuckooIndex()
+                    index.insert(digest, [key, doc, uid, n, tops])
+                    continue
+                live[3] += n
+                if key == live[0]:
+                    live[4] += tops
+                    live[2] = max(live[2], uid)
+                elif key > live[0]:
+                    live[0], live[1], live[2], live[4] = key, doc, uid, tops
+        yield from sent(index)
+
+    return fold
 
 
 def _digests(docs: DataFrame, *more) -> DataFrame:
     return docs.select(*more, F.col("doc_id").cast("long").alias("doc_id"), F.unhex(F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)).alias("digest"))
 
 
-def dedup_groups(digests: DataFrame, rows_per_shard: int = 500_000) -> DataFrame:
+def dedup_groups(digests: DataFrame, rows_per_shard: int = 500_000, most_local: int = 200_000) -> DataFrame:
     """``(doc_id, uid, digest)`` rows to one row per digest: who stays, group size, rows that carry the top id."""
     one = F.lit(1).cast("long")
-    local = digests.select("digest", F.col("doc_id").alias("keep_id"), F.col("uid").alias("keep_uid"), one.alias("group_size"), one.alias("tops")).mapInArrow(_fold, GROUPS)
+    local = digests.select("digest", F.col("doc_id").alias("keep_id"), F.col("uid").alias("keep_uid"), one.alias("group_size"), one.alias("tops")).mapInArrow(_folder(most_local), GROUPS)
     shards = max(int(digests.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(digests.count() / rows_per_shard))
-    return local.repartition(shards, "digest").mapInArrow(_fold, GROUPS)
+    return local.repartition(shards, "digest").mapInArrow(_folder(), GROUPS)
 
 
 def mark_duplicates(docs: DataFrame) -> DataFrame:
