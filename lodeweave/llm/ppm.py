@@ -6,17 +6,19 @@ the escape probabilities (method C: distinct successors against occurrences) of
 its exact code length, the sum of ``-log2`` of these probabilities over all its bytes, and the shortest code names the language.
 
 Trees are stored as sorted arrays (context and byte packed in one integer), so the code lengths of a batch are found for its distinct byte
-strings with a few vectorised searches; texts of any length cost memory by batch, not by text.
+strings with a few vectorised searches; a text is worked on ``CHUNK`` bytes at a time, so beside the text itself its length costs no memory.
 
-Models are fitted on at most ``max_rows`` documents a language and ``max_nodes`` of the most frequent strings of each order (documented bounds).
+Models are fitted on at most ``max_rows`` rows a language, in order of a hash of the id, and on no more of these once they hold ``max_bytes`` bytes (documented
+bounds of the sample of labelled rows); a tree keeps every context it saw.
 
 Defined results: null text, or text without a letter, is ``und`` with score 0; without any training language everything is ``und``;
-ties go to the language first in code point order; repeated rows are scored each.
+ties go to the language first in code point order; texts of any length are scored whole; repeated rows are scored each and alike, and a row that the
+sample holds twice trains once; an empty table gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -65,9 +67,9 @@ def _find(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return table[at] == keys, at
 
 
-def pack(data: bytes) -> np.ndarray:
+def pack(data: bytes, before: bytes = PAD) -> np.ndarray:
     """For each byte the integer of it and the ORDER bytes before it."""
-    b = np.frombuffer(PAD + data, np.uint8).astype(np.int64)
+    b = np.frombuffer(before + data, np.uint8).astype(np.int64)
     n = len(data)
     out = np.zeros(n, np.int64)
     for k in range(ORDER + 1):
@@ -75,15 +77,18 @@ def pack(data: bytes) -> np.ndarray:
     return out
 
 
-def fit(texts: list[bytes], max_nodes: int = 200_000) -> Tree:
-    """Count, prune to the most frequent strings of each order, and freeze."""
+def packed_chunks(data: bytes) -> Iterator[np.ndarray]:
+    """:func:`pack` of a text, CHUNK bytes at a time."""
+    for a in range(0, len(data), CHUNK):
+        yield pack(data[a : a + CHUNK], data[a - ORDER : a] if a else PAD)
+
+
+def fit(texts: list[bytes]) -> Tree:
+    """Count and freeze."""
     packed = np.concatenate([pack(t) for t in texts]) if texts else np.empty(0, np.int64)
     strings, costs, contexts, escapes = [], [], [], []
     for k in range(ORDER + 1):
         keys, n = np.unique(packed & ((1 << (8 * (k + 1))) - 1), return_counts=True)
-        if len(keys) > max_nodes:
-            keep = np.sort(np.argsort(-n, kind="stable")[:max_nodes])
-            keys, n = keys[keep], n[keep]
         heads, at = np.unique(keys >> 8, return_inverse=True)
         total, distinct = np.bincount(at, n, len(heads)), np.bincount(at, minlength=len(heads))
         strings.append(keys)
@@ -94,32 +99,27 @@ def fit(texts: list[bytes], max_nodes: int = 200_000) -> Tree:
 
 
 def train(docs: DataFrame, max_rows: int = 250, max_bytes: int = 1_500_000) -> dict[str, Tree]:
-    """A tree for each language of ``docs`` (doc_id, text, lang), fitted on whole texts of at most ``max_rows`` rows each.
+    """A tree for each language of ``docs`` (doc_id, text, lang), fitted on whole texts.
 
-    The rows with the smallest hash of the id are taken; the rank filter prunes within each task before anything is shuffled.
-    Of these, texts are used in that order as long as they fit into ``max_bytes``.
+    The rows with the smallest hash of the id are taken, at most ``max_rows`` a language; the rank filter prunes within each task before anything is
+    shuffled.  Rows after the one with which a language reaches ``max_bytes`` are left out, so the driver gets no more than that and one text a language.
     """
-    rows = docs.filter(F.col("text").isNotNull() & F.col("lang").isNotNull())
-    key = [F.col("lang").cast("string").alias("lang"), F.col("doc_id").cast("long").alias("doc_id")]
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = rows.select(*key).withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= max_rows).drop("nth").distinct()
-    got = rows.select(*key, F.xxhash64("doc_id").alias("h"), F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), ["lang", "doc_id"]).select("lang", "h", "text").toPandas()
+    rows = docs.filter(F.col("text").isNotNull() & F.col("lang").isNotNull()).select(F.col("lang").cast("string").alias("lang"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = rows.select("lang", "doc_id", F.xxhash64("doc_id").alias("h"), F.xxhash64("text").alias("text_key"), F.octet_length("text").alias("bytes"), "text")
+    order = Window.partitionBy("lang").orderBy("h", "doc_id", "text_key")
+    ranked = rows.drop("text").withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= max_rows)
+    before = F.coalesce(F.sum("bytes").over(Window.partitionBy("lang").orderBy("nth").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    chosen = ranked.withColumn("before", before).filter(F.col("before") < max_bytes).select("lang", "h", "text_key").distinct()
+    some = rows.join(F.broadcast(chosen), ["lang", "h", "text_key"]).groupBy("lang", "h", "text_key").agg(F.first("text").alias("text"))
     out: dict[str, Tree] = {}
-    for lang, part in sorted(got.sort_values(["h", "text"]).groupby("lang"), key=lambda x: x[0]):
-        texts, size = [], 0
-        for t in part["text"]:
-            raw = t.encode("utf-8", "surrogatepass")
-            if size and size + len(raw) > max_bytes:
-                continue
-            texts.append(raw)
-            size += len(raw)
-        out[str(lang)] = fit(texts)
+    for lang, part in sorted(some.toPandas().sort_values(["h", "text_key"]).groupby("lang"), key=lambda x: x[0]):
+        out[str(lang)] = fit([t.encode("utf-8", "surrogatepass") for t in part["text"]])
     return out
 
 
-def code_lengths(texts: list[bytes], trees: list[Tree]) -> np.ndarray:
-    """Bits of each text in each language; works through the texts' bytes in chunks of CHUNK."""
-    out = np.zeros((len(texts), len(trees)))
+def code_lengths(texts: Iterable[bytes], trees: list[Tree], n: int | None = None) -> np.ndarray:
+    """Bits of each of ``n`` texts in each language; works through the texts' bytes in chunks of CHUNK."""
+    out = np.zeros((len(texts) if n is None else n, len(trees)))
     held: list[tuple[int, np.ndarray]] = []
 
     def flush() -> None:
@@ -134,10 +134,9 @@ def code_lengths(texts: list[bytes], trees: list[Tree]) -> np.ndarray:
 
     size = 0
     for i, t in enumerate(texts):
-        packed = pack(t) if t else np.empty(0, np.int64)
-        for a in range(0, len(packed), CHUNK):
-            held.append((i, packed[a : a + CHUNK]))
-            size += len(held[-1][1])
+        for packed in packed_chunks(t):
+            held.append((i, packed))
+            size += len(packed)
             if size >= CHUNK:
                 flush()
                 size = 0
@@ -155,11 +154,11 @@ def _identifier(models: dict[str, Tree]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in (batch.slice(a, 256) for a in range(0, batch.num_rows, 256)):
-                texts = part.column(1).to_pylist()
-                clear = [has_letter(t) and bool(names) for t in texts]
+                texts = part.column(1)
+                clear = [bool(names) and has_letter(t.as_py()) for t in texts]
                 langs, scores = ["und"] * len(texts), np.zeros(len(texts))
                 if any(clear):
-                    bits = code_lengths([t.encode("utf-8", "surrogatepass") if c else b"" for t, c in zip(texts, clear)], trees)
+                    bits = code_lengths((t.as_py().encode("utf-8", "surrogatepass") if c else b"" for t, c in zip(texts, clear)), trees, len(texts))
                     best = bits.argmin(1)
                     share = 1 / np.exp2(-np.clip(bits - bits.min(1)[:, None], 0, 60)).sum(1)
                     for i, c in enumerate(clear):
