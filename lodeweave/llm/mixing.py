@@ -3,14 +3,15 @@
 Each source gets a token budget (:func:`source_targets`).  A document's expected number of copies is
 ``target / source_size``; within a source the documents stand in one total order, their expected copies are
 summed up, one offset is added, and a document is emitted once for each integer boundary its interval crosses.
-The order puts documents of like size side by side, so the words taken follow the copies taken.
+The order puts documents of like size side by side, so the words taken follow the copies taken; inside a size it goes by a digest of id and text.
 
 Scale: prefix sums come from counts per (source, size class, shard) plus a rank inside such a cell, so a source
-with a third of all rows is dealt over ``shards`` times its size classes, and no window holds a whole source.
+with a third of all rows is dealt over ``shards`` times its size classes, and no window holds a whole source; repeated and missing ids are dealt
+by their texts.  Only the table of sources (a row each) is ordered in one task.
 
 Defined results: null text has size 0; a null source is a source of its own, ordered last; a source whose size is 0
-is not taken; an empty table gives an empty result; repeated rows are independent documents; further columns are
-passed through :func:`mix` whatever their names.
+is not taken; texts of any length are counted whole; an empty table gives an empty result; repeated rows are independent documents (which of equal rows
+is taken more often is left open); further columns are passed through :func:`mix` whatever their names.
 """
 
 from __future__ import annotations
@@ -60,7 +61,7 @@ def _plan(docs: DataFrame, counts: DataFrame, share: float, cap: float, weights:
     cells = counts.select("key", "size_class", "shard", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("base"))
     cells = cells.join(targets.drop("source"), "key").withColumn("rate", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0))
     # a multiple of 2^-16, so that offset plus prefix stays exact for whole rates
-    cells = cells.withColumn("start", F.pmod(F.xxhash64(F.lit(seed), "key"), F.lit(1 << 16)) / F.lit(float(1 << 16)))
+    cells = cells.withColumn("start", _digits(F.concat(F.lit(f"{seed} "), F.col("key")), 4) / F.lit(float(1 << 16)))
     inside = Window.partitionBy("key", "size_class", "shard").orderBy("size", "tie")
     ranked = docs.withColumn("rank", F.row_number().over(inside).cast("long"))
     at = F.col("base") + F.col("rank")
@@ -68,8 +69,20 @@ def _plan(docs: DataFrame, counts: DataFrame, share: float, cap: float, weights:
     return ranked.join(cells, ["key", "size_class", "shard"]).withColumn("copies", F.least(crossed, F.ceil("rate")).cast("int"))
 
 
+def _digits(value: Column, n: int) -> Column:
+    """The first hex digits of a text's MD5 digest, as a number."""
+    return F.conv(F.substring(F.md5(value.cast("binary")), 1, n), 16, 10).cast("long")
+
+
+def _tie(docs: DataFrame) -> Column:
+    return _digits(F.concat(F.coalesce(docs["doc_id"].cast("string"), F.lit("")), F.lit(" "), F.coalesce(docs["text"].cast("string"), F.lit(""))), 15)
+
+
 def _cells(docs: DataFrame, shards: int) -> DataFrame:
-    return docs.withColumn("size_class", F.floor(8 * F.log2(F.col("size") + 1)).cast("int")).withColumn("shard", F.pmod(F.xxhash64("tie"), F.lit(shards)).cast("int"))
+    """Eight size classes to each doubling of a size."""
+    bits = F.length(F.bin(F.col("size") + 1))
+    size_class = bits * 8 + F.expr("shiftright(size + 1, greatest(length(bin(size + 1)) - 4, 0))").bitwiseAND(F.lit(7))
+    return docs.withColumn("size_class", size_class.cast("int")).withColumn("shard", (F.col("tie") % shards).cast("int"))
 
 
 def _counted(docs: DataFrame) -> DataFrame:
@@ -82,15 +95,15 @@ def plan_mix(docs: DataFrame, share: float = 1.5, cap: float = 2.0, weights: Seq
     Returns doc_id, source, size, source_size, target, copies (0 to ``cap``), taken (words, repeats counted).
     The few bytes of each document that the plan needs are written once, so texts are read and counted once.
     """
-    slim = docs.select("doc_id", F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"))
+    slim = docs.select("doc_id", F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"), _tie(docs).alias("tie"))
     slim = materialize(slim.withColumn("key", source_key(F.col("source"))), "mix-sizes")
-    slim = _cells(slim.withColumn("tie", F.col("doc_id")), shards)
+    slim = _cells(slim, shards)
     return _plan(slim, _counted(slim), share, cap, weights, seed).select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
 
 def mix(docs: DataFrame, share: float = 1.5, cap: float = 2.0, weights: Sequence[int] = (3, 1, 2), seed: int = 17, shards: int = 64) -> DataFrame:
     """The mixed documents themselves: every row as often as it is taken, with the columns of ``docs``."""
-    rows = docs.select(F.struct("*").alias("row"), source_key(F.col("source")).alias("key"), F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"), F.struct("doc_id", F.xxhash64("text").alias("h")).alias("tie"))
+    rows = docs.select(F.struct("*").alias("row"), source_key(F.col("source")).alias("key"), F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"), _tie(docs).alias("tie"))
     rows = _cells(rows, shards)
     taken = _plan(rows, _counted(rows.drop("row")), share, cap, weights, seed).filter("copies > 0")
     return taken.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
@@ -99,3 +112,33 @@ def mix(docs: DataFrame, share: float = 1.5, cap: float = 2.0, weights: Sequence
 def op10_systematic_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All ``documents`` mixed to the production weights."""
     return plan_mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
+
+
+#: Sources' targets by water level, then one systematic pass over each source in the order of size class, shard, size and digest.
+ORACLE_OP10 = r"""
+WITH d AS (
+  SELECT doc_id, source, CASE WHEN source IS NULL THEN '-' ELSE '=' || source END AS key,
+         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ' ' || coalesce(text, '')), 1, 15))::BIGINT AS tie
+  FROM documents
+), s AS (
+  SELECT key, any_value(source) AS source, sum(size)::BIGINT AS source_size FROM d GROUP BY key
+), w AS (
+  SELECT *, [3.0, 1.0, 2.0][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::DOUBLE AS weight, source_size * 2.0::DOUBLE AS most,
+         (sum(source_size) OVER ())::DOUBLE * 1.5::DOUBLE AS budget
+  FROM s
+), r AS (
+  SELECT *, coalesce(sum(most) OVER (ORDER BY most / weight, key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+         sum(weight) OVER (ORDER BY most / weight, key ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS remaining
+  FROM w
+), t AS (
+  SELECT key, source_size, least(most, max((budget - before) / remaining) OVER () * weight) AS target,
+         ('0x' || substr(md5('17 ' || key), 1, 4))::BIGINT / 65536.0::DOUBLE AS start
+  FROM r
+), c AS (
+  SELECT d.*, t.source_size, t.target, t.start, CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0 END AS rate,
+         row_number() OVER (PARTITION BY d.key ORDER BY length(bin(size + 1)) * 8 + (((size + 1) >> greatest(length(bin(size + 1)) - 4, 0)) & 7), tie % 64, size, tie) AS at
+  FROM d JOIN t USING (key)
+)
+SELECT doc_id, size, source_size, target, (least(floor(start + rate * at) - floor(start + rate * (at - 1)), ceil(rate)) * size)::BIGINT AS taken FROM c
+"""

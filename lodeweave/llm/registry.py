@@ -25,4 +25,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_cuckoo_dedup": cuckoo.ORACLE_OP7}
+    return {"op7_cuckoo_dedup": cuckoo.ORACLE_OP7, "op10_systematic_mix": mixing.ORACLE_OP10}
