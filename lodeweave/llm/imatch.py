@@ -5,15 +5,16 @@ cut by several randomised lexicon subsets, and each subset's part is hashed.  A
 hashes; the likeness of two fingerprints is the share of subsets with equal hashes among those that hold a term of either.
 Subsets come in levels of falling density, so short and long texts both have subsets that hold few of their terms.
 
-Scale: for the band, terms are folded into ``2 ** CLASS_BITS`` classes, so the document frequencies are a table of bounded size and the band is a
-bitmap of 512 KB, whatever the corpus: it is sent with the plan instead of a vocabulary that grows with the data.
-Terms rarer than the band's lower end (a share of all documents) add about ``terms per document / 2 ** CLASS_BITS`` of all documents to
-a class, well below that end.  The edited text of the contract needs the next document: ids are cut into ranges of like
-row counts, each range gets a copy of its successor's first row, and one shuffle of the texts serves all windows.
+Scale: document frequencies are counted by whole term, combined within each task first.  The band holds few terms (the lower end is a share of all
+documents, so at most the terms of a document divided by that share) and is sent with the plan as a Bloom bitmap of 512 KB with two places a term,
+instead of a vocabulary that grows with the data; a term outside the band that hits two set places counts as inside, for all texts alike.
+The edited text of the contract needs the next document: ids are cut into ranges of like row counts at approximate quantiles, an id (or null) that has
+more rows than a range is cut further by a hash of the text, each range gets a copy of its successor's first row, and one shuffle of the texts serves all
+windows.
 
 Defined results: null text counts as empty; a text without terms in the band is fingerprinted by all its terms; equal texts have equal
-fingerprints; null ids come last in descending order; repeated ids stand in the order of a text hash; an empty table gives an
-empty result; further columns are ignored.
+fingerprints; null ids come last in descending order; repeated ids stand in the order of a text hash, and rows that are equal in both follow each other; texts
+of any length are fingerprinted whole; an empty table gives an empty result; further columns are ignored (but for :func:`fingerprints`, which keeps them).
 """
 
 from __future__ import annotations
@@ -36,17 +37,31 @@ def term_hashes(text: Column) -> Column:
     return F.array_distinct(F.transform(words, lambda w: F.xxhash64(w)))
 
 
-def idf_band(texts: DataFrame, least: float = 1e-4, most: float = 0.1) -> Column:
-    """Bitmap (array of longs) of the classes that ``least`` to ``most`` of all documents hold (and two at least)."""
+def _places(term: Column) -> tuple[Column, Column]:
+    """A term's two places in the bitmap: the lowest and the highest bits of its hash."""
+    return term.bitwiseAND(F.lit((1 << CLASS_BITS) - 1)).cast("int"), F.shiftrightunsigned(term, 64 - CLASS_BITS).cast("int")
+
+
+def band_terms(texts: DataFrame, least: float = 1e-4, most: float = 0.1) -> DataFrame:
+    """Hashes ``t`` of the terms that ``least`` to ``most`` of all documents hold (and two at least)."""
     n = texts.count()
-    classes = F.array_distinct(F.transform(term_hashes(F.col("text")), lambda w: w.bitwiseAND(F.lit((1 << CLASS_BITS) - 1)).cast("int")))
-    seen = texts.select(F.explode(classes).alias("c")).groupBy("c").agg(F.count(F.lit(1)).alias("df"))
-    held = seen.filter((F.col("df") >= max(2.0, least * n)) & (F.col("df") <= max(2.0, most * n)))
-    words = held.groupBy(F.shiftright("c", 6).cast("int").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(c & 63 as int))")).alias("bits"))
+    seen = texts.select(F.explode(term_hashes(F.col("text"))).alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("df"))
+    return seen.filter((F.col("df") >= max(2.0, least * n)) & (F.col("df") <= max(2.0, most * n))).select("t")
+
+
+def idf_band(texts: DataFrame, least: float = 1e-4, most: float = 0.1) -> Column:
+    """Bloom bitmap (array of longs) of :func:`band_terms`."""
+    places = band_terms(texts, least, most).select(F.explode(F.array(*_places(F.col("t")))).alias("c"))
+    words = places.groupBy(F.shiftright("c", 6).cast("int").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(c & 63 as int))")).alias("bits"))
     bitmap = [0] * (1 << (CLASS_BITS - 6))
     for r in words.collect():  # at most 2 ** (CLASS_BITS - 6) rows
         bitmap[r["w"]] = r["bits"]
-    return F.expr(f"from_json('[{','.join(map(str, bitmap))}]', 'array<bigint>')")
+    return _literal(bitmap, "bigint")
+
+
+def _literal(values: list, kind: str) -> Column:
+    """A constant array, folded once when the query is planned."""
+    return F.expr(f"from_json('[{','.join('null' if v is None else str(v) for v in values)}]', 'array<{kind}>')")
 
 
 #: Bits of a key below the subset's number; a key's lowest bit is set, so a fence (none of them set) sorts before its subset's keys.
@@ -64,8 +79,8 @@ def subset_hashes(terms: Column, band: Column) -> Column:
     Membership is read off disjoint bits of a term's hash, one field a level; all subsets' terms are sorted at once, with fences between
     the subsets, and each run between two fences is hashed.
     """
-    mask = (1 << CLASS_BITS) - 1
-    held = F.filter(terms, lambda w: F.getbit(F.get(band, F.shiftright(w.bitwiseAND(F.lit(mask)), 6).cast("int")), w.bitwiseAND(F.lit(63)).cast("int")) == 1)
+    is_set = lambda at: F.getbit(F.get(band, F.shiftright(at, 6)), at.bitwiseAND(F.lit(63))) == 1
+    held = F.filter(terms, lambda w: is_set(_places(w)[0]) & is_set(_places(w)[1]))
 
     def keys(held: Column) -> Column:
         out, first, shift = [F.transform(F.sequence(F.lit(0), F.lit(SUBSETS - 1)), lambda s: F.shiftleft(s.cast("long"), _BELOW))], 0, CLASS_BITS
@@ -113,43 +128,56 @@ def fingerprints(docs: DataFrame, least: float = 1e-4, most: float = 0.1) -> Dat
     return rows.select("row.*", "fingerprint")
 
 
-def with_successor(docs: DataFrame, rows_per_range: int = 20_000, cells: int = 1 << 14) -> tuple[DataFrame, Window]:
+#: Bounds of ranges that are looked through at a time.
+FAN = 128
+
+
+def _cell(value: Column, bounds: list[int]) -> Column:
+    """How many of the ascending bounds are below a value, found in two steps."""
+    if not bounds:
+        return F.lit(0)
+    below = lambda some: F.size(F.filter(some, lambda b: b < value))
+    coarse = below(_literal(bounds[::FAN], "bigint"))
+    fine = below(F.slice(_literal(bounds, "bigint"), (coarse - 1) * FAN + 1, F.lit(FAN)))
+    return F.when(coarse == 0, 0).otherwise((coarse - 1) * FAN + fine)
+
+
+def with_successor(docs: DataFrame, rows_per_range: int = 20_000, cells: int = FAN * FAN) -> tuple[DataFrame, Window]:
     """doc_id, text, spare (whether the row only stands in for a range's successor) and the window of descending ids.
 
-    The ids' span is cut into equal cells; runs of cells with about ``rows_per_range`` rows make a range.
+    At most ``cells`` quantiles and two rows a cell reach the driver.
     """
-    spark = docs.sparkSession
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
-    low, high, n = ids.agg(F.min("doc_id"), F.max("doc_id"), F.count(F.lit(1))).first()
-    text = F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text)
-    low, high = (0, 0) if low is None else (low, high)
-    cell = F.coalesce(F.least(F.lit(cells - 1), F.floor((F.col("doc_id").cast("double") - float(low)) / (float(high) - float(low) + 1) * cells)), F.lit(-1)).cast("int") + 1
-    counts = [0] * (cells + 1)
-    tops: list[int | None] = [None] * (cells + 1)
-    for c, k, top in ids.groupBy(cell.alias("c")).agg(F.count(F.lit(1)), F.max("doc_id")).collect():  # at most cells + 1 rows
-        counts[c], tops[c] = k, top
-    wanted = max(1, min(rows_per_range, -(-n // max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))))))
-    ranges, at, held = [], 0, 0
-    for k in counts:
-        if held and held + k > wanted:
-            at, held = at + 1, 0
-        ranges.append(at)
-        held += k
-    heads: dict[int, int | None] = {}
-    for c in range(cells + 1):
-        if counts[c]:
-            heads[ranges[c]] = tops[c]  # the last cell that has rows holds the range's first document in descending order
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_key"))
+    n = rows.count()
+    wanted = max(1, min(rows_per_range, -(-n // max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))))), -(-n // cells))
+    parts = -(-n // wanted) if n else 1
+    found = rows.agg(F.percentile_approx("doc_id", [i / parts for i in range(1, parts)], 10 * parts)).first()[0] if parts > 1 else None
+    found = found or []
+    # an id that is several quantiles gets a cell of its own
+    hot = {v - 1 for v, w in zip(found, found[1:]) if v == w and v > -(1 << 63)}
+    bounds = sorted({*found, *hot})
+    cell = F.when(F.col("doc_id").isNull(), -1).otherwise(_cell(F.col("doc_id"), bounds))
+    counted = {r["cell"]: r for r in rows.groupBy(cell.alias("cell")).agg(F.count(F.lit(1)).alias("n"), (F.min("doc_id") == F.max("doc_id")).alias("alone")).collect()}
+    # descending ids, then null; cells of one id that hold more than a range are cut by the text's hash
+    base, slices, at = [0] * (len(bounds) + 2), [1] * (len(bounds) + 2), 0
+    for c in [*range(len(bounds), -1, -1), -1]:
+        held = counted.get(c)
+        slices[c + 1] = -(-held["n"] // wanted) if held and held["n"] > 2 * wanted and (c == -1 or held["alone"]) else 1
+        base[c + 1], at = at, at + slices[c + 1]
+    cut = F.element_at(_literal(slices, "int"), cell + 2)
+    part = F.least(cut - 1, F.floor((F.col("text_key").cast("double") / float(1 << 64) + 0.5) * cut).cast("int"))
+    rows = rows.withColumn("own", F.element_at(_literal(base, "int"), cell + 2) + part)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.bitwise_not("doc_id").alias("down"), F.col("text_key").alias("key")))
+    heads = {r["own"]: r["first"] for r in rows.groupBy("own").agg(first.alias("first")).collect()}
     used = sorted(heads)
-    above = {r: used[(i + 1) % len(used)] for i, r in enumerate(used)}
-    span = range((ranges[-1] if ranges else 0) + 1)
-    as_array = lambda values, kind: F.expr(f"from_json('[{','.join('null' if v is None else str(v) for v in values)}]', 'array<{kind}>')")
-    own = F.element_at(as_array(ranges, "int"), cell + 1)
-    heads_of, above_of = as_array([heads.get(r) for r in span], "bigint"), as_array([above.get(r, 0) for r in span], "int")
-    rows = rows.withColumn("own", own)
-    is_head = F.col("doc_id").eqNullSafe(F.element_at(heads_of, F.col("own") + 1))
+    above = {r: used[i - 1] for i, r in enumerate(used)}
+    ids = _literal([~heads[r]["down"] if r in heads and heads[r]["down"] is not None else None for r in range(at)], "bigint")
+    keys = _literal([heads[r]["key"] if r in heads else None for r in range(at)], "bigint")
+    to = _literal([above.get(r, 0) for r in range(at)], "int")
+    is_head = F.col("doc_id").eqNullSafe(F.element_at(ids, F.col("own") + 1)) & (F.col("text_key") == F.element_at(keys, F.col("own") + 1))
     place = lambda r, spare: F.struct(r.alias("range"), F.lit(spare).alias("spare"))
-    places = F.when(is_head, F.array(place(F.col("own"), False), place(F.element_at(above_of, F.col("own") + 1), True))).otherwise(F.array(place(F.col("own"), False)))
+    places = F.when(is_head, F.array(place(F.col("own"), False), place(F.element_at(to, F.col("own") + 1), True))).otherwise(F.array(place(F.col("own"), False)))
     rows = rows.select("doc_id", "text", F.inline(places))
     return rows, Window.partitionBy("range").orderBy("spare", F.col("doc_id").desc_nulls_last(), F.xxhash64("text"))
 
