@@ -10,7 +10,7 @@ folds (the rows with the smallest hash of the id; a documented bound), and every
 
 Defined results: null and empty texts are scored like a text without words; a text of any length is scored whole in time that grows with its
 length; a null or missing label is no training row; without two classes in the training rows every score is the share of label 1 (0.5 without
-rows); labels that a row repeats, or contradict each other, are training rows each; repeated rows are scored each and alike; an empty table gives an empty
+rows); labels that contradict each other are training rows each, repeated ones count once; repeated rows are scored each and alike; an empty table gives an empty
 result; further columns pass through :func:`keep_good` whatever their names.
 """
 
@@ -181,12 +181,24 @@ def sampled_labels(labels: DataFrame, label: str, max_rows: int) -> DataFrame:
     return rows.orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(max_rows)
 
 
+def sampled_texts(docs: DataFrame, labels: DataFrame, label: str, max_rows: int) -> DataFrame:
+    """doc_id, text_key, y, text of at most ``max_rows`` different labelled texts; rows that repeat an id don't go beyond that bound."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64(F.col("text").cast("string")).alias("text_key"))
+    some = sampled_labels(labels, label, max_rows)
+    keys = rows.select("doc_id", "text_key").join(F.broadcast(some), "doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id", "text_key", "y").limit(max_rows)
+    return rows.join(F.broadcast(keys), ["doc_id", "text_key"]).groupBy("doc_id", "text_key", "y").agg(F.first("text").alias("text"))
+
+
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000) -> Gam:
-    """Fit on a bounded sample of labelled documents; ``labels``: doc_id, quality (already without held-out rows)."""
-    some = sampled_labels(labels, "quality", max_rows)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(some), "doc_id")
-    got = rows.select("doc_id", "y", "text").mapInArrow(_featured, _X).toPandas().sort_values("id")
-    return fit(np.array(got["x"].tolist(), float).reshape(-1, len(FEATURES)), got["y"].to_numpy(float))
+    """Fit on a bounded sample of labelled documents; ``labels``: doc_id, quality (already without held-out rows).
+
+    Features are computed by executors; the driver gets ``max_rows`` rows of numbers at most.
+    """
+    rows = sampled_texts(docs, labels, "quality", max_rows)
+    got = rows.select("doc_id", "y", "text").mapInArrow(_featured, _X).toPandas()
+    x, y = np.array(got["x"].tolist(), float).reshape(-1, len(FEATURES)), got["y"].to_numpy(float)
+    order = np.lexsort([*x.T, y, got["id"].to_numpy(float)])
+    return fit(x[order], y[order])
 
 
 def _scorer(model: Gam, threshold: float):

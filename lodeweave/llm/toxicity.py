@@ -6,10 +6,12 @@ voters given the class; a voter that says what others said counts for less.  Its
 same evidence, and the classifier scores every whole text.
 
 The lexicon is mined from labelled rows of the training folds.  Mining, label model and classifier see at most ``max_rows``
-documents (smallest hash of the id; a documented bound); scoring covers all rows in one pass without a shuffle.
+labelled documents (smallest hash of the id; a documented bound); executors count terms and take votes, so no text reaches the driver.  Labels choose the
+lexicon and where the label model starts, and rows whose label it doubts count less for its correlations; its hit rates and posteriors are its own.  Scoring covers all rows in one pass without a shuffle.
 
-Defined results: null and empty texts are scored like a text without evidence; null labels train nothing; without toxic
-training rows every score is 0; repeated rows are scored each.
+Defined results: null and empty texts are scored like a text without evidence; texts of any length are scored whole; null labels train nothing; of
+contradicting labels of equal texts the toxic one counts; without toxic training rows every score is 0; repeated rows train once and are scored each and
+alike; an empty table gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,8 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodeweave.llm.common import documents, fold_of
-from lodeweave.llm.quality import sampled_labels
+from lodeweave.llm.common import documents, fold_of, materialize
+from lodeweave.llm.quality import sampled_texts
 
 _WORD = re.compile(r"[^\W\d_]+")
 #: Lengths of the word beginnings that the lexicon may hold (for inflected languages).
@@ -42,27 +44,14 @@ def terms(text: str | None) -> set[str]:
     return words | {f"{w[:n]}*" for w in words for n in STEMS if len(w) > n}
 
 
-def mine(texts: list[str | None], toxic: np.ndarray, most: int = 150, least_ratio: float = 8.0, least_share: float = 0.03) -> list[str]:
-    """Terms that are much more frequent in toxic than in clean texts, the surest first.
+def mine(hits: dict[str, tuple[int, int]], n_toxic: int, n_clean: int, most: int = 150, least_ratio: float = 50.0) -> list[str]:
+    """Terms that are much more frequent in toxic than in clean texts, the surest first; ``hits``: toxic and clean texts by term.
 
-    Equal texts count once, a term needs ``least_share`` of the toxic texts (and five) and a fair part of the best term's share, so
-    that words of a few copied texts don't get in.  Whole words win over their beginnings where both say the same.
+    Whole words win over their beginnings where both say the same.
     """
-    hits: tuple[Counter, Counter] = (Counter(), Counter())
-    unique = {t: y for t, y in zip(texts, toxic) if t}
-    for text, y in unique.items():
-        if y:
-            hits[1].update(terms(text))
-    n1 = sum(map(bool, unique.values()))
-    n0 = len(unique) - n1
-    least = max(5, least_share * n1, 0.1 * max(hits[1].values(), default=0))
-    able = {t for t, k in hits[1].items() if k >= least}
-    for text, y in unique.items():
-        if not y:
-            hits[0].update(terms(text) & able)
     found = []
-    for t in able:
-        rate, base = hits[1][t] / max(1, n1), (hits[0][t] + 0.5) / max(1, n0)
+    for t, (toxic, clean) in hits.items():
+        rate, base = toxic / max(1, n_toxic), (clean + 0.5) / max(1, n_clean)
         if rate / base >= least_ratio:
             found.append((rate * math.log(rate / base) * (1 + 0.01 * len(t) + 0.1 * (t[-1] != "*")), t))
     found.sort(key=lambda x: (-x[0], x[1]))
@@ -77,6 +66,37 @@ def mine(texts: list[str | None], toxic: np.ndarray, most: int = 150, least_rati
     return out
 
 
+def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts (y, text) to term, toxic and clean texts that have it, summed up within the task some texts at a time."""
+    held: tuple[Counter, Counter] = (Counter(), Counter())
+
+    def flush() -> pa.RecordBatch:
+        names = list(held[0].keys() | held[1].keys())
+        out = pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *(pa.array([held[y][t] for t in names], pa.int64()) for y in (1, 0))], names=["term", "toxic", "clean"])
+        held[0].clear(), held[1].clear()
+        return out
+
+    for batch in batches:
+        for y, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            held[int(y == 1)].update(terms(text.as_py()))
+            if len(held[0]) + len(held[1]) > 500_000:
+                yield flush()
+    yield flush()
+
+
+def mined(sample: DataFrame, least_share: float = 0.03) -> tuple[list[str], int]:
+    """The lexicon of a sample (y, text) and the number of its toxic texts.
+
+    A term needs ``least_share`` of the toxic texts (and five) and a fair part of the best term's share, so
+    that words of a few copied texts don't get in; that many terms of the toxic texts' length / ``least_share`` reach the driver at most.
+    """
+    n = {r["y"]: r["count"] for r in sample.groupBy("y").count().collect()}
+    counts = materialize(sample.select("y", "text").mapInArrow(_term_counts, "term string, toxic long, clean long").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).filter("toxic > 0"), "terms")
+    best = counts.agg(F.max("toxic")).first()[0] or 0
+    able = counts.filter(F.col("toxic") >= max(5, least_share * n.get(1, 0), 0.1 * best)).collect()
+    return mine({r["term"]: (r["toxic"], r["clean"]) for r in able}, n.get(1, 0), n.get(0, 0)), n.get(1, 0)
+
+
 class Voters:
     """Evidence of a text: one row of hits (0/1) over lexicon entries, lexicon counts and patterns."""
 
@@ -122,11 +142,20 @@ class LabelModel:
         return 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
 
 
+def _correlations(votes: np.ndarray, p: np.ndarray, weight: np.ndarray, rates: np.ndarray) -> np.ndarray:
+    """Absolute correlations of what is left of the votes when the rates of the class (toxic with probability ``p``) are taken off."""
+    total = max(1e-9, float(weight.sum()))
+    rest = votes - (p[:, None] * rates[1] + (1 - p)[:, None] * rates[0])
+    rest = (rest - weight @ rest / total) * np.sqrt(weight)[:, None]
+    scale = np.sqrt((rest**2).sum(0) / total) + 0.02  # of a vote that hardly varies within a class nothing is known
+    return np.abs((rest.T @ rest) / total / scale[:, None] / scale[None, :])
+
+
 def fit_label_model(votes: np.ndarray, seen: np.ndarray, steps: int = 15, strength: float = 20.0) -> LabelModel:
     """Expectation-maximisation from a start at ``seen`` (0/1 where a label is known, nan elsewhere).
 
-    Known labels set the voters' prior rates (``strength`` pseudo-rows) and, if there are 200 or more, the correlations; the posterior of every
-    row is the model's own.
+    Known labels set the voters' prior rates (``strength`` pseudo-rows), and a row counts for the correlations as far as the model agrees with its label;
+    hit rates, correlations and the posterior of every row are the model's own.
     """
     known = ~np.isnan(seen)
     y = np.where(known, seen, 0.0)
@@ -134,12 +163,10 @@ def fit_label_model(votes: np.ndarray, seen: np.ndarray, steps: int = 15, streng
     prior_rates = np.stack([(votes[known & (y == c)].sum(0) + 0.5) / ((known & (y == c)).sum() + 1) for c in (0, 1)])
     model = LabelModel(prior_rates.clip(1e-3, 1 - 1e-3), np.ones(votes.shape[1]), float(np.clip(toxic, 1e-3, 0.5)))
     for _ in range(steps):
-        # correlations given the class (where labels are known, theirs): of what is left of the votes when the class's rates are taken off
+        # correlations given the class, of rows that the model is sure of: that agree with their label, or are clearly one or the other
         p = model.posterior(votes)
-        rows, q = (votes[known], y[known]) if known.sum() >= 200 else (votes, p)
-        rest = rows - (q[:, None] * model.rates[1] + (1 - q)[:, None] * model.rates[0])
-        scale = np.sqrt((rest**2).mean(0)) + 1e-6
-        corr = np.abs((rest.T @ rest) / len(rows) / scale[:, None] / scale[None, :])
+        sure = np.where(known, np.where(y == 1, p, 1 - p), np.maximum(p, 1 - p))
+        corr = _correlations(votes, p, sure, model.rates)
         np.fill_diagonal(corr, 0)
         model.discount = 1 / (1 + np.where(corr > 0.2, corr, 0).sum(1))
         p = model.posterior(votes)
@@ -177,22 +204,24 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(rows @ self.weights[:-1] + self.weights[-1], -30, 30)))
 
 
-def train(docs: DataFrame, labels: DataFrame, max_rows: int = 8_000, max_silent: int = 2_000) -> Model | None:
+def train(docs: DataFrame, labels: DataFrame, max_rows: int = 8_000) -> Model | None:
     """Lexicon, label model and classifier from the training folds; ``docs`` and ``labels`` without held-out rows.
 
-    The sample holds at most ``max_rows`` labelled documents and ``max_silent`` documents that carry no label.
+    The sample holds at most ``max_rows`` labelled documents, equal texts once; the driver gets their votes.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    some = sampled_labels(labels, "toxic", max_rows)
-    ids = rows.select("doc_id").join(labels.select(F.col("doc_id").cast("long").alias("doc_id")), "doc_id", "left_anti")
-    silent = ids.distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_silent).withColumn("y", F.lit(None).cast("int"))
-    got = rows.join(F.broadcast(some.unionByName(silent)), "doc_id").toPandas().sort_values(["doc_id", "y"])
-    if not (got["y"] == 1).any():
+    some = sampled_texts(docs, labels, "toxic", max_rows)
+    sample = materialize(some.groupBy("text_key", "text").agg(F.max("y").alias("y")), "toxic-sample")
+    lexicon, n_toxic = mined(sample)
+    if not n_toxic:
         return None
-    labelled = got[got["y"].notna()]
-    lexicon = mine(labelled["text"].tolist(), labelled["y"].to_numpy() == 1)
-    voters = Voters(lexicon)
-    votes = np.stack([voters.row(t) for t in got["text"]])
+
+    def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        voters = Voters(lexicon)
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([voters.row(t.as_py()).tolist() for t in batch.column(2)], pa.list_(pa.float32()))], names=["text_key", "y", "votes"])
+
+    got = sample.select("text_key", "y", "text").mapInArrow(vote, "text_key long, y int, votes array<float>").toPandas().sort_values("text_key")
+    votes = np.array(got["votes"].tolist(), np.float32)
     label_model = fit_label_model(votes, got["y"].to_numpy(float))
     return Model(lexicon, fit_linear(votes, label_model.posterior(votes)))
 
