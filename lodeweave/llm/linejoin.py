@@ -30,7 +30,7 @@ from pyspark.sql.types import MapType
 from lodeweave.llm.common import if_small, materialize
 from lodeweave.llm.components import components
 from lodeweave.llm.setjoin import SKETCH_BITS, join_members, prefix_length, rarity_ranks
-from lodeweave.llm.tokensets import Counter, Lines, Rarity, Sets, batches, mix, squeeze, unsqueeze
+from lodeweave.llm.tokensets import Counter, Lines, Rarity, Sets, batches, mix, set_names, squeeze, unsqueeze
 
 #: Bits of a key within its bucket, and of the set's name beside it (with one more: whether the key is one of the set as the shorter of two).
 KEY_BITS, NAME_BITS = 32, 47
@@ -91,14 +91,6 @@ def pair_keys(item: np.ndarray, token: np.ndarray, size: np.ndarray, num: int, d
     return (np.concatenate(whose), np.concatenate(keys), np.concatenate(roles)) if keys else (np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, bool))
 
 
-def set_names(sets: Sets, halves: int = 2) -> np.ndarray:
-    """128-bit names of non-empty sets, as two rows of longs (or the first of them)."""
-    if not len(sets.owner):
-        return np.empty((halves, 0), np.int64)
-    sums = (np.add.reduceat(mix(sets.tokens * np.uint64(m) + np.uint64(1)), sets.first) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)[:halves])
-    return np.stack([mix(x + sets.count.astype(np.uint64)) for x in sums]).view(np.int64)
-
-
 def set_parities(sets: Sets) -> np.ndarray:
     """Two longs per non-empty set: for each of 128 cells whether an odd number of tokens is hashed to it."""
     if not len(sets.owner):

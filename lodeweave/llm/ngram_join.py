@@ -23,7 +23,10 @@ from lodeweave.llm.tokensets import Shingles, batches
 
 def near_components(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100, most_sent: int = 1_000_000) -> DataFrame:
     """One row per document: doc_id, n_shingles, set_id, component (of sets; null without words), component_id (smallest doc_id reachable by links)."""
-    join = SetJoin(docs, Shingles(words), num, den, orders=2)
+    return _components(SetJoin(docs, Shingles(words), num, den, orders=2), most_sent)
+
+
+def _components(join: SetJoin, most_sent: int) -> DataFrame:
     _, found = join.links()
     rows = join.table.select("doc_id", F.col("n").alias("n_shingles"), "set_id")
     # only sets that have links or copies are looked up; the hot ones of them are few rows a task here
@@ -48,15 +51,17 @@ def drop_near_duplicates(docs: DataFrame, words: int = 5, num: int = 80, den: in
     What goes is looked up, not what stays: up to ``most_sent`` sets (some 40 MB) are broadcast, beyond that they are joined by a shuffle.
     """
     kind = Shingles(words)
+    join = SetJoin(docs, kind, num, den, orders=2)
+    doubles = join.doubles
 
     def sign(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             for sets in batches(part.column(1), kind):
-                yield pa.RecordBatch.from_arrays([part.column(0).slice(int(sets.owner[0]), len(sets.owner)), pa.array(sets.count), pa.array(sets.ids())], names=["row", "n_shingles", "set_id"])
+                yield pa.RecordBatch.from_arrays([part.column(0).slice(int(sets.owner[0]), len(sets.owner)), pa.array(sets.count), pa.array(sets.ids(doubles))], names=["row", "n_shingles", "set_id"])
 
     # rows that share an id, or have none, are told apart by their sets; a set stands in one component
     no_id = F.lit(-(1 << 63))
-    found = near_components(docs, words, num, den).filter("n_shingles > 0").withColumn("key", F.coalesce("doc_id", no_id))
+    found = _components(join, most_sent).filter("n_shingles > 0").withColumn("key", F.coalesce("doc_id", no_id))
     found = materialize(found.groupBy("key", "set_id").agg(F.count(F.lit(1)).alias("rows"), F.min("component").alias("component")), "components")
     # the smallest id of each component, and of its sets the smallest; rows without an id come last
     first = found.groupBy("component").agg(F.min(F.struct(F.col("key") == no_id, "key", "set_id")).alias("first"))

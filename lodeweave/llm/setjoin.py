@@ -26,14 +26,14 @@ from pyspark.sql import functions as F
 
 from lodeweave.llm.common import if_small, materialize
 from lodeweave.llm.components import components
-from lodeweave.llm.tokensets import TOKEN_MASK, Counter, Lines, Rarity, Shingles, batches, squeeze, unsqueeze
+from lodeweave.llm.tokensets import TOKEN_MASK, Counter, Lines, Rarity, Shingles, batches, mix, squeeze, unsqueeze
 
 SKETCH_BITS = 20
 CHUNK = 1 << 12
 #: Odd multipliers of the further token orders.
 ORDERS = (0x9E3779B97F4B, 0xC2B2AE3D27D5)
-_TABLE = "doc_id long, text_key long, line long, n long, set_id long, counts binary, chunk int"
-_TABLE_ARROW = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("line", pa.int64()), ("n", pa.int64()), ("set_id", pa.int64()), ("counts", pa.binary()), ("chunk", pa.int32())])
+_TABLE = "doc_id long, text_key long, n long, high long, low long, counts binary, chunk int"
+_TABLE_ARROW = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("n", pa.int64()), ("high", pa.int64()), ("low", pa.int64()), ("counts", pa.binary()), ("chunk", pa.int32())])
 
 
 def prefix_length(n: np.ndarray, num: int, den: int) -> np.ndarray:
@@ -154,6 +154,8 @@ def join_members(ids: list[int], sets: list[np.ndarray], num: int, den: int, ord
 class SetJoin:
     """Join of the token sets of ``docs`` (doc_id, text) at Jaccard similarity ``num / den``.
 
+    ``doubles``: first halves of set names that several sets share (see :meth:`lodeweave.llm.tokensets.Sets.ids`).
+
     ``orders``: further global token orders under which a pair must share prefix tokens too, before whole sets are compared.
     ``block_tokens``: tokens that a task joins at once.
     ``most_sent``: entries up to which the list of wanted sets is broadcast (some 50 MB); beyond it is joined by a shuffle.
@@ -167,13 +169,20 @@ class SetJoin:
     block_tokens: int = 2_000_000
     most_sent: int = 400_000
     table: DataFrame = field(init=False)
+    doubles: np.ndarray = field(init=False)
 
     def __post_init__(self) -> None:
         text = F.col("text").cast("string")
         # rows without an id, or that share one, are told apart by a hash of their text; if it collides, a text is read in vain
         self.docs = self.docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_key"))
         written = materialize(self.docs.mapInArrow(self._signer(), _TABLE), "sets")
-        self.table = written.filter("chunk is null").drop("chunk", "counts")
+        named = written.filter("chunk is null").drop("chunk", "counts")
+        # sets are named by 128 bits; where two share the first 64, both go by the others (a handful of names at any real size)
+        shared = named.groupBy("high").agg((F.min("low") != F.max("low")).alias("several")).filter("several").select("high").collect()
+        self.doubles = np.array(sorted(r["high"] for r in shared), np.int64)
+        other = F.udf(lambda x: int(mix(np.array([x], np.int64).view(np.uint64)).view(np.int64)[0]), "long")
+        set_id = F.when(F.col("high").isin(self.doubles.tolist()), other("low")).otherwise(F.col("high")) if len(self.doubles) else F.col("high")
+        self.table = named.select("doc_id", "text_key", "n", set_id.alias("set_id"))
         self._counters = written.filter("chunk is not null").select("chunk", "counts")
 
     def _signer(self):
@@ -187,7 +196,7 @@ class SetJoin:
                     counter.add(sets.tokens, sets.words)
                     k = len(sets.owner)
                     yield pa.RecordBatch.from_arrays(
-                        [ids.take(pa.array(sets.owner)), keys.take(pa.array(sets.owner)), pa.array(sets.line, pa.int64()), pa.array(sets.count, pa.int64()), pa.array(sets.ids()), pa.nulls(k, pa.binary()), pa.nulls(k, pa.int32())],
+                        [ids.take(pa.array(sets.owner)), keys.take(pa.array(sets.owner)), pa.array(sets.count, pa.int64()), *map(pa.array, sets.names()), pa.nulls(k, pa.binary()), pa.nulls(k, pa.int32())],
                         schema=_TABLE_ARROW,
                     )
             counts = counter.total()
@@ -204,13 +213,13 @@ class SetJoin:
 
     def _prefixes(self) -> DataFrame:
         """token, set_id, n, pos of every distinct set's first p + l - 1 tokens (repeats across tasks remain)."""
-        kind, num, den, rarity = self.kind, self.num, self.den, self._rarity()
+        kind, num, den, rarity, doubles = self.kind, self.num, self.den, self._rarity(), self.doubles
 
         def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             seen: set[int] = set()
             for part in parts:
                 for sets in batches(part.column(0), kind, rarity):
-                    ids = sets.ids()
+                    ids = sets.ids(doubles)
                     fresh = np.zeros(len(ids), bool)
                     for i, s in enumerate(ids.tolist()):
                         if s not in seen:
@@ -293,13 +302,13 @@ class SetJoin:
         sends = materialize(wanted.join(home, "set_id").groupBy("at").agg(F.collect_list(asks).alias("sends")), "sends")
         # a table of known size goes to the texts; beyond the bound the texts go to it
         sends = if_small(sends, F.aggregate("sends", F.lit(0), lambda n, s: n + F.size(s["to"])), self.most_sent)
-        kind, num, den, orders = self.kind, self.num, self.den, self.orders
+        kind, num, den, orders, doubles = self.kind, self.num, self.den, self.orders, self.doubles
 
         def send(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for part in parts:
                 asked = [{s["set_id"]: s["to"] for s in row} for row in part.column(1).to_pylist()]
                 for sets in batches(part.column(0), kind):
-                    ids, first = sets.ids().tolist(), sets.first
+                    ids, first = sets.ids(doubles).tolist(), sets.first
                     cols: list[list] = [[] for _ in range(5)]
                     for k, (owner, s) in enumerate(zip(sets.owner.tolist(), ids)):
                         if (to := asked[owner].pop(s, None)) is not None:

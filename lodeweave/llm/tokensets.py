@@ -92,12 +92,28 @@ class Sets:
     def first(self) -> np.ndarray:
         return np.cumsum(self.count) - self.count
 
-    def ids(self) -> np.ndarray:
-        """64-bit identity of each item's set (0 for the empty set)."""
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(self.tokens + np.uint64(1)), dtype=np.uint64)])
-        first = self.first
-        out = mix(sums[first + self.count] - sums[first] + self.count.astype(np.uint64))
-        return np.where(self.count > 0, out, np.uint64(0)).astype(np.int64)
+    def names(self, halves: int = 2) -> np.ndarray:
+        """128-bit names as two rows of longs (or the first of them); 0 for the empty set."""
+        some = self.count > 0
+        out = np.zeros((halves, len(self.owner)), np.int64)
+        if some.any():
+            out[:, some] = set_names(Sets(self.owner[some], self.line[some], self.count[some], self.tokens, self.item), halves)
+        return out
+
+    def ids(self, doubles: np.ndarray | None = None) -> np.ndarray:
+        """64-bit identity: the first half of a name, or what its other half gives if the first is one of ``doubles``, which several sets share."""
+        high, low = self.names()
+        if doubles is None or not len(doubles):
+            return high
+        return np.where(np.isin(high, doubles), mix(low.view(np.uint64)).view(np.int64), high)
+
+
+def set_names(sets: Sets, halves: int = 2) -> np.ndarray:
+    """128-bit names of non-empty sets, as two rows of longs (or the first of them)."""
+    if not len(sets.owner):
+        return np.empty((halves, 0), np.int64)
+    sums = (np.add.reduceat(mix(sets.tokens * np.uint64(m) + np.uint64(1)), sets.first) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)[:halves])
+    return np.stack([mix(x + sets.count.astype(np.uint64)) for x in sums]).view(np.int64)
 
 
 @dataclass

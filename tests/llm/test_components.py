@@ -45,3 +45,33 @@ def test_twenty_million_links(spark):
     links = spark.range(20_000_000).select((F.col("id") * 2 + 1).alias("a"), (F.col("id") - F.col("id") % 1000).alias("b"))
     n, least, top = c.components(links).agg(F.count(F.lit(1)), F.min("component"), F.countDistinct("component")).first()
     assert n >= 20_000_000 and least == 0 and top > 0
+
+
+def test_sets_that_share_half_a_name(monkeypatch, spark):
+    """Names in full tell sets apart whose first halves are shared; without such sets nothing changes."""
+    import numpy as np
+
+    from lodeweave.llm import ngram_join, setjoin, tokensets
+    from tests.llm.test_operators import classes, frame, shingles
+
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice("abcdefghijklmnop") * 3 for _ in range(30)) for _ in range(12)]
+    texts += [t + " more" for t in texts[:5]] + texts[:3]
+    rows = [(i, t, "en", "a") for i, t in enumerate(texts)]
+    real = setjoin.SetJoin.__post_init__
+    halves = []
+
+    def post(self):
+        real(self)
+        halves.append(len(self.doubles))
+
+    monkeypatch.setattr(setjoin.SetJoin, "__post_init__", post)
+    want = classes({i: shingles(t, 3) for i, t in enumerate(texts)}, 80, 100)
+    assert {r["doc_id"]: r["component_id"] for r in ngram_join.near_components(frame(spark, rows), 3, 80).collect()} == want
+    assert halves == [0]
+    import pyarrow as pa
+
+    (sets,) = tokensets.batches(pa.array(texts), tokensets.Shingles(3))
+    high, low = sets.names()
+    ids = sets.ids(np.sort(high[:4]))
+    assert len(set(ids.tolist())) == len(set(zip(high.tolist(), low.tolist()))) and (ids[4:12] == high[4:12]).all() and (ids[:4] != high[:4]).all()
