@@ -6,9 +6,9 @@ at least ``g + 1``; when these words are dealt to ``g`` parts by hash, some part
 one part: about ``2 p`` keys a line, and strangers, who share single words of middling rarity all the time, rarely share a pair.  ``g`` goes by the
 longer line's size class (powers of four); a line within reach of a longer class has keys of both.
 
-Keys are sent as packed columns of numbers, dealt to buckets by the key; nothing but the keys that two different sets share leaves a bucket.  Where
-sets meet, sizes and the parities of their hashed words (128 bits; no more bits than words can differ) tell most of the rest apart.  What is left is
-joined in memory, cluster by cluster, by :func:`lodeweave.llm.setjoin.join_members`: prefix filter under the cluster's own frequencies, positional
+All of this is sent as packed columns of numbers, dealt to buckets.  Keys are dealt by the key, with the set's name and size; only what two sets of
+fitting sizes share leaves a bucket, dealt by the name.  There it meets the sets' descriptions: sizes and the parities of their hashed words (128
+bits; no more bits than words can differ), which, dealt by the key again, tell most of the rest apart.  What is left is joined in memory, cluster by cluster, by :func:`lodeweave.llm.setjoin.join_members`: prefix filter under the cluster's own frequencies, positional
 and length filters, Jaccard on whole lines.
 
 Equal lines are one set: within a task by sorting, across tasks by a map-side combined minimum, so a line that a third of all rows hold costs a row or a
@@ -18,7 +18,7 @@ none, are rows of their own, and no text has to be written again to be found aga
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -139,26 +139,86 @@ def size_steps(n: np.ndarray) -> np.ndarray:
     return np.minimum(255, np.floor(np.log(np.maximum(n, 1)) / np.log(_STEP))).astype(np.uint8)
 
 
+#: Packed columns: a key with the set's name, role and size; a meeting (key, name); a set (name, words, parities); a set at a key.
+KEY, MET, SET, NEAR = ("<u4", "<u4", "<u2", "u1"), ("<u8", "<u4", "<u2"), ("<i8", "<i4", "<i8", "<i8"), ("<u8", "<i8", "<i4", "<i8", "<i8")
+
+
+def packed(columns: Sequence[np.ndarray], kinds: Sequence[str]) -> bytes:
+    return b"".join(c.astype(k).tobytes() for c, k in zip(columns, kinds))
+
+
+def unpacked(blobs: Sequence[bytes], kinds: Sequence[str]) -> list[np.ndarray]:
+    widths = [np.dtype(k).itemsize for k in kinds]
+    parts: list[list[np.ndarray]] = [[np.empty(0, k)] for k in kinds]
+    for blob in blobs:
+        n, at = len(blob) // sum(widths), 0
+        for part, kind, width in zip(parts, kinds, widths):
+            part.append(np.frombuffer(blob, kind, n, at))
+            at += n * width
+    return [np.concatenate(p) for p in parts]
+
+
+def _whole(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    return left.astype(np.uint64) | (right.astype(np.uint64) << np.uint64(32))
+
+
+class Dealer:
+    """Rows held until there are enough of them to be sent, packed by bucket."""
+
+    def __init__(self, kinds: Sequence[str]) -> None:
+        self.kinds = kinds
+        self.held: list[tuple[np.ndarray, ...]] = []
+        self.size = 0
+
+    def add(self, bucket: np.ndarray, columns: Sequence[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        """Takes rows; gives a batch once KEYS_HELD rows are there."""
+        if len(bucket):
+            self.held.append((bucket.astype(np.int32), *(c.astype(k) for c, k in zip(columns, self.kinds))))
+            self.size += len(bucket)
+        if self.size >= KEYS_HELD:
+            yield from self.rest()
+
+    def rest(self) -> Iterator[pa.RecordBatch]:
+        if not self.held:
+            return
+        bucket, *columns = (np.concatenate(c) for c in zip(*self.held))
+        self.held, self.size = [], 0
+        order = np.argsort(bucket)
+        bucket, columns = bucket[order], [c[order] for c in columns]
+        cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+        blobs = [packed([c[a:b] for c in columns], self.kinds) for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(bucket)])]
+        yield pa.RecordBatch.from_arrays([pa.array(bucket[cuts]), pa.array(blobs, pa.binary())], names=["bucket", "data"])
+
+
+def dealt(parts: Iterator[pa.RecordBatch], kinds: int = 1) -> Iterator[tuple[int, list[list[bytes]]]]:
+    """Buckets of rows (bucket, kind, data) that stand together, with their blobs by kind."""
+    at, blobs = None, [[] for _ in range(kinds)]
+    for part in parts:
+        for bucket, kind, blob in zip(*(part.column(c).to_pylist() for c in range(3))):
+            if bucket != at:
+                if at is not None:
+                    yield at, blobs
+                at, blobs = bucket, [[] for _ in range(kinds)]
+            blobs[kind].append(blob)
+    if at is not None:
+        yield at, blobs
+
+
 def meetings(blobs: list[bytes], num: int = 80, den: int = 100) -> tuple[np.ndarray, np.ndarray]:
     """Keys and names of a bucket, each once and in order of the key, of the sets that share a key with another set of a fitting size.
 
     A set stays if it is the longer of two and the other has the key as the shorter, or the other way round.
     """
-    lows, lefts, rights, sizes = [], [], [], []
-    for blob in blobs:
-        n = len(blob) // 11
-        for held, kind, at in ((lows, "<u4", 0), (lefts, "<u4", 4 * n), (rights, "<u2", 8 * n), (sizes, "u1", 10 * n)):
-            held.append(np.frombuffer(blob, kind, n, at))
-    key = np.concatenate(lows)
+    key, left, right, size = unpacked(blobs, KEY)
     order = np.argsort(key)
     key = key[order]
     same = key[1:] == key[:-1]
     some = np.concatenate([same, [False]]) | np.concatenate([[False], same])
     key, order = key[some].astype(np.uint64), order[some]
-    name = np.concatenate(lefts)[order].astype(np.uint64) | (np.concatenate(rights)[order].astype(np.uint64) << np.uint64(32))
+    name = _whole(left[order], right[order])
     if not len(key):
         return key, name
-    size = np.concatenate(sizes)[order].astype(np.int64)
+    size = size[order].astype(np.int64)
     name, short = name & np.uint64((1 << NAME_BITS) - 1), (name >> np.uint64(NAME_BITS)) == 1
     order = np.lexsort((name, key))
     key, name, short, size = key[order], name[order], short[order], size[order]
@@ -180,10 +240,44 @@ def meetings(blobs: list[bytes], num: int = 80, den: int = 100) -> tuple[np.ndar
     return key[order], name[order]
 
 
-def pack_keys(key: np.ndarray, name: np.ndarray, short: np.ndarray, size: np.ndarray) -> bytes:
-    """Columns of 4, 4, 2 and 1 bytes."""
+def key_columns(key: np.ndarray, name: np.ndarray, short: np.ndarray, size: np.ndarray) -> list[np.ndarray]:
+    """Columns of ``KEY``."""
     left = (name & np.uint64((1 << NAME_BITS) - 1)) | (short.astype(np.uint64) << np.uint64(NAME_BITS))
-    return b"".join(x.tobytes() for x in (key.astype("<u4"), left.astype("<u4"), (left >> np.uint64(32)).astype("<u2"), size.astype("u1")))
+    return [key & np.uint64((1 << KEY_BITS) - 1), left & np.uint64((1 << 32) - 1), left >> np.uint64(32), size]
+
+
+def described(met: list[bytes], sets: list[bytes]) -> list[np.ndarray]:
+    """Columns of ``NEAR`` of a bucket's meetings: the sets of each name beside the key (several, should a name stand for several)."""
+    at, left, right = unpacked(met, MET)
+    high, n, bits0, bits1 = unpacked(sets, SET)
+    name = high.view(np.uint64) & np.uint64((1 << NAME_BITS) - 1)
+    order = np.lexsort((bits0, high, name))
+    high, n, bits0, bits1, name = (x[order] for x in (high, n, bits0, bits1, name))
+    new = np.concatenate([[True], (high[1:] != high[:-1]) | (bits0[1:] != bits0[:-1])]) if len(high) else np.empty(0, bool)
+    high, n, bits0, bits1, name = (x[new] for x in (high, n, bits0, bits1, name))
+    wanted = _whole(left, right)
+    lo, hi = np.searchsorted(name, wanted), np.searchsorted(name, wanted, side="right")
+    many = hi - lo
+    which = np.repeat(lo - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
+    return [np.repeat(at, many), high[which], n[which], bits0[which], bits1[which]]
+
+
+def near_rows(blobs: list[bytes], num: int, den: int, large: int = 5_000) -> list[np.ndarray]:
+    """(pivot, set, words) of a bucket's sets that may be similar to a set they meet; a group too large to compare stays whole."""
+    at, high, n, bits0, bits1 = unpacked(blobs, NEAR)
+    order = np.lexsort((high, at))
+    at, high, n = at[order], high[order], n[order]
+    bits = np.stack([bits0, bits1], 1).view(np.uint64)[order]
+    begin = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]])) if len(at) else np.empty(0, np.int64)
+    size = np.diff(np.append(begin, len(at)))
+    huge = np.repeat(size > large, size)
+    first = np.repeat(high[begin], size)
+    rows, pivot = near_groups(at[~huge], high[~huge], n[~huge], bits[~huge], num, den)
+    out = [np.concatenate([pivot, first[huge]]), np.concatenate([high[~huge][rows], high[huge]]), np.concatenate([n[~huge][rows], n[huge]])]
+    order = np.lexsort((out[1], out[0]))
+    out = [x[order] for x in out]
+    new = np.concatenate([[True], (out[0][1:] != out[0][:-1]) | (out[1][1:] != out[1][:-1])]) if len(out[0]) else np.empty(0, bool)
+    return [x[new] for x in out]
 
 
 @dataclass
@@ -253,24 +347,11 @@ class LineJoin:
         return run
 
     def _keys(self, buckets: int, rarity: Rarity) -> DataFrame:
-        """bucket, data: packed keys of the lines' sets, each set once or a few times a task."""
+        """bucket, data: keys of the lines' sets, each set once or a few times a task."""
         num, den, least = self.num, self.den, self.least
 
         def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            held: list[tuple[np.ndarray, ...]] = []
-            waiting = 0
-
-            def flush() -> pa.RecordBatch:
-                key, name, short, size = (np.concatenate(c) for c in zip(*held))
-                held.clear()
-                bucket = (key >> np.uint64(KEY_BITS)) % np.uint64(buckets)
-                order = np.argsort(bucket)
-                key, name, short, size, bucket = key[order], name[order], short[order], size[order], bucket[order]
-                cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
-                blobs = [pack_keys(key[a:b], name[a:b], short[a:b], size[a:b]) for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(key)])]
-                return pa.RecordBatch.from_arrays([pa.array(bucket[cuts].astype(np.int32)), pa.array(blobs, pa.binary())], names=["bucket", "data"])
-
-            seen: set[int] = set()
+            dealer, seen = Dealer(KEY), set()
             for part in parts:
                 for sets in batches(part.column(0), Lines(), rarity):
                     names = set_names(sets, 1)[0]
@@ -285,14 +366,8 @@ class LineJoin:
                     early = fresh[item]
                     item, token = item[early], token[early]
                     who, key, short = pair_keys(item, token, _counted(item, sets.count, fresh), num, den)
-                    if len(who):
-                        held.append((key, names[who].view(np.uint64), short, size_steps(sets.count)[who]))
-                        waiting += len(who)
-                    if waiting >= KEYS_HELD:
-                        yield flush()
-                        waiting = 0
-            if held:
-                yield flush()
+                    yield from dealer.add((key >> np.uint64(KEY_BITS)) % np.uint64(buckets), key_columns(key, names[who].view(np.uint64), short, size_steps(sets.count)[who]))
+            yield from dealer.rest()
 
         return self._texts.select("text").mapInArrow(run, "bucket int, data binary")
 
@@ -300,96 +375,68 @@ class LineJoin:
         ranks = rarity_ranks(self._counters, 1, _CHUNK)[0]
         return Rarity(ranks, ranks)
 
-    def _meetings(self) -> DataFrame:
-        """(at, name) of the sets that share a key with another set."""
+    def _near(self) -> DataFrame:
+        """(pivot, num, n): sets (by the first half of their names) that may be similar to a set they share a key with, by the groups' least sets."""
         words = self.lines.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-        num, den = self.num, self.den
         partitions = max(1, int(self.docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
         buckets = max(4 * partitions, words // 2 // BUCKET_KEYS)
+        num, den = self.num, self.den
+        packs = "bucket int, data binary"
 
-        def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            at, blobs = None, []
-
-            def done() -> pa.RecordBatch:
+        def meet(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            dealer = Dealer(MET)
+            for bucket, (blobs,) in dealt(parts):
                 key, name = meetings(blobs, num, den)
-                return pa.RecordBatch.from_arrays([pa.array((key | (np.uint64(at) << np.uint64(KEY_BITS))).view(np.int64)), pa.array(name.view(np.int64))], names=["at", "name"])
+                yield from dealer.add(name % np.uint64(buckets), [key | (np.uint64(bucket) << np.uint64(KEY_BITS)), name & np.uint64((1 << 32) - 1), name >> np.uint64(32)])
+            yield from dealer.rest()
 
+        def describe(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            dealer = Dealer(SET)
             for part in parts:
-                for bucket, blob in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    if bucket != at:
-                        if blobs:
-                            yield done()
-                        at, blobs = bucket, []
-                    blobs.append(blob)
-            if blobs:
-                yield done()
-
-        keys = self._keys(buckets, self._rarity()).repartition(max(partitions, buckets // 4), "bucket").sortWithinPartitions("bucket")
-        return keys.mapInArrow(run, "at long, name long")
-
-    def _near(self, met: DataFrame, homes: DataFrame) -> DataFrame:
-        """(pivot, num) of the sets that may be similar to a set they meet; a group too large to compare stays whole."""
-        num, den = self.num, self.den
-        large = 5_000
-
-        def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            held: list[np.ndarray] | None = None
-            whole: tuple[int, int] | None = None  # group and pivot of a large group under way
+                high, *rest = (part.column(c).to_numpy() for c in range(4))
+                yield from dealer.add((high.view(np.uint64) & np.uint64((1 << NAME_BITS) - 1)) % np.uint64(buckets), [high, *rest])
+            yield from dealer.rest()
+
+        def match(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            dealer = Dealer(NEAR)
+            for _, (sets, met) in dealt(parts, 2):
+                if met:
+                    columns = described(met, sets)
+                    yield from dealer.add((columns[0] * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)) % np.uint64(buckets), columns)
+            yield from dealer.rest()
 
-            def batch(member, pivot) -> pa.RecordBatch:
-                return pa.RecordBatch.from_arrays([pa.array(pivot, pa.int64()), pa.array(member, pa.int64())], names=["pivot", "num"])
+        def compare(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for _, (blobs,) in dealt(parts):
+                yield pa.RecordBatch.from_arrays(list(map(pa.array, near_rows(blobs, num, den))), names=["pivot", "num", "n"])
 
-            def done(cols: list[np.ndarray]) -> pa.RecordBatch:
-                rows, pivot = near_groups(cols[0], cols[1], cols[2], np.stack(cols[3:], 1).view(np.uint64), num, den)
-                return batch(cols[1][rows], pivot)
+        def to_buckets(rows: DataFrame) -> DataFrame:
+            rows = rows if "kind" in rows.columns else rows.withColumn("kind", F.lit(0))
+            return rows.select("bucket", "kind", "data").repartition(max(partitions, buckets // 4), "bucket").sortWithinPartitions("bucket", "kind")
 
-            for part in parts:
-                cols = [part.column(i).to_numpy() for i in range(5)]
-                if whole is not None and len(cols[0]):
-                    k = int(np.searchsorted(cols[0], whole[0], side="right"))
-                    if k:
-                        yield batch(cols[1][:k], np.full(k, whole[1]))
-                    cols = [c[k:] for c in cols]
-                    whole = whole if not len(cols[0]) else None
-                if not len(cols[0]):
-                    continue
-                cols = cols if held is None else [np.concatenate(x) for x in zip(held, cols)]
-                last = int(np.searchsorted(cols[0], cols[0][-1]))
-                if last >= 50_000:
-                    yield done([c[:last] for c in cols])
-                    cols, last = [c[last:] for c in cols], 0
-                held = cols
-                if len(cols[0]) - last > large:
-                    if last:
-                        yield done([c[:last] for c in cols])
-                    group = [c[last:] for c in cols]
-                    whole, held = (int(group[0][0]), int(group[1][0])), None
-                    yield batch(group[1], np.full(len(group[1]), whole[1]))
-            if held is not None:
-                yield done(held)
-
-        described = met.join(if_small(homes.select("name", "num", "n", "bits0", "bits1"), F.lit(0), self.most_sent), "name").select("at", "num", "n", "bits0", "bits1")
-        return described.repartition("at").sortWithinPartitions("at", "num").mapInArrow(run, "pivot long, num long")
+        met = to_buckets(self._keys(buckets, self._rarity())).mapInArrow(meet, packs)
+        sets = self.lines.filter(f"not again and n >= {self.least}").select("hi", "n", "bits0", "bits1").mapInArrow(describe, packs)
+        both = sets.withColumn("kind", F.lit(0)).unionByName(met.withColumn("kind", F.lit(1)))
+        return to_buckets(to_buckets(both).mapInArrow(match, packs)).mapInArrow(compare, "pivot long, num long, n int")
 
     def _compared(self, order: bool) -> tuple[DataFrame, DataFrame]:
         """Homes (num, hi, lo, first place of each set that meets others) and links (a, b) by num; with ``order`` those of :func:`join_members` with places."""
-        met = materialize(self._meetings(), "meetings")
-        names = materialize(met.select("name").distinct(), "names")
-        name = F.col("hi").bitwiseAND(F.lit((1 << NAME_BITS) - 1))
-        once = self.lines.filter("not again").withColumn("name", name).join(if_small(names, F.lit(0), self.most_sent), "name", "left_semi")
-        homes = once.groupBy("name", "hi", "lo", "n", "bits0", "bits1").agg(F.min(F.struct("doc", "uid", "line")).alias("first"))
-        homes = materialize(homes.withColumn("num", F.monotonically_increasing_id()), "homes")
-        near = materialize(self._near(met, homes).filter("pivot != num").distinct(), "near")
+        near = materialize(self._near().distinct(), "near")
         # sets that meet at several pivots meet once: at the component of all these meetings
         meet = materialize(components(near.select(F.col("num").alias("a"), F.col("pivot").alias("b"))), "clusters")
-        clusters = materialize(meet.join(homes.select(F.col("num").alias("id"), "n"), "id").select(F.col("component").alias("pivot"), F.col("id").alias("num"), "n"), "members")
+        clusters = materialize(meet.join(near.select(F.col("num").alias("id"), "n").distinct(), "id").select(F.col("component").alias("pivot"), F.col("id").alias("hi"), "n"), "members")
         sizes = materialize(clusters.groupBy("pivot").agg(F.ceil(F.sum("n") / self.block_tokens).cast("int").alias("blocks")), "cluster-sizes")
-        own = F.pmod(F.xxhash64("num"), F.col("blocks")).cast("int")
+        own = F.pmod(F.xxhash64("hi"), F.col("blocks")).cast("int")
         to = lambda i, j: F.struct(F.col("pivot").alias("key"), i.cast("int").alias("i"), j.cast("int").alias("j"))
         others = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: j != F.col("own"))
         places = F.when(F.col("blocks") == 1, F.array(to(F.lit(0), F.lit(0)))).otherwise(F.transform(others, lambda j: to(F.least(F.col("own"), j), F.greatest(F.col("own"), j))))
-        wanted = clusters.join(if_small(sizes, F.lit(0), self.most_sent), "pivot").withColumn("own", own).select("num", places.alias("to"))
-        asks = wanted.join(homes.select("num", "first"), "num").select(F.col("first.uid").alias("at"), F.struct("num", "to", F.col("first.doc").alias("doc"), F.col("first.line").alias("line")).alias("ask"))
+        wanted = clusters.join(if_small(sizes, F.lit(0), self.most_sent), "pivot").withColumn("own", own).groupBy("hi").agg(F.flatten(F.collect_list(places)).alias("to"))
+        wanted = materialize(wanted, "wanted")
+        # the first place of each of these sets; half a name may stand for several sets, each is one here
+        small = if_small(wanted, F.size("to"), self.most_sent)
+        once = self.lines.filter("not again").join(small.select("hi"), "hi", "left_semi")
+        homes = once.groupBy("hi", "lo").agg(F.min(F.struct("doc", "uid", "line")).alias("first")).withColumn("num", F.monotonically_increasing_id())
+        homes = materialize(homes, "homes")
+        asks = homes.join(small, "hi").select(F.col("first.uid").alias("at"), F.struct("num", "to", F.col("first.doc").alias("doc"), F.col("first.line").alias("line")).alias("ask"))
         sends = materialize(asks.groupBy("at", F.col("ask.doc").alias("at_doc")).agg(F.collect_list("ask").alias("sends")), "sends")
         sends = if_small(sends, F.aggregate("sends", F.lit(0), lambda n, s: n + F.size(s["to"])), self.most_sent)
         num, den = self.num, self.den

@@ -123,7 +123,7 @@ def test_meetings_keep_only_fitting_pairs():
     n = 5000
     key, name = rng.integers(0, 1 << 11, n).astype(np.uint64) << np.uint64(20), rng.integers(0, 60, n).astype(np.uint64) << np.uint64(40)
     size, short = linejoin.size_steps(10 + (name >> np.uint64(40)).astype(np.int64) * 7), rng.random(n) < 0.3
-    got = linejoin.meetings([linejoin.pack_keys(*(x[a : a + 700] for x in (key, name, short, size))) for a in range(0, n, 700)])
+    got = linejoin.meetings([linejoin.packed(linejoin.key_columns(*(x[a : a + 700] for x in (key, name, short, size))), linejoin.KEY) for a in range(0, n, 700)])
     got = set(zip(*(x.tolist() for x in got)))
     held = {}
     for k, m, s in zip(key.tolist(), name.tolist(), short.tolist()):
@@ -139,6 +139,30 @@ def test_meetings_keep_only_fitting_pairs():
     assert len(got) == kept and wanted <= kept < 1.5 * wanted
 
 
+def test_described_and_near_rows():
+    """Names that stand for two sets give both, and rows of a bucket are compared within their key only."""
+    rng = np.random.default_rng(3)
+    high = rng.integers(-(1 << 62), 1 << 62, 40)
+    high[20:22] = high[:2] ^ (1 << 60)  # the same name
+    sets = [high, rng.integers(5, 9, 40), *(rng.integers(-(1 << 62), 1 << 62, 40) for _ in range(2))]
+    sets[2][30:], sets[3][30:], sets[1][30:] = sets[2][5:15], sets[3][5:15], sets[1][5:15]
+    at, who = np.repeat(np.arange(60), 5).astype(np.uint64), rng.integers(0, 40, 300)
+    name = high[who].view(np.uint64) & np.uint64((1 << linejoin.NAME_BITS) - 1)
+    met = linejoin.packed([at, name & np.uint64((1 << 32) - 1), name >> np.uint64(32)], linejoin.MET)
+    got = linejoin.described([met], [linejoin.packed([c[:25] for c in sets], linejoin.SET), linejoin.packed([c[10:] for c in sets], linejoin.SET)])
+    twins = {0: [0, 20], 1: [1, 21], 20: [0, 20], 21: [1, 21]}
+    assert sorted(zip(*(c.tolist() for c in got))) == sorted((a, *(c[j].item() for c in sets)) for a, i in zip(at.tolist(), who.tolist()) for j in twins.get(i, [i]))
+    pivot, num, n = linejoin.near_rows([linejoin.packed(got, linejoin.NEAR)], 80, 100)
+    pairs = {(p, x) for p, x in zip(pivot.tolist(), num.tolist()) if p != x}
+    members = {}
+    for a, h in zip(got[0].tolist(), got[1].tolist()):
+        members.setdefault(a, set()).add(h)
+    want = {(min(high[i], high[i - 25]).item(), max(high[i], high[i - 25]).item()) for i in range(30, 40) if any({high[i], high[i - 25]} <= m for m in members.values())}
+    assert pairs == want and want
+    whole = linejoin.near_rows([linejoin.packed(got, linejoin.NEAR)], 80, 100, large=1)
+    assert {(p, x) for p, x in zip(whole[0].tolist(), whole[1].tolist())} == {(min(m), x) for m in members.values() for x in m if len(m) > 1 or False}
+
+
 def test_very_long_lines_and_texts(spark):
     from tests.llm.test_operators import frame
 
