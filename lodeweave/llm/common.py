@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lodeweave.sources.scratch import materialize, shared_dir
 
-__all__ = ["WORD", "documents", "fold_of", "if_small", "materialize", "shared_dir", "source_key"]
+__all__ = ["WORD", "documents", "fold_of", "if_small", "materialize", "shared_dir", "small_batches", "source_key"]
 
 #: Java regex of a word: everything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -28,6 +28,13 @@ def fold_of(doc_id: Column, parts: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % parts
 
 
+def small_batches(spark: SparkSession, rows: int = 2_000) -> None:
+    """Lower the session's bound on the rows that are handed to Python at a time: texts are long, and a batch is held several times on its way."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))
+
+
 def if_small(written: DataFrame, entries: Column, most: int) -> DataFrame:
     """A written table marked for broadcast if its rows and their entries are ``most`` at most, else as it is (to be joined by a shuffle)."""
     rows, inside = written.agg(F.count(F.lit(1)), F.coalesce(F.sum(entries), F.lit(0))).first()

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
-from lodeweave.llm.common import if_small, materialize
+from lodeweave.llm.common import if_small, materialize, small_batches
 from lodeweave.llm.components import components
 from lodeweave.llm.setjoin import SKETCH_BITS, join_members, prefix_length, rarity_ranks
 from lodeweave.llm.tokensets import Counter, Lines, Rarity, Sets, batches, mix, set_names, squeeze, unsqueeze
@@ -298,6 +298,7 @@ class LineJoin:
     lines: DataFrame = field(init=False)
 
     def __post_init__(self) -> None:
+        small_batches(self.docs.sparkSession)
         hashed = [F.map_entries(f"`{f.name}`") if isinstance(f.dataType, MapType) else F.col(f"`{f.name}`") for f in self.docs.schema]
         at = [F.xxhash64(*hashed).alias("uid"), F.col("doc_id").cast("long").alias("doc")]
         self.rows = self.docs.select(*at, F.struct("*").alias("row"))

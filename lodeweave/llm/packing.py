@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lodeweave.llm.common import documents, materialize
+from lodeweave.llm.common import documents, materialize, small_batches
 
 WINDOW = 2048
 END_ID = 1
@@ -230,6 +230,7 @@ def pack(docs: DataFrame, targets: Mapping[str | None, float] | None = None, win
     ``targets``: wanted token proportion by source (absent sources: 0, served as slowly as possible); None: each source's
     share of all tokens, so that every window has the mixture of the whole.
     """
+    small_batches(docs.sparkSession)
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.col("text").cast("string").alias("text"))
     wanted: list[float] | None = None
     if targets is not None:

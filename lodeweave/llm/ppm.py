@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lodeweave.llm.common import documents, fold_of
+from lodeweave.llm.common import documents, fold_of, small_batches
 
 ORDER = 4
 CHUNK = 1 << 20
@@ -171,6 +171,7 @@ def _identifier(models: dict[str, Tree]):
 
 def identify(docs: DataFrame, models: dict[str, Tree]) -> DataFrame:
     """doc_id, lang_pred, score (the posterior of the best language at equal priors) for every document."""
+    small_batches(docs.sparkSession)
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return slim.mapInArrow(_identifier(models), "doc_id long, lang_pred string, score double")
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodeweave.llm.common import documents, fold_of
+from lodeweave.llm.common import documents, fold_of, small_batches
 
 FEATURES = (
     "log_chars", "log_words", "word_length", "long_words", "upper", "digits", "symbols", "punctuation", "odd_ends", "bars", "bangs",
@@ -214,12 +214,14 @@ def _scorer(model: Gam, threshold: float):
 
 def score_documents(docs: DataFrame, model: Gam, threshold: float = 0.7) -> DataFrame:
     """doc_id, score, predicted for every document."""
+    small_batches(docs.sparkSession)
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return slim.mapInArrow(_scorer(model, threshold), "doc_id long, score double, predicted int")
 
 
 def keep_good(docs: DataFrame, model: Gam, threshold: float = 0.5) -> DataFrame:
     """The documents that are likelier good than not, with the columns of ``docs``."""
+    small_batches(docs.sparkSession)
     rows = docs.select(F.struct("*").alias("row"), F.col("text").cast("string").alias("text"))
     scored = rows.mapInArrow(_scorer(model, threshold), f"row {docs.schema.simpleString()}, score double, predicted int")
     return scored.filter("predicted = 1").select("row.*")

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodeweave.llm.common import if_small, materialize
+from lodeweave.llm.common import if_small, materialize, small_batches
 from lodeweave.llm.components import components
 from lodeweave.llm.tokensets import TOKEN_MASK, Counter, Lines, Rarity, Shingles, batches, mix, squeeze, unsqueeze
 
@@ -172,6 +172,7 @@ class SetJoin:
     doubles: np.ndarray = field(init=False)
 
     def __post_init__(self) -> None:
+        small_batches(self.docs.sparkSession)
         text = F.col("text").cast("string")
         # rows without an id, or that share one, are told apart by a hash of their text; if it collides, a text is read in vain
         self.docs = self.docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_key"))

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodeweave.llm.common import documents, fold_of, materialize
+from lodeweave.llm.common import documents, fold_of, materialize, small_batches
 from lodeweave.llm.quality import sampled_texts
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -239,6 +239,7 @@ def _scorer(model: Model, threshold: float):
 
 def score_documents(docs: DataFrame, model: Model | None, threshold: float = 0.7) -> DataFrame:
     """doc_id, score, predicted for every document."""
+    small_batches(docs.sparkSession)
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     if model is None:
         return slim.select("doc_id", F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))

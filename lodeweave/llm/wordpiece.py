@@ -8,8 +8,8 @@ The vocabulary is taken from a public SentencePiece model as it is (nothing is t
 without it continue them.  A word that the vocabulary cannot spell is one unknown token.  Words are runs of characters other than ASCII
 white space.  Counts of words are remembered within a task, up to ``REMEMBERED`` words.
 
-Defined results: null and empty texts have 0 words and 0 tokens; words have no length limit; repeated rows are counted each; an empty table gives an
-empty result.
+Defined results: null and empty texts have 0 words and 0 tokens; words and texts have no length limit; repeated rows are counted each and alike; an
+empty table gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodeweave.llm.common import documents
+from lodeweave.llm.common import documents, small_batches
 
 START = "▁"
 REMEMBERED = 400_000
@@ -141,6 +141,7 @@ def _counter(path: str | None):
 
 def token_counts(docs: DataFrame, path: str | None = None) -> DataFrame:
     """doc_id, n_words, n_tokens, n_unknown (words that are one unknown token) of every document."""
+    small_batches(docs.sparkSession)
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return slim.mapInArrow(_counter(path), "doc_id long, n_words long, n_tokens long, n_unknown long")
 
