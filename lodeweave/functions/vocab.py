@@ -11,6 +11,7 @@ NAMESPACES = {
     "rdfs": "http://www.w3.org/2000/01/rdf-schema#",
     "xsd": "http://www.w3.org/2001/XMLSchema#",
 }
+# fixed values: prefixes in use and their namespaces
 PREFIXES = {"schema.org": "schema", "fair4ml": "fair4ml", "codemeta": "codemeta"}
 RDF_TYPE = NAMESPACES["rdf"] + "type"
 # fixed values: phrases of an untouched card template, and how many make a card a template
@@ -48,4 +49,5 @@ TEXT_PROPERTIES = (
     "codemeta:issueTracker",
     "fair4ml:intendedUse",
 )
-PLATFORM_INDEX = {"huggingface": "hf_models", "openml": "openml_models", "ai4life": "ai4life_models"}
+# fixed values: search index by platform
+PLATFORM_INDEX = {"huggingface": "hf_models", "open_ml": "openml_models", "ai4life": "ai4life_models"}

@@ -42,8 +42,12 @@ def page(df: DataFrame, order: Sequence[Column], offset: int = 0, limit: int | N
     return out if limit is None else out.limit(limit)
 
 
-def specific(df: DataFrame, key: str, ids: DataFrame, order: Sequence[Column]) -> DataFrame:
-    """Rows with the given ids, the last of each."""
+def specific(df: DataFrame, key: str, ids: DataFrame | Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """Rows with the given ids, the last of each; an empty list of ids is a ValueError."""
+    if not isinstance(ids, DataFrame):
+        if not ids:
+            raise ValueError("no ids given")
+        ids = df.sparkSession.createDataFrame([(i,) for i in ids], [key])
     return keep_last(df.join(ids, key, "left_semi"), [key], order)
 
 
@@ -100,10 +104,25 @@ def classify_tags(models: DataFrame, languages: DataFrame, libraries: DataFrame,
 
 
 def flat_yaml(block: Column) -> Column:
-    """Map of a front-matter block's flat ``key: value`` lines (nested values are left to :func:`yaml_json`)."""
+    """Map of a front-matter block's flat ``key: value`` lines (nested values are left to :func:`yaml_json`); of a repeated key the last value counts."""
     lines = F.filter(F.split(block, "\n"), lambda x: x.rlike(r"^[A-Za-z_][\w-]*:\s*\S"))
     pair = lambda x: F.struct(F.regexp_extract(x, r"^([\w-]+):", 1).alias("key"), strip(F.regexp_extract(x, r"^[\w-]+:(.*)$", 1)).alias("value"))
-    return F.map_from_entries(F.array_distinct(F.transform(lines, pair)))
+    pairs = F.transform(lines, pair)
+    last = F.filter(pairs, lambda x, i: ~F.exists(F.slice(pairs, i + 2, F.size(pairs)), lambda y: y["key"] == x["key"]))
+    return F.map_from_entries(last)
+
+
+def yaml_fields(block: Column) -> Column:
+    """Map of all top-level keys of a front-matter block to texts: scalars as they stand, lists and mappings as JSON; null where it is no mapping.
+
+    Of a repeated key the last value counts.
+    """
+    return F.from_json(yaml_json()(block), "map<string,string>")
+
+
+def first_item(value: Column) -> Column:
+    """The first item of a JSON list, else the text itself."""
+    return F.when(value.startswith("["), F.get_json_object(value, "$[0]")).otherwise(value)
 
 
 def yaml_json():
@@ -126,15 +145,20 @@ def yaml_json():
     return parse
 
 
+def repository_weight() -> Column:
+    """The size of a model's repository is not known to its record."""
+    return F.lit(NOT_FOUND)
+
+
 def gated_info(fields: Column) -> Column:
     """Values of the keys about gated access, one a line."""
     return F.array_join(F.map_values(F.map_filter(fields, lambda k, v: F.contains(k, F.lit("extra_gated")))), "\n")
 
 
 def licence_info(fields: DataFrame, spdx: DataFrame, key: str = "entity", col: str = "fields") -> DataFrame:
-    """(key, map) to (key, licence): the canonical SPDX id of ``license_name`` or ``license`` (found by id, then by name), else its text
+    """(key, map) to (key, licence): the canonical SPDX id of ``license_name`` or ``license`` (of a list the first; found by id, then by name), else its text
     and every ``*license*`` key as ``key: value`` lines.  ``spdx``: identifier, name."""
-    given = fields.select(key, F.coalesce(F.try_element_at(col, F.lit("license_name")), F.try_element_at(col, F.lit("license"))).alias("given"), F.col(col).alias("_f"))
+    given = fields.select(key, first_item(F.coalesce(F.try_element_at(col, F.lit("license_name")), F.try_element_at(col, F.lit("license")))).alias("given"), F.col(col).alias("_f"))
     by_id = spdx.select(F.lower("identifier").alias("_id"), F.col("identifier").alias("by_id")).dropDuplicates(["_id"])
     by_name = spdx.select(F.lower("name").alias("_name"), F.col("identifier").alias("by_name")).dropDuplicates(["_name"])
     out = given.join(by_id, F.lower("given") == F.col("_id"), "left").join(by_name, F.lower("given") == F.col("_name"), "left")

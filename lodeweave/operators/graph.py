@@ -165,9 +165,12 @@ def entity_lookup(triples: DataFrame) -> DataFrame:
     return triples.groupBy("s", "p").agg(F.array_sort(F.collect_list("o")).alias("objects"))
 
 
-def resolve_names(triples: DataFrame, predicates: Sequence[str], name_predicate: str = NAMESPACES["schema"] + "name") -> DataFrame:
-    """Adds ``shown``: for the given predicates the name of the object's entity (the least of several), else the object's own text."""
-    names = triples.filter(F.col("p") == name_predicate).groupBy(F.col("s").alias("_e")).agg(F.min("o").alias("_name"))
+def resolve_names(triples: DataFrame, predicates: Sequence[str], name_predicate: str = NAMESPACES["schema"] + "name", named: DataFrame | None = None) -> DataFrame:
+    """Adds ``shown``: for the given predicates the name of the object's entity (the least of several), else the object's own text.
+
+    ``named``: the graph that names are taken from, if ``triples`` is a part of it.
+    """
+    names = (triples if named is None else named).filter(F.col("p") == name_predicate).groupBy(F.col("s").alias("_e")).agg(F.min("o").alias("_name"))
     out = triples.join(names, (F.col("o") == F.col("_e")) & F.col("p").isin(*predicates) & (F.col("o_kind") != "literal"), "left")
     return out.withColumn("shown", F.coalesce("_name", "o")).drop("_e", "_name")
 

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from typing import Protocol
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -51,12 +52,13 @@ def with_norm(df: DataFrame, vec: str) -> DataFrame:
 def top_k(questions: DataFrame, items: DataFrame, k: int, q_id: str, q_vec: str, i_id: str, i_vec: str, within: Sequence[str] = (), places: int = 6) -> DataFrame:
     """(q_id, i_id, score, rank): the k most similar items of each question, ties by item id.
 
-    ``within``: columns that question and item must share (then an equi-join); without, every question meets every item, so the questions
-    must be a stated, small set (their size decides whether Spark broadcasts them).
+    ``within``: columns that question and item must share (then an equi-join); without, every question meets every item, block by block.
     """
+    if not within:
+        return _top_k_blocks(questions, items, k, q_id, q_vec, i_id, i_vec, places)
     q = with_norm(questions.select(*within, F.col(q_id).alias("_q"), F.col(q_vec).alias("_qv")), "_qv")
     i = with_norm(items.select(*within, F.col(i_id).alias("_i"), F.col(i_vec).alias("_iv")), "_iv")
-    pairs = q.join(i, list(within)) if within else i.join(q, how="inner")
+    pairs = q.join(i, list(within))
     norm = F.col("_qv_n") * F.col("_iv_n")
     scored = pairs.select(*within, "_q", "_i", F.round(F.when(norm == 0, 0.0).otherwise(_dot(F.col("_qv"), F.col("_iv")) / norm), places).alias("score"))
     order = Window.partitionBy(*within, "_q").orderBy(F.col("score").desc(), "_i")
@@ -64,9 +66,44 @@ def top_k(questions: DataFrame, items: DataFrame, k: int, q_id: str, q_vec: str,
     return best.select(*within, F.col("_q").alias(q_id), F.col("_i").alias(i_id), "score", "rank")
 
 
-def context_match(questions: DataFrame, items: DataFrame, **kw) -> DataFrame:
-    """Best item per question, with its score as confidence and a fixed method name."""
-    return top_k(questions, items, 1, **kw).drop("rank").withColumnRenamed("score", "confidence").withColumn("method", F.lit("DirectContextMatch_SectionContent"))
+def _blocks(df: DataFrame, ident: str, vec: str, size: int, name: str) -> DataFrame:
+    """Rows in blocks of about ``size``, each sorted by id."""
+    n = max(1, -(-df.count() // size))
+    rows = df.filter(F.size(vec) > 0).groupBy(F.pmod(F.xxhash64(ident), F.lit(n)).alias("_b")).agg(F.array_sort(F.collect_list(F.struct(F.col(ident).alias("id"), F.col(vec).cast("array<double>").alias("vec")))).alias("_x"))
+    return rows.select(F.transform("_x", lambda x: x["id"]).alias(f"{name}_ids"), F.transform("_x", lambda x: x["vec"]).alias(f"{name}_vecs"))
+
+
+def _top_k_blocks(questions: DataFrame, items: DataFrame, k: int, q_id: str, q_vec: str, i_id: str, i_vec: str, places: int, block: int = 2048) -> DataFrame:
+    """Blocks of questions meet blocks of items as matrices; each pair of blocks leaves ``k`` items a question, so what is ranked in the end is small."""
+    kinds = {n: t for df in (questions, items) for n, t in df.dtypes}
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                q_ids, q_vecs, i_ids, i_vecs = (batch.column(c)[row].values for c in range(4))
+                dims = len(q_vecs[0])
+                q, i = (v.flatten().to_numpy(zero_copy_only=False).reshape(-1, dims) for v in (q_vecs, i_vecs))
+                norm = np.sqrt((q * q).sum(1))[:, None] * np.sqrt((i * i).sum(1))[None, :]
+                score = np.rint(np.divide(q @ i.T, norm, out=np.zeros_like(norm), where=norm != 0) * 10**places)
+                # ids ascend within a block: of equal scores the first place wins
+                order = score.astype(np.int64) * len(i) - np.arange(len(i))
+                top = np.argpartition(-order, min(k, len(i)) - 1, axis=1)[:, :k]
+                yield pa.RecordBatch.from_arrays(
+                    [q_ids.take(pa.array(np.repeat(np.arange(len(q)), top.shape[1]))), i_ids.take(pa.array(top.ravel())), pa.array(np.take_along_axis(score, top, 1).ravel() / 10**places)], names=["q", "i", "score"]
+                )
+
+    pairs = _blocks(items, i_id, i_vec, 2 * block, "i").crossJoin(_blocks(questions, q_id, q_vec, block, "q")).select("q_ids", "q_vecs", "i_ids", "i_vecs")
+    some = pairs.mapInArrow(best, f"q {kinds[q_id]}, i {kinds[i_id]}, score double")
+    ranked = some.withColumn("rank", F.row_number().over(Window.partitionBy("q").orderBy(F.col("score").desc(), "i"))).filter(F.col("rank") <= k)
+    return ranked.select(F.col("q").alias(q_id), F.col("i").alias(i_id), "score", "rank")
+
+
+def context_match(questions: DataFrame, items: DataFrame, but_itself: bool = False, **kw) -> DataFrame:
+    """Best item per question, with its score as confidence and a fixed method name; ``but_itself``: an item is no answer to the question of its own id."""
+    best = top_k(questions, items, 2 if but_itself else 1, **kw)
+    if but_itself:
+        best = best.filter(F.col(kw["q_id"]) != F.col(kw["i_id"])).withColumn("first", F.min("rank").over(Window.partitionBy(*kw.get("within", ()), kw["q_id"]))).filter("rank = first").drop("first")
+    return best.drop("rank").withColumnRenamed("score", "confidence").withColumn("method", F.lit("DirectContextMatch_SectionContent"))
 
 
 def cluster_questions(vectors: Sequence[Sequence[float]], n: int) -> list[int]:
@@ -114,9 +151,10 @@ def multi_prompt(questions: Column, context: Column) -> Column:
 
 
 def answers(response: Column, n: int) -> Column:
-    """Answers of a numbered response, '' where one is missing (built-in expressions)."""
-    found = F.map_from_arrays(F.regexp_extract_all(response, F.lit(r"(?m)^\s*(?:Answer\s*)?(\d+)[.:)]\s*(.*)$"), F.lit(1)), F.regexp_extract_all(response, F.lit(r"(?m)^\s*(?:Answer\s*)?(\d+)[.:)]\s*(.*)$"), F.lit(2)))
-    return F.transform(F.sequence(F.lit(1), F.lit(n)), lambda i: F.coalesce(F.try_element_at(found, i.cast("string")), F.lit("")))
+    """Answers of a numbered response, '' where one is missing, the first of a repeated number (built-in expressions)."""
+    part = lambda k: F.regexp_extract_all(response, F.lit(r"(?m)^\s*(?:Answer\s*)?(\d+)[.:)]\s*(.*)$"), F.lit(k))
+    numbers, texts = part(1), part(2)
+    return F.transform(F.sequence(F.lit(1), F.lit(n)), lambda i: F.coalesce(F.get(texts, F.array_position(numbers, i.cast("string")).cast("int") - 1), F.lit("")))
 
 
 _NUMBERED = re.compile(r"\s*(?:Answer\s*)?(\d+)[.:)]\s*(.*)", re.I)
@@ -151,6 +189,45 @@ def answer_questions(questions: DataFrame, model: Callable[[list[str]], list[str
     return questions.withColumn("answer", answer_with(model)(asked)).withColumn("answer", F.when(asked.isNull(), "No context to answer the question").otherwise(F.col("answer"))).withColumn("extraction_time", time)
 
 
+#: Position of the row that stands for a document's whole text.
+WHOLE = -1
+#: Questions that one run may ask of each document; they are sent to every task.
+MOST_QUESTIONS = 1_000
+
+
+def with_whole_texts(sections: DataFrame, docs: DataFrame) -> DataFrame:
+    """Sections (doc_id, pos, content), and for documents (doc_id, text) without any the whole text; such a row matches with score 1."""
+    bare = docs.join(sections.select("doc_id").distinct(), "doc_id", "left_anti").filter(F.length("text") > 0)
+    return sections.select("doc_id", "pos", "content").unionByName(bare.select("doc_id", F.lit(WHOLE).alias("pos"), F.col("text").alias("content")))
+
+
+def whole_scores(best: DataFrame) -> DataFrame:
+    return best.withColumn("score", F.when(F.col("pos") == WHOLE, 1.0).otherwise(F.col("score")))
+
+
+def small_questions(questions: DataFrame) -> DataFrame:
+    """The questions, marked for broadcast after their number is checked."""
+    if questions.limit(MOST_QUESTIONS + 1).count() > MOST_QUESTIONS:
+        raise ValueError(f"more than {MOST_QUESTIONS} questions")
+    return F.broadcast(questions)
+
+
+def merge_answers(rows: DataFrame, answers: DataFrame, key: str, properties: Sequence[str]) -> DataFrame:
+    """Answers (key, property, data, confidence, method) as a column each, beside the rows they belong to; of several the surest, then the least."""
+    cell = F.min(F.struct((-F.col("confidence")).alias("rank"), "data", "method", "confidence")).alias("cell")
+    wide = answers.groupBy(key, "property").agg(cell).groupBy(key).pivot("property", list(properties)).agg(F.first("cell"))
+    shown = [F.struct(*(F.col(f"`{p}`.{f}").alias(f) for f in ("data", "method", "confidence"))).alias(p) for p in properties]
+    return rows.join(wide.select(key, *shown), key, "left")
+
+
+def question_columns(rows: DataFrame, key: str, text: str, sections: DataFrame, questions: DataFrame, embed: Embedder = hashed_vector) -> DataFrame:
+    """The rows with a column for each question (property), filled by the best matching section, or the whole text of a row without sections."""
+    names = [r[0] for r in small_questions(questions).select("property").distinct().orderBy("property").collect()]
+    all_ = with_whole_texts(sections, rows.select(F.col(key).alias("doc_id"), F.col(text).alias("text")))
+    found = extract_properties(all_, questions, "context_matching", embed=embed).withColumnRenamed("doc_id", key)
+    return merge_answers(rows, found, key, names)
+
+
 STRATEGIES = ("context_matching", "grouped", "individual")
 
 
@@ -166,9 +243,9 @@ def extract_properties(sections: DataFrame, questions: DataFrame, strategy: str,
             raise ValueError("this strategy needs a model")
         return _grouped(sections, questions, model, k, embed, most)
     # a document holds few questions per section, so pairs stay within documents: an equi-join on doc_id
-    asks = sections.select("doc_id").distinct().join(F.broadcast(questions.select("property", "question", embed(F.col("question")).alias("qv"))))
+    asks = sections.select("doc_id").distinct().crossJoin(small_questions(questions).select("property", "question", embed(F.col("question")).alias("qv")))
     items = sections.select("doc_id", "pos", embed(F.col("content")).alias("iv"))
-    best = top_k(asks, items, 1 if strategy == "context_matching" else k, "property", "qv", "pos", "iv", ["doc_id"]).join(sections.select("doc_id", "pos", "content"), ["doc_id", "pos"])
+    best = whole_scores(top_k(asks, items, 1 if strategy == "context_matching" else k, "property", "qv", "pos", "iv", ["doc_id"])).join(sections.select("doc_id", "pos", "content"), ["doc_id", "pos"])
     if strategy == "context_matching":
         return best.select("doc_id", "property", F.col("content").alias("data"), F.col("score").alias("confidence"), F.lit("DirectContextMatch_SectionContent").alias("method"))
     if model is None:
@@ -180,12 +257,12 @@ def extract_properties(sections: DataFrame, questions: DataFrame, strategy: str,
 
 def _grouped(sections: DataFrame, questions: DataFrame, model: Callable[[list[str]], list[str]], k: int, embed: Embedder, most: int) -> DataFrame:
     """Grouped answers; the few dozen questions and their vectors are held by the driver."""
-    asked = questions.select("property", "question", embed(F.col("question")).alias("qv")).orderBy("property", "question").collect()
+    asked = small_questions(questions).select("property", "question", embed(F.col("question")).alias("qv")).orderBy("property", "question").collect()
     rows = [(g, i, asked[q]["property"], asked[q]["question"], list(map(float, asked[q]["qv"]))) for g, group in enumerate(group_questions([r["qv"] for r in asked], most) if asked else []) for i, q in enumerate(sorted(group))]
     groups = F.broadcast(questions.sparkSession.createDataFrame(rows, "grp int, at int, property string, question string, qv array<double>"))
     heads = sections.select("doc_id").distinct().join(groups.filter("at = 0").select("grp", "qv"))
     items = sections.select("doc_id", "pos", embed(F.col("content")).alias("iv"))
-    best = top_k(heads, items, k, "grp", "qv", "pos", "iv", ["doc_id"]).join(sections.select("doc_id", "pos", "content"), ["doc_id", "pos"])
+    best = whole_scores(top_k(heads, items, k, "grp", "qv", "pos", "iv", ["doc_id"])).join(sections.select("doc_id", "pos", "content"), ["doc_id", "pos"])
     ctx = best.groupBy("doc_id", "grp").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "content"))), lambda x: x["content"]), "\n\n").alias("context"), F.avg("score").alias("confidence"))
     listed = groups.groupBy("grp").agg(F.array_sort(F.collect_list(F.struct("at", "property", "question"))).alias("members"))
     texts = F.transform("members", lambda m: m["question"])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lodeweave.functions.columns import clean_text
 from lodeweave.operators.store import allocate_ids
+from lodeweave.sources.scratch import materialize
 
 
 def clean(rows: DataFrame) -> DataFrame:
@@ -44,6 +46,30 @@ def truncate(table: DataFrame) -> DataFrame:
     return table.limit(0)
 
 
+class QueryLog:
+    """Queries that are run at once, one or several, with statistics by their text."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.took: dict[str, list[float]] = {}
+
+    def run(self, sql: str, tables: Mapping[str, DataFrame] | None = None, args: Mapping[str, object] | None = None) -> DataFrame:
+        """The written result of a query; how long that took is kept."""
+        began = time.monotonic()
+        out = materialize(run_sql(self.spark, sql, tables, args), "query")
+        self.took.setdefault(sql, []).append(time.monotonic() - began)
+        return out
+
+    def batch(self, queries: Sequence[tuple]) -> list[DataFrame]:
+        """Results of (sql, tables, args), one after the other."""
+        return [self.run(*q) for q in queries]
+
+    def statistics(self) -> DataFrame:
+        """(sql, runs, total_seconds, mean_seconds), the slowest in all first."""
+        rows = sorted(((q, len(t), sum(t), sum(t) / len(t)) for q, t in self.took.items()), key=lambda r: -r[2])
+        return self.spark.createDataFrame(rows, "sql string, runs int, total_seconds double, mean_seconds double")
+
+
 def run_sql(spark: SparkSession, sql: str, tables: Mapping[str, DataFrame] | None = None, args: Mapping[str, object] | None = None) -> DataFrame:
     """Parameterised query over named frames (``{name}`` for frames, ``:name`` for values)."""
     return spark.sql(sql, args=dict(args or {}), **dict(tables or {}))

@@ -300,3 +300,26 @@ def path_mapping(spark: SparkSession, path: str) -> dict[str, list[str]]:
     for r in tsv(spark, path).collect():
         out.setdefault(r[0], []).append(r[1])
     return out
+
+
+def path_schema(path: str) -> dict:
+    """Path mapping of a platform as a JSON file (texts, mappings, lists); a missing file is a FileNotFoundError, an empty one a ValueError."""
+    with open(path, encoding="utf-8") as f:
+        got = json.load(f)
+    if not got:
+        raise ValueError(f"no paths in {path}")
+    return got
+
+
+#: Types of SPARQL result values by their XML schema type; everything else is text.
+SPARQL_TYPES = {"integer": "bigint", "int": "bigint", "long": "bigint", "decimal": "double", "double": "double", "float": "double", "boolean": "boolean", "dateTime": "timestamp_ntz", "date": "date"}
+
+
+def sparql_frame(results: DataFrame, names: list[str], col: str = "value") -> DataFrame:
+    """SPARQL JSON results (one document a row) to a frame with typed columns: a column has a type if all its values state that one, else it is text."""
+    cell = "struct<type:string,datatype:string,value:string>"
+    got = results.select(F.explode(F.from_json(col, f"struct<results:struct<bindings:array<map<string,{cell}>>>>")["results"]["bindings"]).alias("b"))
+    kind = lambda n: F.collect_set(F.coalesce(F.regexp_extract(F.col("b")[n]["datatype"], r"([^/#]+)$", 1), F.when(F.col("b")[n].isNotNull(), F.lit("text")))).alias(n)
+    kinds = got.agg(*map(kind, names)).first()
+    typed = lambda n: SPARQL_TYPES.get(kinds[n][0], "string") if len(kinds[n]) == 1 else "string"
+    return got.select(*(F.col("b")[n]["value"].cast(typed(n)).alias(n) for n in names))
