@@ -115,7 +115,7 @@ def tag_classify(spark, d):
 @query("""SELECT doc_id, 'lic' || CAST(doc_id % 5 AS VARCHAR) AS license_name, lang AS language, 'ask ' || source || E'\\nyes' AS gated FROM documents""")
 def front_matter_fields(spark, d):
     """Flat keys of a card's front matter, and the text of its gate keys."""
-    block = F.concat(F.lit("---\nlicense_name: lic"), (F.col("doc_id") % 5).cast("string"), F.lit("\nlanguage: "), "lang", F.lit("\nextra_gated_heading: ask "), "source", F.lit("\nextra_gated_button: yes\n---\n"), F.substring("text", 1, 40))
+    block = F.concat(F.lit("---\nlicense_name: lic"), (F.col("doc_id") % 5).cast("string"), F.lit("\nlanguage: "), "lang", F.lit("\nextra_gated_heading: ask "), "source", F.lit("\nextra_gated_button: yes\n---\n"), "text")
     f = table(spark, d, "documents").select("doc_id", extract.flat_yaml(front_matter(block)).alias("f"))
     return f.select("doc_id", F.col("f")["license_name"].alias("license_name"), F.col("f")["language"].alias("language"), extract.gated_info(F.col("f")).alias("gated"))
 

@@ -156,10 +156,10 @@ def statements_by_predicate(spark, d):
 
 
 @query(f"""SELECT doc_id, CASE WHEN length(t) < 100 THEN 'short' ELSE 'long' END AS form, CASE WHEN length(t) < 100 THEN t ELSE 'Extracted model info: ' || substr(t, 1, 50) || '...' END AS name
-FROM (SELECT doc_id, substr(text, 1, CAST(60 + doc_id % 80 AS INT)) AS t FROM documents) WHERE regexp_replace(t, '^\\s+|\\s+$', '', 'g') NOT IN ('', 'None')""")
+FROM (SELECT doc_id, text AS t FROM documents) WHERE regexp_replace(t, '^\\s+|\\s+$', '', 'g') NOT IN ('', 'None')""")
 def dataset_long_short(spark, d):
     """Short dataset texts are names, long ones become descriptions with a shortened name."""
-    t = F.substring(F.col("text"), F.lit(1), (60 + F.col("doc_id") % 80).cast("int"))
+    t = F.col("text")
     docs = table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("entity"), F.lit("fair4ml:trainedOn").alias("property"), t.alias("data"), F.lit("Dataset").alias("range"), F.col("doc_id").cast("string").alias("method"), F.lit(1.0).alias("confidence"), F.lit("t").alias("extraction_time"))
     rows = objects.typed_triples(docs, "huggingface")
     name, desc = rows.filter(F.col("p") == S + "name"), rows.filter(F.col("p") == S + "description").select("method").distinct().withColumn("form", F.lit("long"))
@@ -256,7 +256,7 @@ def delete_typed_nodes(spark, d):
 def drop_bnodes(spark, d):
     t = nation_triples(spark, d)
     blank = t.withColumn("s", F.concat(F.lit("_:"), F.md5("s")))
-    to_blank = t.limit(0).unionByName(t.withColumns({"o": F.lit("_:x"), "o_kind": F.lit("bnode")}))
+    to_blank = t.withColumns({"o": F.lit("_:x"), "o_kind": F.lit("bnode")})
     return graph.drop_blank_nodes(t.unionByName(blank).unionByName(to_blank)).distinct()
 
 
@@ -297,15 +297,18 @@ def named_graph_move(spark, d):
     return graph.move_deprecated(t, t.filter(F.col("p") == S + "keywords"), "current", "deprecated")
 
 
-@query("""SELECT user_id, list_extract(list(event_type ORDER BY event_id), i) AS kind, list_extract(list(event_id ORDER BY event_id), i) AS event_id FROM events, (SELECT unnest(range(1, 4)) AS i) GROUP BY user_id, i HAVING count(*) >= i""")
+@query("""SELECT user_id, unnest(list(event_type ORDER BY event_id, event_type)) AS kind, unnest(list(event_id ORDER BY event_id, event_type)) AS event_id FROM events GROUP BY user_id""")
 def zip_join(spark, d):
     """Arrays joined by position."""
     g = table(spark, d, "events").groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("event_id", "event_type"))).alias("x"))
     z = F.arrays_zip(F.transform("x", lambda e: e["event_type"]).alias("kind"), F.transform("x", lambda e: e["event_id"]).alias("event_id"))
-    return g.select("user_id", F.explode(F.slice(z, 1, 3)).alias("z")).select("user_id", "z.kind", "z.event_id")
+    return g.select("user_id", F.explode(z).alias("z")).select("user_id", "z.kind", "z.event_id")
 
 
-@query()
+@query(f"""WITH RECURSIVE {CUSTOMER_SQL}, k AS (SELECT s AS subject, count(*) AS n, row_number() OVER (ORDER BY s) AS i FROM ct GROUP BY s),
+f AS (SELECT subject, n, i, 1::BIGINT AS chunk_id, n AS held FROM k WHERE i = 1
+ UNION ALL SELECT k.subject, k.n, k.i, f.chunk_id + CAST(f.held * 7 >= 1000 AS BIGINT), k.n + CASE WHEN f.held * 7 >= 1000 THEN 0 ELSE f.held END FROM f JOIN k ON k.i = f.i + 1)
+SELECT subject, n, chunk_id FROM f""")
 def chunking(spark, d):
     """Whole subjects in chunks of bounded weight."""
     return graph.subject_chunks(customer_triples(spark, d), 1000)

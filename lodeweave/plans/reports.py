@@ -8,7 +8,7 @@ from lodeweave.operators import analytics
 from lodeweave.plans.graphs import CUSTOMER_SQL, customer_triples
 from lodeweave.plans.registry import query, table
 
-_TABLES = ("customer", "orders", "lineitem", "part")
+_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
 @query(" UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n FROM {t}" for t in _TABLES))
