@@ -1,6 +1,12 @@
 """Corpus pipeline: quality, exact and near duplicates, source mixture, packing.
 
 Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kept; all but the last return the columns of ``documents``.
+
+Defined results: a null text is scored and deduplicated as an empty one (and stays null if it stays), has no near duplicates, is not taken by the mixture
+(its size is 0), and so is never packed; a null id is the smallest one for exact duplicates and the last choice for near ones; a null source is a source of
+its own; a null lang changes nothing.  Texts have no length limit, and runs of one character take linear time.  Of equal texts the row with the largest id
+stays, of near duplicates the smallest id; of rows that are equal in both, one stays.  Rows that repeat an id with unlike texts are documents of their own.
+An empty table gives an empty result.  Further columns pass through all stages but the last, whatever their names.
 """
 
 from __future__ import annotations
