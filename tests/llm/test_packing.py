@@ -2,6 +2,7 @@
 
 import random
 import tracemalloc
+import zlib
 
 import numpy as np
 import pytest
@@ -83,3 +84,15 @@ def test_long_runs(spark):
     million = [" " * 10**6, "a" + "\n" * 10**6 + "b", "=" * 10**6, "x" * 10**6, " \t" * 5 * 10**6]
     got = packing.pack(frame(spark, [(i, t, "en", "a") for i, t in enumerate(million)])).toPandas()
     assert got.groupby("doc_id").length.sum().to_dict() == {i: len(encode(t)) for i, t in enumerate(million)}
+
+
+def test_registered_query(spark, sf):
+    got = packing.op1_mixture_pack(spark, sf).toPandas()
+    encode = packing.Encoder(*packing.default_vocab())
+    want = {r["doc_id"]: encode(r["text"] or "") for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    assert set(got.doc_id) == set(want) and got.groupby("doc_id").length.sum().to_dict() == {i: len(x) for i, x in want.items()}
+    for r in got.itertuples():
+        assert r.doc_tokens == len(want[r.doc_id]) and zlib.crc32(want[r.doc_id][r.start : r.start + r.length].astype("<u4").tobytes()) == r.ids_crc32
+    sizes = got.groupby("sequence_id").length.sum()
+    assert all(n == 2048 or n & (n - 1) == 0 for n in sizes.tolist()) and (sizes < 2048).sum() <= 11
+    assert (got.sort_values(["sequence_id", "offset"]).groupby("sequence_id").offset.first() == 0).all()
