@@ -115,13 +115,16 @@ def join_members(ids: list[int], sets: list[np.ndarray], num: int, den: int, ord
             able = label[low:u] != label[u]
         else:  # what is known to have an earlier one needs no other
             able = np.where(when[low:u] < when[u], not late[u], (when[low:u] > when[u]) & ~late[low:u])
-        for posts, where, begin, end, at in index:
+        for nth, (posts, where, begin, end, at) in enumerate(index):
             mark, met = np.zeros(u, bool), np.zeros(u, bool)
             for k in range(at[u], at[u] + prefix[u]):
                 if end[k] - begin[k] > 1:
                     run = posts[begin[k] : end[k]]
                     run = run[: np.searchsorted(run, u)]
-                    # positional filter: no more can be common than what follows the first common token in both
+                    if nth:
+                        mark[run] = True
+                        continue
+                    # positional filter, under the first order: no more can be common than what follows the first common token in both
                     new = ~met[run]
                     most = 1 + np.minimum(size[u] - 1 - (k - at[u]), (size[run] - 1 - where[begin[k] : begin[k] + len(run)]))
                     met[run] = True
