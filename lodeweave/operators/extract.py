@@ -228,6 +228,18 @@ def flat_values(cells: Column) -> Column:
     return F.flatten(F.transform(cells, lambda c: F.transform(F.coalesce(c["data"], F.array(F.lit(None).cast("string"))), lambda x: F.coalesce(x, F.lit("")))))
 
 
+#: Names that a vocabulary may hold which is sent to every task; larger ones are joined (see :func:`classify_tags`).
+MOST_NAMES = 10_000
+
+
+def small_vocabulary(names: DataFrame) -> DataFrame:
+    """Distinct names, after their number is checked."""
+    out = names.select("name").distinct()
+    if out.limit(MOST_NAMES + 1).count() > MOST_NAMES:
+        raise ValueError(f"more than {MOST_NAMES} names")
+    return out
+
+
 def question_columns(models: DataFrame, tasks: DataFrame, languages: DataFrame, libraries: DataFrame, time: Column) -> DataFrame:
     """Oldest form: answers by question column (repeats of tags are kept).
 
@@ -235,7 +247,7 @@ def question_columns(models: DataFrame, tasks: DataFrame, languages: DataFrame,
     """
     entry = lambda c: F.array(F.struct(c.alias("data"), F.lit("Parsed_from_HF_dataset").alias("extraction_method"), F.lit(1.0).alias("confidence"), time.alias("extraction_time")))
     pick = lambda keep, value=lambda t: t: F.filter(F.transform("tags", lambda t: F.when(keep(t), value(t))), lambda t: t.isNotNull())
-    words = lambda df, name: F.broadcast(df.agg(F.collect_set("name").alias(name)))  # noqa: E731 - vocabularies of a few hundred names
+    words = lambda df, name: F.broadcast(small_vocabulary(df).agg(F.collect_set("name").alias(name)))
     m = models.join(words(tasks, "_tasks")).join(words(languages, "_langs")).join(words(libraries, "_libs"))
     low = lambda t: F.lower(F.replace(t, F.lit("-"), F.lit(" ")))
     return m.select(

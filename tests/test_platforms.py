@@ -173,6 +173,8 @@ def test_path_mappings_and_results(spark, tmp_path):
     result = json.dumps({"head": {"vars": ["s", "n"]}, "results": {"bindings": [{"s": {"type": "uri", "value": "urn:a"}, "n": {"type": "literal", "datatype": x + "integer", "value": "3"}}, {"s": {"type": "uri", "value": "urn:b"}}]}})
     frame = readers.sparql_frame(spark.createDataFrame([(result,)], "value string"), ["s", "n"])
     assert dict(frame.dtypes) == {"s": "string", "n": "bigint"} and sorted(map(tuple, frame.collect())) == [("urn:a", 3), ("urn:b", None)]
+    with pytest.raises(ValueError):
+        extract.small_vocabulary(spark.range(extract.MOST_NAMES + 1).select(F.col("id").cast("string").alias("name")))
     with pytest.raises(ValueError):
         extract.specific(runs, "name", [], [F.col("id")])
     assert extract.specific(runs, "name", ["d"], [F.col("id")]).count() == 1
