@@ -137,8 +137,8 @@ WITH d AS (
   FROM r
 ), c AS (
   SELECT d.*, t.source_size, t.target, t.start, CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0 END AS rate,
-         row_number() OVER (PARTITION BY d.key ORDER BY length(bin(size + 1)) * 8 + (((size + 1) >> greatest(length(bin(size + 1)) - 4, 0)) & 7), tie % 64, size, tie) AS at
+         row_number() OVER (PARTITION BY d.key ORDER BY length(bin(size + 1)) * 8 + (((size + 1) >> greatest(length(bin(size + 1)) - 4, 0)) & 7), tie % 64, size, tie) AS k
   FROM d JOIN t USING (key)
 )
-SELECT doc_id, size, source_size, target, (least(floor(start + rate * at) - floor(start + rate * (at - 1)), ceil(rate)) * size)::BIGINT AS taken FROM c
+SELECT doc_id, size, source_size, target, (least(floor(start + rate * k) - floor(start + rate * (k - 1)), ceil(rate)) * size)::BIGINT AS taken FROM c
 """
