@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lodeweave.functions.columns import drop_first_match, front_matter, human_number, last_segment
+from lodeweave.functions.columns import drop_first_match, epoch_day, front_matter, human_number, last_segment
 from lodeweave.operators import extract, mapping
 from lodeweave.plans.registry import query, table
 
@@ -224,7 +224,7 @@ def status_coalesce(spark, d):
 
 @query("""SELECT event_id, strftime(make_timestamp((1600000000 + event_id * 86400) * 1000000), '%Y-%m-%d') AS day FROM events""")
 def epoch_to_date(spark, d):
-    return table(spark, d, "events").select("event_id", F.date_format(F.timestamp_seconds(F.lit(1600000000) + F.col("event_id") * 86400), "yyyy-MM-dd").alias("day"))
+    return table(spark, d, "events").select("event_id", epoch_day(F.lit(1600000000) + F.col("event_id") * 86400).alias("day"))
 
 
 @query("""SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'https://orcid.org/' || CAST(c_nationkey AS VARCHAR) WHEN c_custkey % 3 = 1 THEN 'https://github.com/' || c_name ELSE '' END AS url,
