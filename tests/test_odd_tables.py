@@ -25,3 +25,11 @@ def test_days_of_any_year_and_zone(spark, tmp_path):
             agree(spark, tmp_path / z.replace("/", "-"), "epoch_to_date", events=events)
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_long_numbers_on_pages(spark, tmp_path):
+    texts = [
+        "<title>a</title> 4356412207950626 b", "<h1>9007199254740993</h1>", "<h1 id=x>n 12345678901234567890123</h1> 7 likes", "99999999999999999999 views, 12", "99999999999999999999 views", "9223372036854775807 pages",
+        "<h1>1234567890123</h1> downloads: 1234567890123456789", "downloads: 99999999999999999999999", "<h1>0042</h1>", "<h1>1.5K</h1>", "none", "", None,
+    ]
+    agree(spark, tmp_path, "html_stat_scrape", pages=spark.createDataFrame(list(enumerate(texts)), "page_id long, html string"))
