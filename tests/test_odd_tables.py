@@ -1,7 +1,11 @@
 """Queries against their SQL on tables with rows that the test tables lack."""
 
+import random
+
 import duckdb
+from pyspark.sql import functions as F
 
+from lodeweave.operators import graph
 from lodeweave.plans import registry
 from tests import oracle
 
@@ -33,3 +37,26 @@ def test_long_numbers_on_pages(spark, tmp_path):
         "<h1>1234567890123</h1> downloads: 1234567890123456789", "downloads: 99999999999999999999999", "<h1>0042</h1>", "<h1>1.5K</h1>", "none", "", None,
     ]
     agree(spark, tmp_path, "html_stat_scrape", pages=spark.createDataFrame(list(enumerate(texts)), "page_id long, html string"))
+
+
+def folded(counts, size, weight=7):
+    """The fold over subjects in order, as plain as it can be said."""
+    chunk, held, out = 1, 0, []
+    for subject, n in counts:
+        if held * weight >= size:
+            chunk, held = chunk + 1, 0
+        held += n
+        out.append((subject, n, chunk))
+    return out
+
+
+def test_chunks_are_one_fold_at_any_size(spark):
+    rng = random.Random(3)
+    counts = sorted((f"urn:{'é' if i % 3 else 'z'}{i}", rng.choice((1, 1, 2, 3, 5, 40))) for i in range(3000)) + [(None, 4)]
+    t = spark.createDataFrame(counts, "s string, k int").select("s", F.explode(F.sequence(F.lit(1), "k")))
+    got = lambda *a, **k: sorted(map(tuple, graph.subject_chunks(t, *a, **k).collect()), key=lambda r: (r[0] is None, r[0]))
+    assert got(1) == folded(counts, 1)
+    assert got(8) == folded(counts, 8)
+    for size in (50, 1000, 9000, 10**9):
+        assert got(size, per_run=400) == folded(counts, size)
+    assert graph.subject_chunks(t.limit(0), 50).collect() == []
