@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lodeweave.functions.columns import n3
 from lodeweave.functions.vocab import BASE, NAMESPACES, RDF_TYPE
 from lodeweave.operators.graph import subject_chunks, with_n3
+from lodeweave.sources.scratch import materialize
 
 
 def ntriples_lines(triples: DataFrame) -> DataFrame:
@@ -76,14 +77,20 @@ def write_by_type(records: DataFrame, path: str, col: str = "kind") -> None:
     records.write.mode("overwrite").partitionBy(col).json(path)
 
 
-def write_chunks(triples: DataFrame, statements: DataFrame, size: int, path: str) -> DataFrame:
-    """Numbered chunks of whole subjects, graph lines and their metadata side by side; returns the manifest (chunk_id, subjects, triples, status)."""
-    chunks = subject_chunks(triples, size)
-    by = chunks.select(F.col("subject").alias("s"), "chunk_id")
-    ntriples_part = with_n3(triples).join(by, "s").select("chunk_id", F.concat_ws(" ", "s_n3", "p_n3", "o_n3", F.lit(".")).alias("value"))
+def write_chunks(triples: DataFrame, statements: DataFrame, size: int, path: str, per_file: int = 1_000_000) -> DataFrame:
+    """Numbered chunks of whole subjects, graph lines and their metadata side by side; returns the manifest (chunk_id, subjects, triples, status).
+
+    A chunk's rows are brought together before they are written: one file a chunk, or one for every ``per_file`` triples of it, whatever the number of
+    tasks.  Files of each task in each chunk would be too many to list on the driver.  Triples are never broadcast: where a few columns were exploded
+    to them, the planner takes them for as small as those.
+    """
+    chunks = materialize(subject_chunks(triples, size), "chunks")
+    manifest = chunks.groupBy("chunk_id").agg(F.count(F.lit(1)).alias("subjects"), F.sum("n").alias("triples")).withColumn("status", F.lit("written"))
+    by = chunks.join(manifest.select("chunk_id", F.floor(F.col("triples") / per_file + 1).alias("_files")), "chunk_id").select(F.col("subject").alias("s"), "chunk_id", "_files")
+    together = lambda df: df.withColumn("_file", F.pmod(F.xxhash64("p", "o"), "_files")).repartition("chunk_id", "_file").drop("_file", "_files")
+    ntriples_part = with_n3(together(triples.hint("merge").join(by, "s"))).select("chunk_id", F.concat_ws(" ", "s_n3", "p_n3", "o_n3", F.lit(".")).alias("value"))
     ntriples_part.write.mode("overwrite").partitionBy("chunk_id").text(f"{path}/kg")
-    rows = metadata_lines(statements.join(by, "s"), "chunk_id")
+    rows = metadata_lines(together(statements.hint("merge").join(by, "s")), "chunk_id")
     rows.write.mode("overwrite").partitionBy("chunk_id").text(f"{path}/metadata")
-    manifest = chunks.groupBy("chunk_id").agg(F.count(F.lit(1)).alias("subjects"), F.sum("n").alias("triples")).withColumn("status", F.lit("written"))
     manifest.write.mode("overwrite").json(f"{path}/manifest")
     return manifest

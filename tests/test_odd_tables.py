@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lodeweave.operators import graph
 from lodeweave.plans import registry
+from lodeweave.sources import writers
 from tests import oracle
 
 
@@ -60,3 +61,24 @@ def test_chunks_are_one_fold_at_any_size(spark):
     for size in (50, 1000, 9000, 10**9):
         assert got(size, per_run=400) == folded(counts, size)
     assert graph.subject_chunks(t.limit(0), 50).collect() == []
+
+
+def test_each_chunk_is_one_file(spark, tmp_path):
+    t = spark.range(0, 4000, 1, 8).select(F.concat(F.lit("urn:"), (F.col("id") % 400).cast("string")).alias("s"), F.lit("urn:p").alias("p"), F.col("id").cast("string").alias("o"), F.lit("literal").alias("o_kind"), F.lit(None).cast("string").alias("o_dtype"))
+    aqe = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        n = writers.write_chunks(t, t.withColumn("method", F.lit("m")), 1400, str(tmp_path / "c")).count()
+        for part in ("kg", "metadata"):
+            files = list((tmp_path / "c" / part).glob("chunk_id=*/part-*"))
+            assert n == 20 and len(files) == n == len({f.parent for f in files})
+        writers.write_chunks(t, t, 0, str(tmp_path / "one"), per_file=1000)
+        assert 1 < len(list((tmp_path / "one/kg/chunk_id=1").glob("part-*"))) <= 5
+        assert spark.read.text(str(tmp_path / "one/kg")).count() == 4000
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", aqe)
+
+
+def test_metadata_of_repeated_statements(spark, tmp_path):
+    rows = [(i, f"Customer#{i // 3}", i // 3 % 2, 1.0, "BUILDING") for i in range(30)]
+    agree(spark, tmp_path, "metadata_chunks", customer=spark.createDataFrame(rows, "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"))
