@@ -5,7 +5,7 @@ import random
 import duckdb
 from pyspark.sql import functions as F
 
-from lodeweave.operators import graph
+from lodeweave.operators import graph, objects
 from lodeweave.plans import registry
 from lodeweave.sources import writers
 from tests import oracle
@@ -82,3 +82,10 @@ def test_each_chunk_is_one_file(spark, tmp_path):
 def test_metadata_of_repeated_statements(spark, tmp_path):
     rows = [(i, f"Customer#{i // 3}", i // 3 % 2, 1.0, "BUILDING") for i in range(30)]
     agree(spark, tmp_path, "metadata_chunks", customer=spark.createDataFrame(rows, "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"))
+
+
+def test_entities_of_values_are_made_once(spark):
+    cells = spark.range(0, 2000, 1, 4).select(F.concat(F.lit("r"), F.col("id").cast("string")).alias("entity"), F.lit("fair4ml:sharedBy").alias("property"), (F.col("id") % 3).cast("string").alias("data"), F.lit("Person or Organization").alias("range"), F.lit("m").alias("method"), F.lit(1.0).alias("confidence"), F.lit("t").alias("extraction_time"))
+    plain, fold = (objects.typed_triples(cells, "open_ml", fold=f) for f in (False, True))
+    assert (plain.count(), fold.count()) == (4 * 2000, 2000 + 3 * 3)
+    assert sorted(map(tuple, plain.distinct().collect()), key=repr) == sorted(map(tuple, fold.distinct().collect()), key=repr)
